@@ -1,6 +1,6 @@
 """All registered queries; importing this module fills the registry."""
 
-from ledgerlens.plans import catalog_rates, catalog_rules  # noqa: F401
+from ledgerlens.plans import catalog_profile, catalog_rates, catalog_rules  # noqa: F401
 from ledgerlens.plans.registry import BENCH, ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE", "BENCH"]

@@ -22,7 +22,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 4)
+        return v + 0.0  # exact: the driver hashes values, so no extra rounding here
     if hasattr(v, "isoformat"):
         return v.isoformat()
     if isinstance(v, (list, tuple)):
