@@ -1,6 +1,7 @@
 """All registered queries; importing this module fills the registry."""
 
-from ledgerlens.plans import catalog_model, catalog_profile, catalog_rates, catalog_rules  # noqa: F401
+from ledgerlens.plans import (  # noqa: F401
+    catalog_model, catalog_profile, catalog_quality, catalog_rates, catalog_rules)
 from ledgerlens.plans.registry import BENCH, ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE", "BENCH"]
