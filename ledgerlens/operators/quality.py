@@ -178,81 +178,90 @@ def unexpected_condition(e: Expectation, df: DataFrame) -> Column:
     raise ValueError(e.expectation_type)
 
 
+def _bad_values(df: DataFrame, suite: Suite) -> DataFrame | None:
+    """(i, value, count) of every unexpected value: all row-level checks in
+    one exploded pass, plus one grouped pass per uniqueness check."""
+    parts = []
+    scan = [(i, e) for i, e in enumerate(suite.expectations) if e.expectation_type in (NOT_NULL, BETWEEN, IN_SET)]
+    if scan:
+        fails = F.array(*[F.when(unexpected_condition(e, df), F.struct(
+            F.lit(i).alias("i"), F.col(e.column).cast("string").alias("value"))) for i, e in scan])
+        parts.append(df.select(F.explode(F.filter(fails, lambda x: x.isNotNull())).alias("_f"))
+                       .groupBy("_f.i", "_f.value").agg(F.count(F.lit(1)).alias("count")))
+    for i, e in enumerate(suite.expectations):
+        if e.expectation_type == UNIQUE:
+            c = F.col(e.column)
+            parts.append(df.filter(c.isNotNull()).groupBy(c.cast("string").alias("value"))
+                           .agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") > 1)
+                           .select(F.lit(i).alias("i"), "value", "count"))
+    if not parts:
+        return None
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def validate(df: DataFrame, suite: Suite, *, run_id: str = "", checkpoint: str = "",
              sample: int = 20) -> DataFrame:
-    """Q1–Q7: evaluate every expectation; one result row each (lazy)."""
-    scan = [(i, e) for i, e in enumerate(suite.expectations) if e.expectation_type in (NOT_NULL, BETWEEN, IN_SET)]
+    """Q1–Q7: evaluate every expectation; one result row each.
+
+    Evaluation is an action (a gate needs the verdict): one aggregate for
+    counts of all row-level checks, one pass that gathers the distinct
+    unexpected values of every check (row-level checks together, one grouped
+    pass per uniqueness check) into a checkpointed table, and bounded
+    top-``sample`` reads of that table. The driver then holds one small row
+    per expectation."""
+    from ledgerlens.session import checkpoint_dir
+
+    spark = df.sparkSession
     aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, e in scan:
-        aggs.append(F.count(F.when(unexpected_condition(e, df), 1)).alias(f"_u{i}"))
     for i, e in enumerate(suite.expectations):
         if e.expectation_type != OF_TYPE:
             aggs.append(F.count(F.when(F.col(e.column).isNull(), 1)).alias(f"_m{i}"))
-    metrics = df.agg(*aggs)  # one scan for all row-level checks
-    n = F.col("_n")
+    metrics = df.agg(*aggs).collect()[0].asDict()
+    n = metrics["_n"]
+    bad = _bad_values(df, suite)
+    totals, lists, tops = {}, {}, {}
+    if bad is not None:
+        checkpoint_dir(spark)
+        bad = bad.checkpoint(eager=True)   # distinct unexpected values only
+        totals = {r["i"]: r["u"] for r in bad.groupBy("i").agg(F.sum("count").alias("u")).collect()}
+        for i in totals:
+            b = bad.filter(F.col("i") == i)
+            lists[i] = sorted(r["value"] for r in b.orderBy(F.col("value").asc_nulls_first()).limit(sample)
+                              .collect() if r["value"] is not None)
+            tops[i] = [(r["value"], r["count"]) for r in
+                       b.orderBy(F.desc("count"), F.col("value").asc_nulls_first()).limit(sample).collect()]
+    pct = lambda a, b: (a / b * 100) if b else None
     rows = []
     for i, e in enumerate(suite.expectations):
         t = e.expectation_type
-        mostly = float(e.kwargs.get("mostly", 1.0))
-        base = {"run_id": F.lit(run_id), "checkpoint": F.lit(checkpoint), "suite": F.lit(suite.name),
-                "expectation_index": F.lit(i).cast("int"), "expectation_type": F.lit(t),
-                "column": F.lit(e.column), "kwargs": F.lit(e.kwargs_json())}
+        row = {"run_id": run_id, "checkpoint": checkpoint, "suite": suite.name, "expectation_index": i,
+               "expectation_type": t, "column": e.column, "kwargs": e.kwargs_json(), "element_count": None,
+               "missing_count": None, "missing_percent": None, "unexpected_count": None,
+               "unexpected_percent": None, "unexpected_percent_nonmissing": None,
+               "unexpected_percent_total": None, "partial_unexpected_list": None,
+               "partial_unexpected_counts": None, "observed_value": None, "success": None}
         if t == OF_TYPE:
             observed = df.schema[e.column].dataType.simpleString()
             want = _TYPE_FAMILIES.get(str(e.kwargs["type_"]).lower(), {str(e.kwargs["type_"]).lower()})
-            r = df.sparkSession.range(1).select(
-                *[v.alias(k) for k, v in base.items()],
-                *[F.lit(None).cast(RESULT_SCHEMA[c].dataType).alias(c) for c in (
-                    "element_count", "missing_count", "missing_percent", "unexpected_count", "unexpected_percent",
-                    "unexpected_percent_nonmissing", "unexpected_percent_total", "partial_unexpected_list",
-                    "partial_unexpected_counts")],
-                F.lit(observed).alias("observed_value"), F.lit(observed in want).alias("success"))
-            rows.append(r)
+            row.update(observed_value=observed, success=observed in want)
+            rows.append(row)
             continue
-        if t == UNIQUE:
-            c = F.col(e.column)
-            dup = (df.filter(c.isNotNull()).groupBy(c.alias("_v")).agg(F.count(F.lit(1)).alias("_k"))
-                     .filter(F.col("_k") > 1))
-            m = metrics.withColumn("_u", F.coalesce(dup.agg(F.sum("_k")).scalar(), F.lit(0)).cast("long"))
-            bad_vals = dup.select(F.col("_v").cast("string").alias("value"), F.col("_k").alias("count"))
-        else:
-            m = metrics.withColumn("_u", F.col(f"_u{i}"))
-            bad = df.filter(unexpected_condition(e, df)).select(F.col(e.column).cast("string").alias("value"))
-            bad_vals = bad.groupBy("value").agg(F.count(F.lit(1)).alias("count"))
-        miss = F.col(f"_m{i}")
-        nonmissing = n - miss
-        u = F.col("_u")
-        pct = lambda a, b: F.try_divide(a, b) * 100
+        mostly = float(e.kwargs.get("mostly", 1.0))
+        u = int(totals.get(i, 0))
+        miss = metrics[f"_m{i}"]
+        row.update(element_count=n, unexpected_count=u, partial_unexpected_list=lists.get(i, []),
+                   partial_unexpected_counts=tops.get(i, []), unexpected_percent_total=pct(u, n))
         if t == NOT_NULL:
-            cols = {"element_count": n, "missing_count": F.lit(None).cast("long"),
-                    "missing_percent": F.lit(None).cast("double"), "unexpected_count": u,
-                    "unexpected_percent": pct(u, n), "unexpected_percent_nonmissing": F.lit(None).cast("double"),
-                    "unexpected_percent_total": pct(u, n)}
-            ok = F.coalesce(1 - F.try_divide(u, n) >= mostly, F.lit(True))
+            row.update(unexpected_percent=pct(u, n), success=(1 - u / n >= mostly) if n else True)
         else:
-            cols = {"element_count": n, "missing_count": miss, "missing_percent": pct(miss, n),
-                    "unexpected_count": u, "unexpected_percent": pct(u, nonmissing),
-                    "unexpected_percent_nonmissing": pct(u, nonmissing), "unexpected_percent_total": pct(u, n)}
-            ok = F.coalesce(1 - F.try_divide(u, nonmissing) >= mostly, F.lit(True))
-        # bounded samples: the smallest unexpected values, and the most frequent ones
-        lst = (bad_vals.orderBy("value").limit(sample)
-               .agg(F.sort_array(F.collect_list("value")).alias("l")).select("l").scalar())
-        cnt = (bad_vals.orderBy(F.desc("count"), "value").limit(sample)
-               .agg(F.array_sort(F.collect_list(F.struct("value", "count")),
-                                 lambda a, b: F.when(a["count"] > b["count"], -1)
-                                 .when(a["count"] < b["count"], 1)
-                                 .when(a["value"] < b["value"], -1).when(a["value"] > b["value"], 1)
-                                 .otherwise(0)).alias("c")).select("c").scalar())
-        r = m.select(*[v.alias(k) for k, v in base.items()], *[v.alias(k) for k, v in cols.items()],
-                     F.coalesce(lst, F.array().cast("array<string>")).alias("partial_unexpected_list"),
-                     F.coalesce(cnt, F.array().cast(RESULT_SCHEMA["partial_unexpected_counts"].dataType))
-                     .alias("partial_unexpected_counts"),
-                     F.lit(None).cast("string").alias("observed_value"), ok.alias("success"))
-        rows.append(r)
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RESULT_SCHEMA.fields])
+            nm = n - miss
+            row.update(missing_count=miss, missing_percent=pct(miss, n), unexpected_percent=pct(u, nm),
+                       unexpected_percent_nonmissing=pct(u, nm), success=(1 - u / nm >= mostly) if nm else True)
+        rows.append(row)
+    return spark.createDataFrame([tuple(r[f.name] for f in RESULT_SCHEMA.fields) for r in rows], RESULT_SCHEMA)
 
 
 def statistics(results: DataFrame) -> DataFrame:
