@@ -133,7 +133,10 @@ def quality_raw_suite(spark, sf):
                                    q.RAW_SUITE, sample=SAMPLE))
 
 
-@register("quality_events_raw_suite", with_events(_suite_sql(q.RAW_SUITE, "ev", _RAW_TYPES)))
+RAW_SUITE_EVENTS_SQL = with_events(_suite_sql(q.RAW_SUITE, "ev", _RAW_TYPES))
+
+
+@register("quality_events_raw_suite", RAW_SUITE_EVENTS_SQL)
 def quality_events_raw_suite(spark, sf):
     return flat_results(q.validate(event_ledger(spark, sf, ["trans_num", "cc_num", "amt", "is_fraud"]),
                                    q.RAW_SUITE, sample=SAMPLE))

@@ -138,11 +138,24 @@ def ledger(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = Non
     return df.select(*[exprs[c].alias(c) for c in cols])
 
 
-def event_ledger(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """Transactions from the events table; ``error`` events are the positive class."""
+def read_events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The events table as a file stream (new files in the folder are new input)."""
+    schema = read_table(spark, sf_dir, "events").schema
+    r = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(sf_dir)
+
+
+def event_ledger(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None, *,
+                 source: DataFrame | None = None) -> DataFrame:
+    """Transactions from the events table; ``error`` events are the positive class.
+    ``source`` replaces the batch scan (e.g. by ``read_events_stream``); the
+    customer lookup is then a stream-static join."""
     cols = list(columns) if columns is not None else list(RAW_COLUMNS)
     want = set(cols)
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    ev = (source if source is not None else read_table(spark, sf_dir, "events")).select(
+        "event_id", "ts", "user_id", "event_type", "value", "props")
     df = ev
     prof = customer_profile(spark, sf_dir, want & _CUST_COLS)
     if prof is not None:
