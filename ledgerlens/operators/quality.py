@@ -1,10 +1,10 @@
 """Declarative data-quality suites evaluated as Spark aggregates.
 
 A suite is a list of expectations (type + kwargs), stored as JSON. Evaluating
-it never moves rows to the driver: all row-level checks of a suite share one
-aggregate over the data (one scan), each uniqueness check is one grouped
-aggregate, and samples of unexpected values are bounded (``sample`` rows,
-smallest values first so results are reproducible). The result is a small
+it never moves rows to the driver: all checks of a suite — row-level checks,
+null counts and uniqueness — share one scan and one grouped aggregate, and
+samples of unexpected values are bounded (``sample`` rows, smallest values
+first so results are reproducible). The result is a small
 DataFrame with one row per expectation; only ``gate`` collects it (a handful
 of rows) to decide whether a pipeline may continue.
 """
@@ -178,61 +178,61 @@ def unexpected_condition(e: Expectation, df: DataFrame) -> Column:
     raise ValueError(e.expectation_type)
 
 
-def _bad_values(df: DataFrame, suite: Suite) -> DataFrame | None:
-    """(i, value, count) of every unexpected value: all row-level checks in
-    one exploded pass, plus one grouped pass per uniqueness check."""
-    parts = []
-    scan = [(i, e) for i, e in enumerate(suite.expectations) if e.expectation_type in (NOT_NULL, BETWEEN, IN_SET)]
-    if scan:
-        fails = F.array(*[F.when(unexpected_condition(e, df), F.struct(
-            F.lit(i).alias("i"), F.col(e.column).cast("string").alias("value"))) for i, e in scan])
-        parts.append(df.select(F.explode(F.filter(fails, lambda x: x.isNotNull())).alias("_f"))
-                       .groupBy("_f.i", "_f.value").agg(F.count(F.lit(1)).alias("count")))
+_ROWS, _MISSING = -1, 100000   # marker ids: the row counter, and offset of per-check null counters
+
+
+def _check_counts(df: DataFrame, suite: Suite) -> DataFrame:
+    """One scan, one shuffle for the whole suite: each row is exploded into
+    a row marker, one (check, value) entry per failed row-level check, a
+    null marker per checked column that is null, and its key for every
+    uniqueness check; a single ``groupBy(check, value).count()`` then gives
+    the row count, null counts, unexpected values and duplicate keys
+    (map-side partial aggregation collapses the markers before the shuffle).
+    Only duplicate keys of uniqueness checks are kept."""
+    entry = lambda i, v: F.struct(F.lit(i).alias("i"), v.cast("string").alias("value"))
+    entries = [entry(_ROWS, F.lit(None))]
+    uniques = []
     for i, e in enumerate(suite.expectations):
-        if e.expectation_type == UNIQUE:
-            c = F.col(e.column)
-            parts.append(df.filter(c.isNotNull()).groupBy(c.cast("string").alias("value"))
-                           .agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") > 1)
-                           .select(F.lit(i).alias("i"), "value", "count"))
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        t = e.expectation_type
+        c = F.col(e.column)
+        if t == OF_TYPE:
+            continue
+        entries.append(F.when(c.isNull(), entry(_MISSING + i, F.lit(None))))
+        if t == UNIQUE:
+            uniques.append(i)
+            entries.append(F.when(c.isNotNull(), entry(i, c)))
+        else:
+            entries.append(F.when(unexpected_condition(e, df), entry(i, c)))
+    exploded = df.select(F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("_e"))
+    g = exploded.groupBy("_e.i", "_e.value").agg(F.count(F.lit(1)).alias("count"))
+    return g.filter(~F.col("i").isin(*uniques) | (F.col("count") > 1)) if uniques else g
 
 
 def validate(df: DataFrame, suite: Suite, *, run_id: str = "", checkpoint: str = "",
              sample: int = 20) -> DataFrame:
     """Q1–Q7: evaluate every expectation; one result row each.
 
-    Evaluation is an action (a gate needs the verdict): one aggregate for
-    counts of all row-level checks, one pass that gathers the distinct
-    unexpected values of every check (row-level checks together, one grouped
-    pass per uniqueness check) into a checkpointed table, and bounded
-    top-``sample`` reads of that table. The driver then holds one small row
-    per expectation."""
+    Evaluation is an action (a gate needs the verdict): ``_check_counts``
+    reads the data once and shuffles once for the whole suite; its small
+    result (counters, distinct unexpected values, duplicate keys) is
+    checkpointed, and the driver reads totals and bounded top-``sample``
+    lists from it to build one row per expectation."""
     from ledgerlens.session import checkpoint_dir
 
     spark = df.sparkSession
-    aggs = [F.count(F.lit(1)).alias("_n")]
+    checkpoint_dir(spark)
+    counts = _check_counts(df, suite).checkpoint(eager=True)
+    totals = {r["i"]: r["u"] for r in counts.groupBy("i").agg(F.sum("count").alias("u")).collect()}
+    n = int(totals.get(_ROWS, 0))
+    lists, tops = {}, {}
     for i, e in enumerate(suite.expectations):
-        if e.expectation_type != OF_TYPE:
-            aggs.append(F.count(F.when(F.col(e.column).isNull(), 1)).alias(f"_m{i}"))
-    metrics = df.agg(*aggs).collect()[0].asDict()
-    n = metrics["_n"]
-    bad = _bad_values(df, suite)
-    totals, lists, tops = {}, {}, {}
-    if bad is not None:
-        checkpoint_dir(spark)
-        bad = bad.checkpoint(eager=True)   # distinct unexpected values only
-        totals = {r["i"]: r["u"] for r in bad.groupBy("i").agg(F.sum("count").alias("u")).collect()}
-        for i in totals:
-            b = bad.filter(F.col("i") == i)
-            lists[i] = sorted(r["value"] for r in b.orderBy(F.col("value").asc_nulls_first()).limit(sample)
-                              .collect() if r["value"] is not None)
-            tops[i] = [(r["value"], r["count"]) for r in
-                       b.orderBy(F.desc("count"), F.col("value").asc_nulls_first()).limit(sample).collect()]
+        if e.expectation_type == OF_TYPE or not totals.get(i):
+            continue
+        b = counts.filter(F.col("i") == i)
+        lists[i] = sorted(r["value"] for r in b.orderBy(F.col("value").asc_nulls_first()).limit(sample)
+                          .collect() if r["value"] is not None)
+        tops[i] = [(r["value"], r["count"]) for r in
+                   b.orderBy(F.desc("count"), F.col("value").asc_nulls_first()).limit(sample).collect()]
     pct = lambda a, b: (a / b * 100) if b else None
     rows = []
     for i, e in enumerate(suite.expectations):
@@ -251,7 +251,7 @@ def validate(df: DataFrame, suite: Suite, *, run_id: str = "", checkpoint: str =
             continue
         mostly = float(e.kwargs.get("mostly", 1.0))
         u = int(totals.get(i, 0))
-        miss = metrics[f"_m{i}"]
+        miss = int(totals.get(_MISSING + i, 0))
         row.update(element_count=n, unexpected_count=u, partial_unexpected_list=lists.get(i, []),
                    partial_unexpected_counts=tops.get(i, []), unexpected_percent_total=pct(u, n))
         if t == NOT_NULL:

@@ -180,12 +180,14 @@ def label_summary(df: DataFrame, value: str, label: str = "is_fraud", *,
     values, merged map-side first); ``approx=True`` switches to the bounded
     quantile sketch for very large groups."""
     names = {0.5: "median"}
-    aggs = [F.count(value).alias("count"), F.avg(value).alias("mean")]
-    for p in percentiles:
-        fn = F.percentile_approx(value, p, accuracy) if approx else F.percentile(value, p)
-        aggs.append(fn.alias(names.get(p, f"p{int(round(p * 100))}")))
-    aggs.append(F.max(value).alias("max"))
-    return df.filter(F.col(label).isNotNull()).groupBy(label).agg(*aggs)
+    ps = list(percentiles)
+    # one percentile aggregate for all levels: one value map per label, not one per level
+    q = F.percentile_approx(value, ps, accuracy) if approx else F.percentile(value, ps)
+    out = df.filter(F.col(label).isNotNull()).groupBy(label).agg(
+        F.count(value).alias("count"), F.avg(value).alias("mean"), q.alias("_q"), F.max(value).alias("max"))
+    return out.select(label, "count", "mean",
+                      *[F.col("_q")[i].alias(names.get(p, f"p{int(round(p * 100))}")) for i, p in enumerate(ps)],
+                      "max")
 
 
 def class_ratio(summary: DataFrame, label: str = "is_fraud",

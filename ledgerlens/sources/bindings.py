@@ -103,8 +103,12 @@ def ledger(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = Non
     need_o = bool(want - _LINE_ONLY - {"merchant", "category"})
     if need_o:
         o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-        # big ⟕ big on the order key: a sort-merge join shuffled on orderkey
-        # (co-locate by bucketing both tables on it at scale).
+        # customer attributes go onto orders first (orders ⟕ customer shuffles
+        # orders on custkey), so lineitem is shuffled once, on orderkey only —
+        # the one big join (co-locate it by bucketing both tables on orderkey).
+        prof = customer_profile(spark, sf_dir, want & _CUST_COLS)
+        if prof is not None:
+            o = o.join(prof, o.o_custkey == prof._ck, "left").drop("_ck")
         df = df.join(o, df.l_orderkey == o.o_orderkey, "left")
     if "merchant" in want:
         s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
@@ -112,9 +116,6 @@ def ledger(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = Non
     if "category" in want:
         p = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
         df = df.join(p, df.l_partkey == p.p_partkey, "left")
-    prof = customer_profile(spark, sf_dir, want & _CUST_COLS)
-    if prof is not None:
-        df = df.join(prof, df.o_custkey == prof._ck, "left")
     exprs: dict[str, Column] = {
         "trans_num": F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
                               F.col("l_linenumber").cast("string")),
