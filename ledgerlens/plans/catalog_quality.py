@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import quality as q
 from ledgerlens.plans import model
-from ledgerlens.plans.catalog_model import _FACT_SQL, _MERCH_SQL
+from ledgerlens.plans.catalog_model import _FACT_SQL, _MERCH_SQL, FACT_INPUT
 from ledgerlens.plans.registry import register, with_events, with_ledger
+from ledgerlens.sources.bindings import EVENTS_SQL, LEDGER_SQL
 from ledgerlens.sources.bindings import event_ledger, ledger
 
 SAMPLE = 20
@@ -111,7 +112,7 @@ _RAW_TYPES = {"trans_num": "string", "cc_num": "bigint", "amt": "double", "is_fr
 
 
 def _fact(spark, sf):
-    raw = ledger(spark, sf)
+    raw = ledger(spark, sf, FACT_INPUT)
     return model.fact_transaction(raw, model.dim_merchant(raw))
 
 
@@ -152,3 +153,41 @@ def quality_stats(spark, sf):
     st = q.statistics(q.validate(_fact(spark, sf), q.FACT_SUITE, sample=SAMPLE))
     return st.select("suite", "evaluated_expectations", "successful_expectations", "unsuccessful_expectations",
                      F.round("success_percent", 6).alias("success_percent"), "success")
+
+
+# ---------------------------------------------------------------- S12 / S13: quality history
+_RUNS = [("ledger_raw", "2024-01-01 09:10:00"), ("events_raw", "2024-01-08 09:10:00")]
+
+
+@register("quality_history", f"""WITH {LEDGER_SQL.strip()}, {EVENTS_SQL.strip()},
+r1 AS ({_suite_sql(q.RAW_SUITE, "ledger", _RAW_TYPES)}),
+r2 AS ({_suite_sql(q.RAW_SUITE, "ev", _RAW_TYPES)}),
+h AS (SELECT *, TIMESTAMP '{_RUNS[0][1]}' AS run_time FROM r1
+      UNION ALL BY NAME SELECT *, TIMESTAMP '{_RUNS[1][1]}' AS run_time FROM r2)
+SELECT suite, expectation_index, expectation_type, "column", count(*) AS runs,
+  count(CASE WHEN NOT success THEN 1 END) AS failed_runs, min(run_time) AS first_run, max(run_time) AS last_run,
+  arg_max(success, run_time) AS latest_success, arg_max(unexpected_count, run_time) AS latest_unexpected_count
+FROM h GROUP BY ALL""")
+def quality_history(spark, sf):
+    """Two checkpoint runs of the raw suite (line items, then events) appended
+    to a history table in the shared folder, then summarised per expectation."""
+    import datetime as dt
+    import uuid
+
+    from ledgerlens.session import scratch_path
+    path = scratch_path(spark, f"quality_history/{uuid.uuid4().hex[:8]}")
+    cols = ["trans_num", "cc_num", "amt", "is_fraud"]
+    for (name, when), src in zip(_RUNS, (ledger(spark, sf, cols), event_ledger(spark, sf, cols))):
+        run = q.run_checkpoint(name, src, q.RAW_SUITE, dt.datetime.fromisoformat(when))
+        q.store_results(run, path)
+    return q.quality_history(spark.read.parquet(path))
+
+
+# ---------------------------------------------------------------- Q12: cleaning with quarantine
+@register("clean_rejects", with_ledger("""
+SELECT trans_num, merch_zipcode, 'required:merch_zipcode' AS failures FROM ledger WHERE merch_zipcode IS NULL"""))
+def clean_rejects(spark, sf):
+    df = ledger(spark, sf, ["trans_num", "merch_zipcode"])
+    _, rejects = q.clean(df, required=["merch_zipcode"], casts={"merch_zipcode": "bigint"})
+    return rejects.select("trans_num", F.col("merch_zipcode").cast("string").alias("merch_zipcode"),
+                          F.concat_ws("|", "failures").alias("failures"))

@@ -351,3 +351,13 @@ def rate_by_amount_band(spark, sf):
     df = event_ledger(spark, sf, ["amt", "is_fraud"]).withColumn(
         "amount_band", fx.cut("amt", AMOUNT_BANDS, AMOUNT_LABELS))
     return R(rates.rate_by(df, "amount_band"))
+
+
+# ---------------------------------------------------------------- G11 / G8
+@register("distinct_categories", with_ledger("""
+SELECT category, count(DISTINCT cc_num) AS customers, count(DISTINCT replace(merchant, 'fraud_', '')) AS merchants
+FROM ledger WHERE category IS NOT NULL GROUP BY category"""))
+def distinct_categories(spark, sf):
+    df = ledger(spark, sf, ["category", "cc_num", "merchant"]).withColumn("merchant", fx.clean_merchant("merchant"))
+    return (df.filter(F.col("category").isNotNull()).groupBy("category")
+              .agg(F.countDistinct("cc_num").alias("customers"), F.countDistinct("merchant").alias("merchants")))
