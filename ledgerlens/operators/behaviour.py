@@ -20,6 +20,8 @@ its own label (no leakage into model features).
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,13 +30,20 @@ _UNB = Window.unboundedPreceding
 _UNF = Window.unboundedFollowing
 
 
-def micros(ts: str) -> Column:
-    """Microseconds since the epoch of a timestamp_ntz (read as UTC)."""
-    return F.unix_micros(F.col(ts).cast("timestamp"))
+_EPOCH = datetime.datetime(1970, 1, 1)
+
+
+def micros(ts: str, ntz: bool = True) -> Column:
+    """Microseconds since the epoch. A timestamp_ntz is measured as wall-clock
+    time (independent of the session time zone, so no DST gaps)."""
+    if ntz:
+        return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), F.col(ts))
+    return F.unix_micros(F.col(ts))
 
 
 def _prep(df: DataFrame, ts: str) -> DataFrame:
-    return df.withColumn("_t", micros(ts)).withColumn("_d", F.floor(F.col("_t") / DAY_US))
+    ntz = df.schema[ts].dataType.simpleString() == "timestamp_ntz"
+    return df.withColumn("_t", micros(ts, ntz)).withColumn("_d", F.floor(F.col("_t") / DAY_US))
 
 
 def _daily(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -37,6 +37,15 @@ def total_of(df: DataFrame, col: str) -> Column:
     return df.agg(F.sum(col)).scalar()
 
 
+def with_group_total(df: DataFrame, by, col: str, name: str) -> DataFrame:
+    """Attach the per-group sum of ``col`` (J4). An aggregate joined back on
+    the group key instead of a window over the group, so no task has to
+    buffer a whole group; the totals table has one row per group."""
+    by = _list(by)
+    tot = df.groupBy(*by).agg(F.sum(col).alias(name))
+    return df.join(tot, by)
+
+
 def group_count(df: DataFrame, keys, *, name: str = "transaction_count", dropna: bool = True) -> DataFrame:
     """G1: rows per group; null keys dropped like pandas."""
     keys = _list(keys)
@@ -96,8 +105,8 @@ def value_share(df: DataFrame, keys, *, within=None, denominator: str = "all", t
 
     def with_share(t: DataFrame) -> DataFrame:
         if within:
-            return t.withColumn(pct_name, pct(F.col(count_name),
-                                              F.sum(count_name).over(Window.partitionBy(*within))))
+            return with_group_total(t, within, count_name, "_tot").withColumn(
+                pct_name, pct(F.col(count_name), F.col("_tot"))).drop("_tot")
         return t.withColumn(pct_name, pct(F.col(count_name), total_of(t, count_name)))
 
     if denominator not in ("all", "shown"):
@@ -216,9 +225,8 @@ def class_share_by_period(df: DataFrame, period: str, cls: str, *, label: str |
     """Rows per (period, class) and the class share of the period.
     With ``label`` only positive rows are counted (class share of fraud)."""
     src = df.filter(F.col(label) == 1) if label else df
-    counts = group_count(src, [period, cls], name=count_name)
-    tot = F.sum(count_name).over(Window.partitionBy(period))
-    return counts.withColumn("period_total", tot).withColumn(pct_name, pct(F.col(count_name), F.col("period_total")))
+    counts = with_group_total(group_count(src, [period, cls], name=count_name), period, count_name, "period_total")
+    return counts.withColumn(pct_name, pct(F.col(count_name), F.col("period_total")))
 
 
 def top_per_period(df: DataFrame, period: str, entity: str, *, k: int = 1,
@@ -226,8 +234,17 @@ def top_per_period(df: DataFrame, period: str, entity: str, *, k: int = 1,
     """W5 + J4: the k most frequent entities of each period and their share of
     the period total (total via a window over aggregated counts, no join)."""
     counts = group_count(df, [period, entity], name=count_name)
-    counts = counts.withColumn("total_transactions", F.sum(count_name).over(Window.partitionBy(period)))
-    out = top_k(counts, [F.col(count_name).desc(), F.col(entity).asc()], k, by=period)
+    if k == 1:
+        # the leader of each period by aggregates only: the largest count, then
+        # the smallest entity among those that reach it (no per-period sort)
+        per = counts.groupBy(period).agg(F.max(count_name).alias("_top"),
+                                         F.sum(count_name).alias("total_transactions"))
+        lead = (counts.join(per, period).filter(F.col(count_name) == F.col("_top"))
+                .groupBy(period, count_name, "total_transactions").agg(F.min(entity).alias(entity)))
+        out = lead.select(period, entity, count_name, "total_transactions")
+    else:
+        counts = with_group_total(counts, period, count_name, "total_transactions")
+        out = top_k(counts, [F.col(count_name).desc(), F.col(entity).asc()], k, by=period)
     return out.withColumn(pct_name, pct(F.col(count_name), F.col("total_transactions")))
 
 
