@@ -90,8 +90,11 @@ def describe(df: DataFrame, cols: Sequence[str], *, by: Sequence[str] = (), appr
 
 
 def percentile_set(df: DataFrame, col: str, ps: Sequence[float] = (0.25, 0.5, 0.75, 0.9), *,
-                   by: Sequence[str] = (), approx: bool = False) -> DataFrame:
-    """A set of percentiles as columns p25, p50, …"""
+                   by: Sequence[str] = (), approx: bool = False, distributed: bool = False) -> DataFrame:
+    """A set of percentiles as columns p25, p50, … (``distributed=True``:
+    exact without a per-group value map, see ``distributed_quantiles``)."""
+    if distributed:
+        return distributed_quantiles(df, col, ps, by=by)
     q = _quantiles(F.col(col), ps, approx, 10000).alias("_q")
     out = df.groupBy(*by).agg(q)
     return out.select(*by, *[F.col("_q")[i].alias(f"p{int(round(p * 100))}") for i, p in enumerate(ps)])
@@ -198,3 +201,41 @@ def box_stats(df: DataFrame, col: str, *, by: Sequence[str] = (), k: float = 1.5
                                   F.count(x).alias("count"))
     return f.join(agg, by, "left") if by else f.withColumns(
         {c: agg.select(c).scalar() for c in ["whisker_low", "whisker_high", "outlier_count", "count"]})
+
+
+def distributed_quantiles(df: DataFrame, col: str, ps: Sequence[float], *, by: Sequence[str] = (),
+                          names: Sequence[str] | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles without a per-group value map.
+
+    ``percentile`` merges a value→count map of each group in one task; for a
+    continuous column of a very large group that map is unbounded. Here the
+    distinct (group, value) counts come from a hash aggregate, their running
+    count over the global (group, value) order uses the range-partition
+    prefix method (``running_sum_global``), and each quantile is read off the
+    row whose cumulative count covers its position — only aggregates and
+    joins on one-row-per-group tables, so a hot group is spread over tasks.
+    Same definition as ``percentile``: position p·(n−1), linear between the
+    neighbouring order statistics."""
+    from ledgerlens.operators.keys import running_sum_global
+
+    by = list(by)
+    names = list(names or [f"p{int(round(p * 100))}" for p in ps])
+    x = F.col(col).cast("double")
+    g = df.filter(F.col(col).isNotNull()).groupBy(*by, x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    g = running_sum_global(g, [*by, "_v"], "_c", "_cum")
+    if by:
+        start = g.groupBy(*by).agg(F.min(F.col("_cum") - F.col("_c")).alias("_s"), F.sum("_c").alias("_n"))
+        g = g.join(start, by).withColumn("_cum", F.col("_cum") - F.col("_s"))
+    else:
+        g = g.withColumn("_n", g.agg(F.sum("_c")).scalar())
+    aggs = []
+    for i, p in enumerate(ps):
+        pos = (F.col("_n") - 1) * float(p)
+        lo, hi = F.floor(pos), F.ceil(pos)
+        covers = lambda r: ((F.col("_cum") - F.col("_c")) <= r) & (r < F.col("_cum"))
+        aggs += [F.min(F.when(covers(lo), F.col("_v"))).alias(f"_lo{i}"),
+                 F.min(F.when(covers(hi), F.col("_v"))).alias(f"_hi{i}"),
+                 F.first(pos - lo).alias(f"_f{i}")]
+    out = g.groupBy(*by).agg(*aggs)
+    return out.select(*by, *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}"))
+                             .alias(nm) for i, nm in enumerate(names)])

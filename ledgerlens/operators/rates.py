@@ -182,14 +182,23 @@ def duplicate_summary(df: DataFrame, key: str) -> DataFrame:
 
 def label_summary(df: DataFrame, value: str, label: str = "is_fraud", *,
                   percentiles: Sequence[float] = (0.5, 0.9, 0.99), approx: bool = False,
-                  accuracy: int = 10000) -> DataFrame:
+                  accuracy: int = 10000, distributed: bool = False) -> DataFrame:
     """Count, mean, median, p90, p99 and max of ``value`` per label.
 
     Exact percentiles keep a value→count map per label (bounded by distinct
     values, merged map-side first); ``approx=True`` switches to the bounded
-    quantile sketch for very large groups."""
+    quantile sketch for very large groups; ``distributed=True`` stays exact
+    without any per-label value map (``profile.distributed_quantiles``)."""
     names = {0.5: "median"}
     ps = list(percentiles)
+    cols = [names.get(p, f"p{int(round(p * 100))}") for p in ps]
+    if distributed:
+        from ledgerlens.operators.profile import distributed_quantiles
+        src = df.filter(F.col(label).isNotNull())
+        base = src.groupBy(label).agg(F.count(value).alias("count"), F.avg(value).alias("mean"),
+                                      F.max(value).alias("max"))
+        qs = distributed_quantiles(src, value, ps, by=[label], names=cols)
+        return base.join(qs, label, "left").select(label, "count", "mean", *cols, "max")
     # one percentile aggregate for all levels: one value map per label, not one per level
     q = F.percentile_approx(value, ps, accuracy) if approx else F.percentile(value, ps)
     out = df.filter(F.col(label).isNotNull()).groupBy(label).agg(

@@ -143,6 +143,13 @@ def amount_percentiles(spark, sf):
     return R(profile.percentile_set(ledger(spark, sf, ["amt"]), "amt"))
 
 
+@register("amount_percentiles_distributed", with_ledger("""
+SELECT round(quantile_cont(amt, 0.25), 6) AS p25, round(quantile_cont(amt, 0.5), 6) AS p50,
+  round(quantile_cont(amt, 0.75), 6) AS p75, round(quantile_cont(amt, 0.9), 6) AS p90 FROM ledger"""))
+def amount_percentiles_distributed(spark, sf):
+    return R(profile.percentile_set(ledger(spark, sf, ["amt"]), "amt", distributed=True))
+
+
 @register("fraud_per_user_cv", with_ledger("""
 WITH u AS (SELECT cc_num, count(*) AS n FROM ledger WHERE is_fraud = 1 GROUP BY 1)
 SELECT round(avg(n), 6) AS mean, round(stddev_samp(n), 6) AS std_dev,

@@ -297,11 +297,17 @@ _LABEL_SUMMARY = """SELECT is_fraud, count(amt) AS "count", round(avg(amt), 6) A
 FROM ledger WHERE is_fraud IS NOT NULL GROUP BY is_fraud"""
 
 
-@register("amount_by_label", with_ledger(_LABEL_SUMMARY), bench=True)
+@register("amount_by_label", with_ledger(_LABEL_SUMMARY))
 def amount_by_label(spark, sf):
     return R(rates.label_summary(ledger(spark, sf, ["amt", "is_fraud"]), "amt"))
 
 
+@register("amount_by_label_distributed", with_ledger(_LABEL_SUMMARY), bench=True)
+def amount_by_label_distributed(spark, sf):
+    """G14 with exact quantiles computed by prefix counts (no per-label map)."""
+    return R(rates.label_summary(ledger(spark, sf, ["amt", "is_fraud"]), "amt", distributed=True))
+
+
 @register("amount_class_ratio", with_ledger(f"""
 WITH s AS (SELECT is_fraud, avg(amt) AS mean, quantile_cont(amt, 0.5) AS median,
   quantile_cont(amt, 0.9) AS p90, max(amt) AS "max" FROM ledger WHERE is_fraud IS NOT NULL GROUP BY 1),

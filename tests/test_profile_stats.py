@@ -87,3 +87,16 @@ def test_chi2_sf_known_values():
     assert abs(chi2_sf_value(3.841458820694124, 1) - 0.05) < 1e-9
     assert abs(chi2_sf_value(5.991464547107979, 2) - 0.05) < 1e-9
     assert abs(chi2_sf_value(18.307038053275146, 10) - 0.05) < 1e-9
+
+
+def test_distributed_quantiles_equal_percentile(spark):
+    rng = np.random.default_rng(11)
+    rows = [(int(g), float(v)) for g, v in zip(rng.integers(0, 3, 3000), np.round(rng.gamma(2, 50, 3000), 1))]
+    df = spark.createDataFrame(rows, "g int, x double")
+    ps = [0.0, 0.25, 0.5, 0.9, 0.99, 1.0]
+    a = {r["g"]: [round(r[f"p{int(round(p * 100))}"], 9) for p in ps]
+         for r in profile.distributed_quantiles(df, "x", ps, by=["g"]).collect()}
+    b = {r["g"]: [round(v, 9) for v in r["q"]] for r in df.groupBy("g").agg(F.percentile("x", ps).alias("q")).collect()}
+    assert a == b
+    one = profile.distributed_quantiles(df, "x", [0.5]).first()["p50"]
+    assert round(one, 9) == round(df.agg(F.percentile("x", 0.5)).first()[0], 9)
