@@ -193,8 +193,10 @@ def box_stats(df: DataFrame, col: str, *, by: Sequence[str] = (), k: float = 1.5
     x = F.col(col)
     inside = x.between(F.col("lower_fence"), F.col("upper_fence"))
     joined = df.filter(x.isNotNull())
-    joined = joined.join(F.broadcast(f) if not by else f, by, "inner") if by else \
-        joined.withColumns({c: f.select(c).scalar() for c in ["lower_fence", "upper_fence"]})
+    if by:   # one fence row per group, joined on the group key
+        joined = joined.join(f, by, "inner")
+    else:    # global fences are scalar subqueries
+        joined = joined.withColumns({c: f.select(c).scalar() for c in ["lower_fence", "upper_fence"]})
     agg = joined.groupBy(*by).agg(F.min(F.when(inside, x)).alias("whisker_low"),
                                   F.max(F.when(inside, x)).alias("whisker_high"),
                                   F.count(F.when(~inside, 1)).alias("outlier_count"),

@@ -9,7 +9,6 @@ distinct values into one task.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -131,5 +130,3 @@ def chi2_p_dof1(x: Column) -> Column:
     from ledgerlens.functions.special import erfc
     return erfc(F.sqrt(x / 2))
 
-
-SQRT2 = math.sqrt(2.0)
