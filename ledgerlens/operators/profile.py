@@ -38,25 +38,34 @@ def _quantiles(v: Column, ps: Sequence[float], approx: bool, accuracy: int) -> C
 
 def univariate(df: DataFrame, cols: Sequence[str], *, stats: Sequence[str] = FULL_STATS,
                by: Sequence[str] = (), fence: float = 1.5, approx: bool = False,
-               accuracy: int = 10000, decimals: int | None = None) -> DataFrame:
+               accuracy: int = 10000, decimals: int | None = None, distributed: bool = False) -> DataFrame:
     """A1/A2: one row per profiled column (and ``by`` group) with the chosen
     statistics. Exact linear-interpolated quartiles by default (N5), the
     smallest of tied modes (N6), sample variance (N4), population skewness and
-    excess kurtosis (N3)."""
+    excess kurtosis (N3). ``distributed=True`` computes quartiles and mode
+    exactly without holding any column's distinct values in one task."""
     by = list(by)
     long = melt(df, cols, by=by)
     v = F.col("value")
     keys = [*by, "column"]
-    q = _quantiles(v, [0.25, 0.5, 0.75], approx, accuracy)
-    base = long.groupBy(*keys).agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), q.alias("_q"),
-        F.mode(v, True).alias("mode"), F.min(v).alias("min"), F.max(v).alias("max"),
-        F.var_samp(v).alias("variance"), F.stddev_samp(v).alias("std_dev"),
-        F.skewness(v).alias("skewness"), F.kurtosis(v).alias("kurtosis"))
-    base = base.withColumns({
-        "q1": F.col("_q")[0], "median": F.col("_q")[1], "q3": F.col("_q")[2],
-        "range": F.col("max") - F.col("min"),
-    }).withColumn("iqr", F.col("q3") - F.col("q1")).drop("_q")
+    moments = [F.count(v).alias("count"), F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"),
+               F.var_samp(v).alias("variance"), F.stddev_samp(v).alias("std_dev"),
+               F.skewness(v).alias("skewness"), F.kurtosis(v).alias("kurtosis")]
+    if distributed:
+        # no per-column value maps: quartiles by prefix counts, mode from
+        # (column, value) counts with the smallest value among the most frequent
+        base = long.groupBy(*keys).agg(*moments)
+        qs = distributed_quantiles(long, "value", [0.25, 0.5, 0.75], by=keys, names=["q1", "median", "q3"])
+        vc = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_k"))
+        top = vc.groupBy(*keys).agg(F.max("_k").alias("_top"))
+        mode = (vc.join(top, keys).filter(F.col("_k") == F.col("_top"))
+                  .groupBy(*keys).agg(F.min("value").alias("mode")))
+        base = base.join(qs, keys).join(mode, keys)
+    else:
+        q = _quantiles(v, [0.25, 0.5, 0.75], approx, accuracy)
+        base = long.groupBy(*keys).agg(*moments, q.alias("_q"), F.mode(v, True).alias("mode"))
+        base = base.withColumns({"q1": F.col("_q")[0], "median": F.col("_q")[1], "q3": F.col("_q")[2]}).drop("_q")
+    base = base.withColumn("range", F.col("max") - F.col("min")).withColumn("iqr", F.col("q3") - F.col("q1"))
     base = base.withColumns({"lower_bound": F.col("q1") - fence * F.col("iqr"),
                              "upper_bound": F.col("q3") + fence * F.col("iqr")})
     if {"outlier_count", "outlier_pct"} & set(stats):

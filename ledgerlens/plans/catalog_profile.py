@@ -57,6 +57,12 @@ def amount_univariate(spark, sf):
     return _round_profile(profile.univariate(df, ["amt"]))
 
 
+@register("amount_univariate_distributed", with_events(_univariate_sql("ev", "amt", "amt", True)))
+def amount_univariate_distributed(spark, sf):
+    df = event_ledger(spark, sf, ["amt"])
+    return _round_profile(profile.univariate(df, ["amt"], distributed=True))
+
+
 @register("distance_univariate", with_ledger(_univariate_sql("ledger", DIST, "distance_miles", False)))
 def distance_univariate(spark, sf):
     df = ledger(spark, sf, ["lat", "long", "merch_lat", "merch_long"]).withColumn(
