@@ -86,8 +86,9 @@ def cut(col, bins: Sequence[float], labels: Sequence[str], right: bool = True) -
 def bin_domain(spark, labels: Sequence[str], name: str = "label") -> DataFrame:
     """Declared domain of an ordered category: (label, ord). Tiny and fixed by
     the caller's label list, so it is safe to broadcast."""
-    return spark.createDataFrame([(lab, i) for i, lab in enumerate(labels)],
-                                 f"{name} string, {name}_ord int")
+    rows = F.array(*[F.struct(F.lit(lab).alias(name), F.lit(i).alias(f"{name}_ord"))
+                     for i, lab in enumerate(labels)])
+    return spark.range(1).select(F.inline(rows))   # a literal plan: the planner sees its tiny size
 
 
 def haversine_miles(lat1, lon1, lat2, lon2, decimals: int = 2) -> Column:
