@@ -6,7 +6,6 @@ cluster the caller owns the session and its configuration.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,22 +41,27 @@ def get_spark(app: str = "ledgerlens", cpus: int | str = "*",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for reliable checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; we only invent one (under
-    the local temp folder) when the session has none, as in tests.
+    A cluster names it in ``spark.checkpoint.dir``. Only a ``local[...]``
+    master, where driver and executors share one disk, gets a temporary folder
+    when the session has none (as in tests); anywhere else that is an error,
+    since executors would write to disks nobody else can read.
     """
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(
+                f"spark.checkpoint.dir is not set and the master is {master}: name a folder that "
+                "the driver and all executors share")
         d = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table inside the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base.replace("file:", ""), name) if base.startswith("file:") \
-        else f"{base.rstrip('/')}/{name}"
+    """A path for an intermediate table inside the shared checkpoint folder
+    (with its scheme, so the default file system does not matter)."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}"
