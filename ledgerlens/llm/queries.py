@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import byte_bpe, exact_dedup, token_store
+from ledgerlens.llm import byte_bpe, decontaminate, exact_dedup, token_store
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,27 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_token_store")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.write_and_check(table(spark, sf_dir, "documents"))
+
+
+@query("op10_decontaminate", r"""
+WITH RECURSIVE fold AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS up, 'abcdefghijklmnopqrstuvwxyz' AS low),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), up, low),
+                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents, fold),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), up, low),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark, fold),
+iw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, w[s:s + least(len(w), 10) - 1] AS win
+       FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS s FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM iw),
+dw AS (SELECT doc_id, n, s, w[s:s + n - 1] AS win
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n)),
+m AS (SELECT doc_id, item_id, s, n FROM dw JOIN iw USING (n, win)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+      FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM m) GROUP BY 1),
+t AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM m) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
