@@ -72,3 +72,45 @@ def chunks(batches: Iterator[pa.RecordBatch], max_bytes: int = CHUNK_BYTES) -> I
 def as_bytes(text: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column without decoding it."""
     return text.cast(pa.large_binary() if pa.types.is_large_string(text.type) else pa.binary()).to_pylist()
+
+
+HOT_SHARE = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """``rows`` joined with ``groups`` (one row per ``key``; ``size`` is the
+    number of rows it matches) without bringing a large group into one task:
+    groups over 1/1000 of ``total`` rows - fewer than 1000 there can be - are
+    broadcast, the others are joined by their key."""
+    is_hot = F.col(size) * HOT_SHARE > F.lit(total)
+    hot = F.broadcast(groups.filter(is_hot))
+    return (rows.join(hot, key)
+            .unionByName(rows.join(hot, key, "left_anti").join(groups.filter(~is_hot), key)))
+
+
+def components(links: DataFrame, name: str = "components") -> DataFrame:
+    """Connected components of ``links`` (a, b): a row (node, root) for every
+    node with a link, root being the smallest node of its component. Large-star
+    and small-star steps in turn until nothing changes; each step is a
+    map-side combined minimum and a join, and is written to the shared folder."""
+    edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                   .filter("a > b").distinct(), name)
+    seen = None
+    while True:
+        # large star: neighbours above a node move to the least of its neighbourhood
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = (both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                 .filter("a > b").distinct())
+        large = stored(large, name)
+        # small star: neighbours below a node, and the node, move to the least of them
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = (large.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+                 .filter("a > b").distinct())
+        edges = stored(small, name)
+        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if now == seen:
+            break
+        seen = now
+    roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
