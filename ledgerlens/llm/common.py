@@ -114,3 +114,25 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         seen = now
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def add_tables(parts: DataFrame, segment: int, slots: int) -> "np.ndarray":
+    """Sum count tables that tasks have cut into rows (segment, counts as
+    little-endian int32): ``slots`` numbers on the driver, whatever the input."""
+    import numpy as np
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for at, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                part = np.frombuffer(data, "<i4").astype(np.int64)
+                sums[at] = sums[at] + part if at in sums else part
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()),
+                                              pa.array([s.tobytes() for s in sums.values()], pa.binary())],
+                                             names=["segment", "counts"])
+
+    out = np.zeros(slots, np.int64)
+    for r in parts.repartition("segment").mapInArrow(run, "segment int, counts binary").collect():
+        out[r.segment * segment:(r.segment + 1) * segment] = np.frombuffer(r.counts, np.int64)
+    return out
