@@ -20,6 +20,7 @@ import base64
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +29,10 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import chunks, id_text, id_type
 
-CACHE_PIECES = 300_000   # pieces kept per worker; the cache starts anew beyond
+CACHE_PIECES = 300_000   # pieces kept per worker
 LONG_PIECE = 256         # longer pieces are merged with a heap, one by one
 BLOCK = 256              # code points per block of the scan
+DECODE_ROWS = 256        # rows decoded at a time
 
 
 def default_ranks() -> str:
@@ -307,8 +309,8 @@ class Vocabulary:
         distinct = set(pieces)
         new = [p for p in distinct if p not in self.cache]
         if len(self.cache) + len(new) > CACHE_PIECES:
-            self.cache.clear()
-            new = list(distinct)
+            self.cache = dict(islice(self.cache.items(), len(self.cache) // 2, None))  # the older half goes
+            new = [p for p in distinct if p not in self.cache]
         self.cache.update(zip(new, self.merge([p.encode() for p in new])))
         ids = np.frombuffer(b"".join(map(self.cache.__getitem__, pieces)), "<i4")
         ends = np.cumsum(self.lengths[ids])
@@ -328,6 +330,30 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 # -------------------------------------------------------------- operators
+def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(values, pa.int32()))
+
+
+def _encoded(vocab: Vocabulary, texts: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
+    """Ids and token ends of each text."""
+    ids, ends, counts = vocab.encode(texts)
+    sizes = [len(t.encode()) for t in texts]
+    base = np.repeat(np.cumsum([0, *sizes[:-1]]), counts)
+    return _lists(ids, counts), _lists(ends - base, counts)
+
+
+def _decoded(vocab: Vocabulary, ids: pa.ListArray, ends: pa.ListArray) -> Iterator[bytes]:
+    """Bytes of each row of ids. The token ends must agree with them: if not,
+    the ids are not of this vocabulary."""
+    token = vocab.tokens.__getitem__
+    for i in range(len(ids)):
+        row = ids[i].values.to_numpy()
+        data = b"".join(map(token, row.tolist()))
+        if len(row) and ends[i].values[len(row) - 1].as_py() != len(data):
+            raise ValueError("token ends do not fit the decoded bytes")
+        yield data
+
+
 def encode(docs: DataFrame, ranks: str | None = None) -> DataFrame:
     """(doc_id, ids array<int>, ends array<int>) of every row of ``docs``:
     token ids of the whole text, and the byte offset at which each token ends
@@ -337,50 +363,41 @@ def encode(docs: DataFrame, ranks: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for doc, text in chunks(batches):
-            texts = text.to_pylist()
-            ids, ends, counts = vocab.encode(texts)
-            offsets = np.append(0, np.cumsum(counts))
-            base = np.cumsum([len(t.encode()) for t in texts])
-            base = np.repeat(np.append(0, base[:-1]), counts)
-            yield pa.RecordBatch.from_arrays(
-                [doc, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32())),
-                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ends - base, pa.int32()))],
-                names=["doc_id", "ids", "ends"])
+            yield pa.RecordBatch.from_arrays([doc, *_encoded(vocab, text.to_pylist())], names=["doc_id", "ids", "ends"])
 
     return id_text(docs).mapInArrow(run, f"doc_id {id_type(docs)}, ids array<int>, ends array<int>")
 
 
 def decode(encoded: DataFrame, ranks: str | None = None) -> DataFrame:
-    """``encoded`` with the column ``decoded`` (bytes of the ids in order). The
-    token ends must agree with the bytes, else the row's ids are not of this
-    vocabulary and the job fails."""
+    """(doc_id, decoded): the bytes of the ids of each row, in order."""
     path = ranks or default_ranks()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for b in batches:
-            ids, ends = b.column("ids"), b.column("ends")
-            out = []
-            for i in range(b.num_rows):
-                row = ids[i].values.to_numpy()
-                data = b"".join(map(vocab.tokens.__getitem__, row.tolist()))
-                if len(row) and ends[i].values[len(row) - 1].as_py() != len(data):
-                    raise ValueError("token ends do not fit the decoded bytes")
-                out.append(data)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())],
-                                             names=[*b.schema.names, "decoded"])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
-    return encoded.mapInArrow(run, f"{schema}, decoded binary")
+            for a in range(0, b.num_rows, DECODE_ROWS):
+                part = b.slice(a, DECODE_ROWS)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(_decoded(vocab, part.column(1), part.column(2)), pa.binary())],
+                    names=["doc_id", "decoded"])
 
-
-def digests(decoded: DataFrame) -> DataFrame:
-    """Per document: number of tokens, digest of the ids in decimal, digest of the decoded bytes."""
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+    return (encoded.select("doc_id", "ids", "ends")
+            .mapInArrow(run, f"doc_id {id_type(encoded)}, decoded binary"))
 
 
 def roundtrip(docs: DataFrame, ranks: str | None = None) -> DataFrame:
-    return digests(decode(encode(docs, ranks), ranks))
+    """Encode every text and decode its ids, in one pass of a task: doc_id,
+    n_tokens, and digests of the ids in decimal and of the decoded bytes."""
+    path = ranks or default_ranks()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = vocabulary(path)
+        for doc, text in chunks(batches):
+            ids, ends = _encoded(vocab, text.to_pylist())
+            yield pa.RecordBatch.from_arrays([doc, ids, pa.array(_decoded(vocab, ids, ends), pa.binary())],
+                                             names=["doc_id", "ids", "decoded"])
+
+    both = id_text(docs).mapInArrow(run, f"doc_id {id_type(docs)}, ids array<int>, decoded binary")
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import byte_bpe, decontaminate, exact_dedup, ngram_join, token_store
+from ledgerlens.llm import (byte_bpe, chat_format, decontaminate, exact_dedup, langid, ngram_join, secret_scan,
+                            token_store, toxicity)
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,29 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.roundtrip(table(spark, sf_dir, "documents"))
 
 
+@query("op3_chat_format", r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, length(replace(replace(replace(replace(replace(replace(replace(text,
+        '\', '\\'), '<s>', '<\s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]'), '</s>', '<\/s>'),
+        '<<SYS>>', '<\<SYS>>'), '<</SYS>>', '<\</SYS>>')) + length(role) AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars + 21)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("</s>[INST] ok [/INST]")
+    probe = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    return chat_format.digests(chat_format.format_chats(chats.unionByName(probe)))
+
+
 @query("op4_exact_dedup", """
 WITH t AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                            'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),
@@ -41,6 +65,21 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
 
 
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op6_secret_scan")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op8_token_store")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.write_and_check(table(spark, sf_dir, "documents"))

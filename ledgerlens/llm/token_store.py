@@ -23,9 +23,12 @@ a text are ordinary text.
 from __future__ import annotations
 
 import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,7 @@ from ledgerlens.llm.common import as_bytes, chunks, id_text, id_type, scratch, s
 
 SEQUENCE = 512           # tokens of a sequence
 BATCH_SEQUENCES = 256    # sequences of a record batch
-CACHE_WORDS = 400_000    # words kept per worker; the cache starts anew beyond
+CACHE_WORDS = 700_000    # words, and word parts, kept per worker
 END_ID = 1
 
 
@@ -55,39 +58,53 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.words: dict[bytes, bytes] = {}
         self.cores: dict[bytes, bytes] = {}
-        # An ASCII word with marks after it is two pieces that the library's
-        # normaliser only lower-cases; its model can take them directly.
-        self.plain = re.compile(rb"([A-Za-z]+)([.,!?;:]*)")
+        # A word of letters with marks after it is two pieces, so both parts can
+        # be kept apart. An ASCII part is only lower-cased by the library's
+        # normaliser (done here already); its model can take it directly.
+        self.parts = re.compile(rb"([a-z\x80-\xff]+)([.,!?;:]*)")
 
     def _pack(self, ids) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
-    def _core(self, piece: bytes) -> bytes:
+    def _plain(self, piece: bytes) -> bytes:
         got = self.cores.get(piece)
         if got is None:
             got = self.cores[piece] = self._pack([t.id for t in self.tokenizer.model.tokenize(piece.decode())])
         return got
 
     def _learn(self, words: list[bytes]) -> None:
-        other = []
+        if len(self.cores) + len(words) > CACHE_WORDS:
+            self.cores = dict(islice(self.cores.items(), len(self.cores) // 2, None))
+        split, new = [], {}
         for w in words:
-            if m := self.plain.fullmatch(w):
-                self.words[w] = self._core(m[1].lower()) + (self._core(m[2]) if m[2] else b"")
-            else:
-                other.append(w)
-        for w, e in zip(other, self.tokenizer.encode_batch([w.decode() for w in other], add_special_tokens=False)):
-            self.words[w] = self._pack(e.ids)
+            m = self.parts.fullmatch(w)
+            if m and m[1].isascii():
+                self.words[w] = self._plain(m[1]) + (self._plain(m[2]) if m[2] else b"")
+                continue
+            core, marks = (m[1], m[2]) if m and m[1].decode().isalpha() else (w, b"")
+            split.append((w, core, marks))
+            if core not in self.cores:
+                new[core] = None
+        texts = [c.decode() for c in new]
+        for core, e in zip(new, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+            self.cores[core] = self._pack(e.ids)
+        for w, core, marks in split:
+            self.words[w] = self.cores[core] + (self._plain(marks) if marks else b"")
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]  # bytes.split() parts at ASCII white space only
+        # lower() changes A-Z only, as the normaliser would; split() parts at ASCII white space only
+        split = [t.lower().split() for t in texts]
         distinct = set().union(*split) if split else set()
         new = [w for w in distinct if w not in self.words]
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.words.clear()
-            self.cores.clear()
-            new = list(distinct)
+        if len(self.words) + len(new) > CACHE_WORDS:  # the older half goes
+            self.words = dict(islice(self.words.items(), len(self.words) // 2, None))
+            new = [w for w in distinct if w not in self.words]
         self._learn(new)
         get = self.words.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
