@@ -28,7 +28,7 @@ has a null component; an empty table gives an empty result; other columns are ig
 from __future__ import annotations
 
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import (as_bytes, chunks, components, id_text, id_type, join_groups, release_shuffles,
+from ledgerlens.llm.common import (add_tables, as_bytes, chunks, components, id_text, id_type, join_groups, release_shuffles,
                                    stored)
 
 N = 5
@@ -44,6 +44,7 @@ PERCENT = 80
 SLOTS = 1 << 21       # slots of the count table
 SEGMENT = 1 << 15     # slots of a row when tables of tasks are added up
 KNOWN = 200_000       # classes that a task remembers to skip exact copies
+ID_SLOTS = 1 << 20    # bits of the filter of wanted ids
 PIVOT_ROUNDS = 4
 PAIR_FACTOR = 4       # pairs per prefix row from which another pivot round is cheaper than pairing
 
@@ -174,18 +175,40 @@ def prefixes(docs: DataFrame, levels, n: int = N, percent: int = PERCENT) -> Dat
     return stored(id_text(docs).mapInArrow(run, "gram bigint, cls bigint, size int"), "prefixes")
 
 
-def sets_of(docs: DataFrame, levels, n: int = N) -> DataFrame:
-    """Stored (cls, keys): whole sets in rare-first order, for the given rows."""
+def sets_of(docs: DataFrame, wanted: DataFrame, levels, n: int = N) -> DataFrame:
+    """Stored (cls, keys): whole sets, in rare-first order, of the documents whose
+    id is in ``wanted`` (id). The ids go to the tasks as a bit per hash slot, of
+    fixed size, so the texts are filtered where they are read and not shuffled;
+    a few sets more than wanted come along."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(ID_SLOTS, np.int32)
+        for b in batches:
+            bits[b.column(0).to_numpy()] = 1
+        parts = bits.reshape(-1, SEGMENT)
+        some = np.flatnonzero(parts.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()),
+                                          pa.array([parts[i].tobytes() for i in some], pa.binary())],
+                                         names=["segment", "counts"])
+
+    def slot(col: str):
+        return F.pmod(F.xxhash64(col), F.lit(ID_SLOTS)).cast("int").alias("slot")
+
+    marks = wanted.select(slot("id")).distinct().mapInArrow(count, "segment int, counts binary")
+    bits = docs.sparkSession.sparkContext.broadcast(add_tables(marks, SEGMENT, ID_SLOTS) > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = levels.value
-        for _, text in chunks(batches):
-            sets = [s for t in as_bytes(text) if len(s := shingles(t, n))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([class_of(s) for s in sets], pa.int64()),
-                 pa.array([ordered_keys(s, order).tobytes() for s in sets], pa.binary())], names=["cls", "keys"])
+        for b in batches:
+            b = b.filter(pa.array(bits.value[b.column(2).to_numpy()]))
+            for _, text in chunks([b]):
+                sets = [s for t in as_bytes(text) if len(s := shingles(t, n))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([class_of(s) for s in sets], pa.int64()),
+                     pa.array([ordered_keys(s, order).tobytes() for s in sets], pa.binary())], names=["cls", "keys"])
 
-    return stored(id_text(docs).mapInArrow(run, "cls bigint, keys binary"), "sets")
+    rows = id_text(docs).select("doc_id", "text", slot("doc_id"))
+    return stored(rows.mapInArrow(run, "cls bigint, keys binary"), "sets")
 
 
 # --------------------------------------------------------- verification
@@ -254,11 +277,12 @@ def _shared_needed(n1, n2, percent: int):
     return F.greatest(F.lit(1), F.least(least(n1, n2), least(n2, n1)))
 
 
-def link_classes(rows: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+def link_classes(rows: DataFrame, sets_for: Callable[[DataFrame], DataFrame], percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between classes that have the same components as all links
-    have. ``rows``: (gram, cls, size), distinct, of n-grams that two classes share."""
+    have. ``rows``: (gram, cls, size), distinct, of n-grams that two classes share;
+    ``sets_for`` gives the sets of the classes (id) it is asked for."""
     total = rows.count()
-    links = None
+    links: DataFrame | None = None
     labels = None
     for turn in range(PIVOT_ROUNDS + 1):
         if labels is None:
@@ -302,7 +326,10 @@ def link_classes(rows: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Da
                      .groupBy(F.col("cls").alias("a"), "b").agg(F.count(F.lit(1)).alias("shared"),
                                                                 F.max("size").alias("n1"))
                      .filter(F.col("shared") >= F.ceil(F.col("n1") * (100 - percent) / 500.0)))
-        found = verified(stored(pairs, "pairs"), sets, percent)
+        pairs = stored(pairs.select("a", "b"), "pairs")
+        release_shuffles(rows.sparkSession)
+        asked = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        found = verified(pairs, sets_for(asked), percent)
         links = found if links is None else stored(links.unionByName(found), "all-links")
         if last:
             break
@@ -331,13 +358,11 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     met = stored(grams.join(shared, "gram").dropDuplicates(["gram", "cls"]), "met")
     release_shuffles(spark)
 
-    candidates = met.select("cls").distinct()
-    reps = stored(classes.join(candidates, "cls", "left_semi").select(F.col("rep").alias("__rep")), "candidates")
-    plain = id_text(docs)
-    sets = sets_of(plain.join(reps, plain["doc_id"].eqNullSafe(reps["__rep"]), "left_semi"), levels, n)
-    release_shuffles(spark)
+    def sets_for(asked: DataFrame) -> DataFrame:
+        reps = classes.join(asked.withColumnRenamed("id", "cls"), "cls", "left_semi")
+        return sets_of(docs, reps.select(F.col("rep").alias("id")), levels, n)
 
-    roots = components(link_classes(met, sets, percent))
+    roots = components(link_classes(met, sets_for, percent))
     of = (classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
           .withColumn("root", F.coalesce("root", "cls")))
     least = of.groupBy("root").agg(F.min("rep").alias("component_id"))

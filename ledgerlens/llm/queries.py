@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import (byte_bpe, chat_format, decontaminate, exact_dedup, langid, ngram_join, secret_scan,
-                            token_store, toxicity)
+from ledgerlens.llm import (byte_bpe, chat_format, decontaminate, exact_dedup, langid, license_scan,
+                            ngram_join, secret_scan, token_store, toxicity)
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,11 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op1_license_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 @query("op2_byte_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.roundtrip(table(spark, sf_dir, "documents"))
