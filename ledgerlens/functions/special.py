@@ -19,30 +19,50 @@ def erfc(x: pd.Series) -> pd.Series:
     return x.map(lambda v: math.erfc(v) if v is not None and not math.isnan(v) else float("nan"))
 
 
+LARGE_A = 1e6
+
+
+def _gamma_q_large(a: float, x: float) -> float:
+    """Leading terms of the uniform expansion of Q(a, x); the error is below
+    1/a of the value's scale."""
+    d = (x - a) / a
+    if abs(d) < 1e-3:  # the series of eta around x = a
+        eta = d * (1 - d / 3 + 7 * d * d / 36 - 73 * d ** 3 / 540)
+        c0 = -1 / 3 + eta / 12
+    else:
+        eta = math.copysign(math.sqrt(2 * (d - math.log1p(d))), d)
+        c0 = 1 / d - 1 / eta
+    tail = 0.5 * math.erfc(eta * math.sqrt(a / 2))
+    return min(1.0, max(0.0, tail + math.exp(-a * eta * eta / 2) / math.sqrt(2 * math.pi * a) * c0))
+
+
 def _gamma_q(a: float, x: float) -> float:
-    """Regularised upper incomplete gamma Q(a, x): series below a+1,
-    continued fraction (modified Lentz) above."""
+    """Regularised upper incomplete gamma Q(a, x): series below a+1, continued
+    fraction (modified Lentz) above, both until they have converged (about
+    sqrt(a) terms); for very large a the uniform asymptotic form."""
     if x < 0 or a <= 0:
         return float("nan")
     if x == 0:
         return 1.0
+    if a > LARGE_A:
+        return _gamma_q_large(a, x)
     lg = math.lgamma(a)
     if x < a + 1:
         term = total = 1.0 / a
         ap = a
-        for _ in range(10000):
+        while abs(term) >= abs(total) * 1e-16:
             ap += 1
             term *= x / ap
             total += term
-            if abs(term) < abs(total) * 1e-16:
-                break
         return max(0.0, 1.0 - total * math.exp(-x + a * math.log(x) - lg))
     tiny = 1e-300
     b = x + 1 - a
     c = 1 / tiny
     d = 1 / b
     h = d
-    for i in range(1, 10000):
+    i, delta = 0, 0.0
+    while abs(delta - 1) >= 4e-16:
+        i += 1
         an = -i * (i - a)
         b += 2
         d = an * d + b
@@ -52,8 +72,6 @@ def _gamma_q(a: float, x: float) -> float:
         d = 1 / d
         delta = d * c
         h *= delta
-        if abs(delta - 1) < 1e-16:
-            break
     return math.exp(-x + a * math.log(x) - lg) * h
 
 

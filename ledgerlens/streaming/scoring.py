@@ -2,10 +2,10 @@
 hourly fraud rate (ST1–ST3).
 
 The row rules are plain Column expressions, so the batch and the streaming
-scorer are the same function. Streams write through ``foreachBatch`` into
-append-only tables in the shared checkpoint folder; a re-run after a lost
-executor or driver resumes from the stream checkpoint, and readers keep the
-newest version of each key, so a replayed micro-batch cannot double count.
+scorer are the same function. Streams write through ``foreachBatch``, one
+folder per micro-batch, overwritten: a batch that is replayed after a lost
+executor or driver replaces its earlier attempt. Given the same table and
+checkpoint paths, a later run goes on from the last committed batch.
 """
 
 from __future__ import annotations
@@ -49,26 +49,40 @@ def hourly_rate(df: DataFrame, *, ts: str = TS, label: str = "is_fraud", window:
                       (F.try_divide(F.col("fraud_transactions"), F.col("transactions")) * 100).alias("fraud_pct"))
 
 
-def _run(stream_writer, timeout: float = 600) -> None:
-    q_ = stream_writer.trigger(availableNow=True).start()
-    q_.awaitTermination(timeout)
-    if q_.exception() is not None:
-        raise q_.exception()
+def _run(stream_writer, timeout: float | None = None) -> None:
+    """Drain everything that is available. With a ``timeout`` the query is
+    stopped and the call raises when it is not done by then; it never returns
+    with part of the input."""
+    query = stream_writer.trigger(availableNow=True).start()
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
+        query.stop()
+        raise TimeoutError(f"the stream was not drained within {timeout} s; a later run with the same "
+                           "checkpoint goes on from its last committed micro-batch")
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """One folder per micro-batch, overwritten: a replayed batch replaces its
+    earlier attempt. Read back, the folder name is the column ``_batch``."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/_batch={batch_id}")
 
 
 def run_to_table(stream: DataFrame, name: str, *, mode: str = "append", path: str | None = None,
-                 timeout: float = 600) -> str:
-    """Drain a stream (availableNow) into a parquet table; each micro-batch is
-    appended with its batch id. Returns the table path."""
+                 checkpoint: str | None = None, timeout: float | None = None) -> str:
+    """Drain a stream (availableNow) into a parquet table, a folder per batch
+    id. With the same ``path`` and ``checkpoint`` a later call goes on where
+    this one ended; without them each call starts anew. Returns the table path."""
     spark = stream.sparkSession
     tag = f"{name}-{uuid.uuid4().hex[:8]}"
     path = path or scratch_path(spark, f"streams/{tag}/table")
-    ckpt = scratch_path(spark, f"streams/{tag}/checkpoint")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(path)
-
-    _run(stream.writeStream.outputMode(mode).option("checkpointLocation", ckpt).foreachBatch(write), timeout)
+    ckpt = checkpoint or scratch_path(spark, f"streams/{tag}/checkpoint")
+    # an empty folder of the right schema, so that a stream without data gives an empty table
+    _write_batch(spark.createDataFrame([], stream.schema), path, -1)
+    _run(stream.writeStream.outputMode(mode).option("checkpointLocation", ckpt).foreachBatch(
+        lambda batch, batch_id: _write_batch(batch, path, batch_id)), timeout)
     return path
 
 
@@ -93,21 +107,29 @@ def score_stream(stream: DataFrame) -> DataFrame:
 
 
 def gate_stream(stream: DataFrame, suite: q.Suite, *, sink: str | None = None,
-                quarantine: str | None = None) -> DataFrame:
+                quarantine: str | None = None, results: str | None = None,
+                checkpoint: str | None = None) -> DataFrame:
     """ST2: validate each micro-batch; batches that pass go to ``sink``,
-    failing ones to ``quarantine``. Returns the per-batch result rows."""
+    failing ones to ``quarantine`` (a folder per batch id in each, so a replay
+    replaces its earlier attempt). Uniqueness is checked within a batch.
+    Returns the result rows of all batches."""
     spark = stream.sparkSession
     tag = uuid.uuid4().hex[:8]
-    results = scratch_path(spark, f"streams/gate-{tag}/results")
+    results = results or scratch_path(spark, f"streams/gate-{tag}/results")
     sink = sink or scratch_path(spark, f"streams/gate-{tag}/accepted")
     quarantine = quarantine or scratch_path(spark, f"streams/gate-{tag}/quarantine")
-    ckpt = scratch_path(spark, f"streams/gate-{tag}/checkpoint")
+    ckpt = checkpoint or scratch_path(spark, f"streams/gate-{tag}/checkpoint")
+    _write_batch(spark.createDataFrame([], q.RESULT_SCHEMA), results, -1)
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        res = q.validate(batch, suite, run_id=f"batch-{batch_id}", checkpoint="stream")
-        ok = all(r["success"] for r in res.select("success").collect())
-        res.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(results)
-        batch.write.mode("append").parquet(sink if ok else quarantine)
+        batch.persist()  # read by the checks and by the write
+        try:
+            res = q.validate(batch, suite, run_id=f"batch-{batch_id}", checkpoint="stream")
+            ok = all(r["success"] for r in res.select("success").collect())
+            _write_batch(batch, sink if ok else quarantine, batch_id)
+            _write_batch(res, results, batch_id)
+        finally:
+            batch.unpersist()
 
     _run(stream.writeStream.option("checkpointLocation", ckpt).foreachBatch(check))
     return spark.read.parquet(results)
