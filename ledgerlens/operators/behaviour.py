@@ -2,20 +2,22 @@
 entity holds a large share of all rows.
 
 A plain ``Window.partitionBy(user)`` sends every row of a user to one task.
-Here every window is partitioned by (entity, day) instead, and what lies
-before the day comes from a per-(entity, day) aggregate:
-
-* history before the current day = running totals over the entity's *daily
-  aggregates* (one row per active day, so a small window even for a hot
-  entity) — a join on (entity, day) brings it back;
-* the part of the current day before the row = a window over (entity, day);
-* for a rolling window of N days, the partial first day (the day N days
-  back, from the current time of day on) is a copy of that day's rows
-  shifted forward by N days into the current (entity, day) partition, summed
-  from the current time onward. Each row is copied once.
-
-All frames end strictly before the current timestamp, so a row never sees
-its own label (no leakage into model features).
+Here every window is partitioned by (entity, hour) instead, and what lies
+before the hour comes from a per-(entity, hour) aggregate:
+
+* history before the current hour = running totals over the entity's *hourly
+  aggregates* (one row per active hour, so a small window even for a hot
+  entity) — a join on (entity, hour) brings it back;
+* the part of the current hour before the row = a window over (entity, hour);
+* for a rolling window of N days, the partial first hour (the one N days
+  back, from the current time on) is a copy of that hour's rows shifted
+  forward by N days into the current (entity, hour) partition, summed from the
+  current time onward. Each row is copied once.
+
+Frames run from the unbounded start, in ascending or descending order, so
+each is one pass over its partition. All end strictly before the current
+timestamp, so a row never sees its own label (no leakage into model features).
+Rows without an entity (null key) are one entity of their own.
 """
 
 from __future__ import annotations
@@ -25,9 +27,9 @@ import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DAY_US = 86_400_000_000
+HOUR_US = 3_600_000_000
+DAY_US = 24 * HOUR_US
 _UNB = Window.unboundedPreceding
-_UNF = Window.unboundedFollowing
 
 
 _EPOCH = datetime.datetime(1970, 1, 1)
@@ -43,7 +45,7 @@ def micros(ts: str, ntz: bool = True) -> Column:
 
 def _prep(df: DataFrame, ts: str) -> DataFrame:
     ntz = df.schema[ts].dataType.simpleString() == "timestamp_ntz"
-    return df.withColumn("_t", micros(ts, ntz)).withColumn("_d", F.floor(F.col("_t") / DAY_US))
+    return df.withColumn("_t", micros(ts, ntz)).withColumn("_d", F.floor(F.col("_t") / HOUR_US))
 
 
 def _daily(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -51,25 +53,32 @@ def _daily(df: DataFrame, key: str, value: str) -> DataFrame:
                                      F.max("_t").alias("_dmax"))
 
 
+def _with_past(rows: DataFrame, past: DataFrame, key: str) -> DataFrame:
+    """Left join on (entity, hour), null entities included."""
+    past = past.withColumnsRenamed({key: "_pk", "_d": "_ph"})
+    return rows.join(past, rows[key].eqNullSafe(past["_pk"]) & (rows["_d"] == past["_ph"]), "left").drop("_pk", "_ph")
+
+
 def rolling_stats(df: DataFrame, key: str, ts: str, value: str, days: int, *,
                   sum_name: str, count_name: str) -> DataFrame:
     """Sum and count of ``value`` over the entity's rows in [t − days, t)."""
     base = _prep(df, ts)
     daily = _daily(base, key, value)
-    wdays = Window.partitionBy(key).orderBy("_d").rangeBetween(-(days - 1), -1)
+    wdays = Window.partitionBy(key).orderBy("_d").rangeBetween(-(24 * days - 1), -1)
     full = daily.select(key, "_d", F.sum("_ds").over(wdays).alias("_fs"), F.sum("_dc").over(wdays).alias("_fc"))
     halo = base.select(key, (F.col("_t") + days * DAY_US).alias("_t"), F.col(value).alias("_hv"))
-    halo = halo.withColumn("_d", F.floor(F.col("_t") / DAY_US)).withColumn("_halo", F.lit(True))
+    halo = halo.withColumn("_d", F.floor(F.col("_t") / HOUR_US)).withColumn("_halo", F.lit(True))
     u = base.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
     w = Window.partitionBy(key, "_d").orderBy("_t")
+    back = Window.partitionBy(key, "_d").orderBy(F.desc("_t")).rangeBetween(_UNB, 0)  # from the row's time on
     own = F.when(~F.col("_halo"), F.col(value))
     u = u.withColumns({
         "_ws": F.sum(own).over(w.rangeBetween(_UNB, -1)),
         "_wc": F.count(own).over(w.rangeBetween(_UNB, -1)),
-        "_es": F.sum("_hv").over(w.rangeBetween(0, _UNF)),
-        "_ec": F.count("_hv").over(w.rangeBetween(0, _UNF)),
+        "_es": F.sum("_hv").over(back),
+        "_ec": F.count("_hv").over(back),
     }).filter(~F.col("_halo"))
-    out = u.join(full, [key, "_d"], "left")
+    out = _with_past(u, full, key)
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     out = out.withColumns({sum_name: z("_fs") + z("_ws") + z("_es"),
                            count_name: (z("_fc") + z("_wc") + z("_ec")).cast("long")})
@@ -97,7 +106,7 @@ def history_stats(df: DataFrame, key: str, ts: str, value: str, *, sum_name: str
     before = daily.select(key, "_d", F.sum("_ds").over(wdays).alias("_fs"), F.sum("_dc").over(wdays).alias("_fc"))
     w = Window.partitionBy(key, "_d").orderBy("_t").rangeBetween(_UNB, -1)
     out = base.withColumns({"_ws": F.sum(value).over(w), "_wc": F.count(value).over(w)})
-    out = out.join(before, [key, "_d"], "left")
+    out = _with_past(out, before, key)
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     out = out.withColumns({sum_name: z("_fs") + z("_ws"), count_name: (z("_fc") + z("_wc")).cast("long")})
     return out.drop("_t", "_d", "_ws", "_wc", "_fs", "_fc")
@@ -124,7 +133,7 @@ def minutes_since_last(df: DataFrame, key: str, ts: str, tie: str, name: str = "
     daily = base.groupBy(key, "_d").agg(F.max("_t").alias("_dmax"))
     prev_day = daily.select(key, "_d", F.lag("_dmax").over(Window.partitionBy(key).orderBy("_d")).alias("_pd"))
     w = Window.partitionBy(key, "_d").orderBy("_t", tie)
-    out = base.withColumn("_pw", F.lag("_t").over(w)).join(prev_day, [key, "_d"], "left")
+    out = _with_past(base.withColumn("_pw", F.lag("_t").over(w)), prev_day, key)
     prev = F.coalesce(F.col("_pw"), F.col("_pd"))
     return out.withColumn(name, (F.col("_t") - prev) / 60_000_000.0).drop("_t", "_d", "_pw", "_pd")
 

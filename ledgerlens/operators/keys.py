@@ -72,13 +72,11 @@ def running_sum_global(df: DataFrame, order: Sequence[str], value: str, name: st
     ranged = df.repartitionByRange(*order_cols).withColumn("_pid", F.spark_partition_id())
     ranged = ranged.checkpoint(eager=True)
     sizes = ranged.groupBy("_pid").agg(F.sum(value).alias("_s"))
-    w = Window.orderBy("_pid")
-    if reverse:
-        off = F.sum("_s").over(w.rowsBetween(1, Window.unboundedFollowing))
-        frame = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(0, Window.unboundedFollowing)
-    else:
-        off = F.sum("_s").over(w.rowsBetween(Window.unboundedPreceding, -1))
-        frame = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    # from the end: the same frames in descending order (a frame to the unbounded end is summed anew for every row)
+    w = Window.orderBy(F.desc("_pid") if reverse else F.asc("_pid"))
+    off = F.sum("_s").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    ordered = [c.desc() for c in order_cols] if reverse else order_cols
+    frame = Window.partitionBy("_pid").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, 0)
     offsets = sizes.select("_pid", off.alias("_off"))
     zero = F.lit(0).cast(df.schema[value].dataType if not isinstance(
         df.schema[value].dataType, (T.IntegerType, T.ShortType, T.ByteType)) else T.LongType())
