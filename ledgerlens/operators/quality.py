@@ -15,7 +15,7 @@ import json
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,14 +74,31 @@ class Suite:
                      [Expectation(e["expectation_type"], dict(e["kwargs"]), dict(e.get("meta") or {}))
                       for e in d["expectations"]], dict(d.get("meta") or {}))
 
-    def save(self, path: str) -> None:
-        with open(path, "w", encoding="utf-8") as fh:
-            fh.write(self.to_json())
+    def save(self, path: str, spark: SparkSession | None = None) -> None:
+        """Write the suite as one JSON file through Spark's file system layer
+        (any store that Spark can reach)."""
+        fs, p, jvm = _file(path, spark)
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(self.to_json().encode("utf-8")))
+        finally:
+            out.close()
 
     @staticmethod
-    def load(path: str) -> Suite:
-        with open(path, encoding="utf-8") as fh:
-            return Suite.from_json(fh.read())
+    def load(path: str, spark: SparkSession | None = None) -> Suite:
+        fs, p, jvm = _file(path, spark)
+        src = fs.open(p)
+        try:
+            return Suite.from_json(jvm.org.apache.commons.io.IOUtils.toString(src, "UTF-8"))
+        finally:
+            src.close()
+
+
+def _file(path: str, spark: SparkSession | None):
+    spark = spark or SparkSession.active()
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
 # ---------------------------------------------------------------------------
@@ -159,22 +176,29 @@ def _aligned_set(values: list, dtype: T.DataType) -> list:
     return res
 
 
+def is_missing(df: DataFrame, column: str) -> Column:
+    """Null, or NaN in a floating column (which Spark orders above every number)."""
+    c = F.col(column)
+    return c.isNull() | F.isnan(c) if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)) else c.isNull()
+
+
 def unexpected_condition(e: Expectation, df: DataFrame) -> Column:
-    """Row-level failure of a scan check (null handling per type)."""
+    """Row-level failure of a scan check (missing values fail only the null check)."""
     c = F.col(e.column)
     k = e.kwargs
+    missing = is_missing(df, e.column)
     if e.expectation_type == NOT_NULL:
-        return c.isNull()
+        return missing
     if e.expectation_type == BETWEEN:
         ok = F.lit(True)
         if k.get("min_value") is not None:
             ok = ok & ((c > k["min_value"]) if k.get("strict_min") else (c >= k["min_value"]))
         if k.get("max_value") is not None:
             ok = ok & ((c < k["max_value"]) if k.get("strict_max") else (c <= k["max_value"]))
-        return c.isNotNull() & ~ok
+        return ~missing & ~ok
     if e.expectation_type == IN_SET:
         vals = _aligned_set(list(k["value_set"]), df.schema[e.column].dataType)
-        return c.isNotNull() & ~c.isin(*vals)
+        return ~missing & ~c.isin(*vals)
     raise ValueError(e.expectation_type)
 
 
@@ -197,10 +221,11 @@ def _check_counts(df: DataFrame, suite: Suite) -> DataFrame:
         c = F.col(e.column)
         if t == OF_TYPE:
             continue
-        entries.append(F.when(c.isNull(), entry(_MISSING + i, F.lit(None))))
+        missing = is_missing(df, e.column)
+        entries.append(F.when(missing, entry(_MISSING + i, F.lit(None))))
         if t == UNIQUE:
             uniques.append(i)
-            entries.append(F.when(c.isNotNull(), entry(i, c)))
+            entries.append(F.when(~missing, entry(i, c)))
         else:
             entries.append(F.when(unexpected_condition(e, df), entry(i, c)))
     exploded = df.select(F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("_e"))
@@ -255,11 +280,11 @@ def validate(df: DataFrame, suite: Suite, *, run_id: str = "", checkpoint: str =
         row.update(element_count=n, unexpected_count=u, partial_unexpected_list=lists.get(i, []),
                    partial_unexpected_counts=tops.get(i, []), unexpected_percent_total=pct(u, n))
         if t == NOT_NULL:
-            row.update(unexpected_percent=pct(u, n), success=(1 - u / n >= mostly) if n else True)
+            row.update(unexpected_percent=pct(u, n), success=((n - u) / n >= mostly) if n else True)
         else:
             nm = n - miss
             row.update(missing_count=miss, missing_percent=pct(miss, n), unexpected_percent=pct(u, nm),
-                       unexpected_percent_nonmissing=pct(u, nm), success=(1 - u / nm >= mostly) if nm else True)
+                       unexpected_percent_nonmissing=pct(u, nm), success=((nm - u) / nm >= mostly) if nm else True)
         rows.append(row)
     return spark.createDataFrame([tuple(r[f.name] for f in RESULT_SCHEMA.fields) for r in rows], RESULT_SCHEMA)
 
@@ -324,12 +349,16 @@ def quality_history(history: DataFrame) -> DataFrame:
 
 
 def clean(df: DataFrame, *, required: list[str] = (), casts: dict[str, str] | None = None,
-          fill: dict | None = None) -> tuple[DataFrame, DataFrame]:
+          fill: dict | None = None, unique: list[str] = (), trim: list[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Q12: business-rule cleaning. Values are typed with ``try_cast`` (bad
     text becomes null instead of failing, N16), ``fill`` supplies defaults,
-    and rows missing a ``required`` value — or whose cast failed — go to a
-    quarantine frame with the list of failed rules. Returns (clean, rejects)."""
+    and rows missing a ``required`` value (null or NaN) — or whose cast failed —
+    go to a quarantine frame with the list of failed rules. ``trim`` columns lose
+    outer white space, an empty rest being null; of rows that agree in all
+    ``unique`` columns one stays. Returns (clean, rejects)."""
     casts = casts or {}
+    if trim:
+        df = df.withColumns({c: F.nullif(F.trim(F.col(c)), F.lit("")) for c in trim})
     cast_fail = [F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(f"cast:{c}:{t}"))
                  for c, t in casts.items()]
     out = df.withColumn("_cast_fail", F.array(*cast_fail) if cast_fail else F.array().cast("array<string>"))
@@ -337,7 +366,8 @@ def clean(df: DataFrame, *, required: list[str] = (), casts: dict[str, str] | No
         out = out.withColumns({c: F.col(c).try_cast(t) for c, t in casts.items()})
     if fill:
         out = out.fillna(fill)
-    req_fail = [F.when(F.col(c).isNull(), F.lit(f"required:{c}")) for c in required]
+    req_fail = [F.when(is_missing(out, c), F.lit(f"required:{c}")) for c in required]
     all_fail = F.concat(F.col("_cast_fail"), F.array(*req_fail)) if req_fail else F.col("_cast_fail")
     out = out.withColumn("failures", F.filter(all_fail, lambda x: x.isNotNull())).drop("_cast_fail")
-    return out.filter(F.size("failures") == 0).drop("failures"), out.filter(F.size("failures") > 0)
+    good = out.filter(F.size("failures") == 0).drop("failures")
+    return good.dropDuplicates(list(unique)) if unique else good, out.filter(F.size("failures") > 0)

@@ -86,7 +86,7 @@ def _suite_sql(suite: q.Suite, src: str, types: dict[str, str]) -> str:
   CAST(NULL AS DOUBLE) AS unexpected_percent_nonmissing,
   round(CAST({ucount} AS DOUBLE) / {n} * 100, 6) AS unexpected_percent_total,
   CAST({ucount} AS BIGINT) AS unexpected_count,
-  coalesce(1 - CAST({ucount} AS DOUBLE) / nullif({n}, 0) >= {mostly}, true) AS success"""
+  coalesce(CAST({n} - {ucount} AS DOUBLE) / nullif({n}, 0) >= {mostly}, true) AS success"""
         else:
             metrics = f"""{n} AS element_count, {miss} AS missing_count,
   round(CAST({miss} AS DOUBLE) / {n} * 100, 6) AS missing_percent,
@@ -94,7 +94,7 @@ def _suite_sql(suite: q.Suite, src: str, types: dict[str, str]) -> str:
   round(CAST({ucount} AS DOUBLE) / nullif({nm}, 0) * 100, 6) AS unexpected_percent_nonmissing,
   round(CAST({ucount} AS DOUBLE) / {n} * 100, 6) AS unexpected_percent_total,
   CAST({ucount} AS BIGINT) AS unexpected_count,
-  coalesce(1 - CAST({ucount} AS DOUBLE) / nullif({nm}, 0) >= {mostly}, true) AS success"""
+  coalesce(CAST(({nm}) - ({ucount}) AS DOUBLE) / nullif({nm}, 0) >= {mostly}, true) AS success"""
         parts.append(f"""SELECT * FROM (WITH bad AS ({bad})
 {head}, {metrics},
   coalesce((SELECT string_agg(value, '|' ORDER BY value) FROM (SELECT value FROM bad ORDER BY value NULLS FIRST

@@ -76,13 +76,17 @@ def read_raw_text_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def land_raw(spark: SparkSession, src: str, dest: str, *, ingest_date: str | None = None) -> DataFrame:
     """Store the source unmodified (all columns as text) as parquet with
-    its file name and ingest date, partitioned by ingest date."""
+    its file name and ingest date, partitioned by ingest date; returns the rows
+    of this ingest date."""
     df = read_raw_text_csv(spark, src).withColumns({
         "_source_file": F.input_file_name(),
         "_ingest_date": F.lit(ingest_date).cast("date") if ingest_date else F.current_date(),
     })
-    df.write.mode("append").partitionBy("_ingest_date").parquet(dest)
-    return spark.read.parquet(dest)
+    # the run's partition is replaced, others stay: a job that runs again lands its file once
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("_ingest_date").parquet(dest))
+    day = F.lit(ingest_date).cast("date") if ingest_date else F.current_date()
+    return spark.read.parquet(dest).filter(F.col("_ingest_date") == day)
 
 
 def type_raw(df: DataFrame, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
@@ -94,7 +98,8 @@ def type_raw(df: DataFrame, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
             continue
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.TimestampNTZType):
-            out.append(F.try_to_timestamp(c, F.lit(TIMESTAMP_FORMAT)).cast("timestamp_ntz").alias(f.name))
+            # parsed as wall-clock time: no zone, so no shift at a clock change
+            out.append(F.when(F.length(c) == len("2020-01-01 00:00:00"), c.try_cast("timestamp_ntz")).alias(f.name))
         elif isinstance(f.dataType, T.DateType):
             out.append(F.try_to_timestamp(c, F.lit(DATE_FORMAT)).cast("date").alias(f.name))
         else:
