@@ -32,18 +32,25 @@ def melt(df: DataFrame, cols: Sequence[str], *, by: Sequence[str] = (),
               .filter(F.col(value).isNotNull()))
 
 
-def _quantiles(v: Column, ps: Sequence[float], approx: bool, accuracy: int) -> Column:
-    return F.percentile_approx(v, list(ps), accuracy) if approx else F.percentile(v, list(ps))
+def quantile_table(df: DataFrame, col: str, ps: Sequence[float], names: Sequence[str], *, by: Sequence[str] = (),
+                   approx: bool = False, accuracy: int = 10000) -> DataFrame:
+    """One row per group with the quantiles as columns: exact by
+    ``distributed_quantiles``, or the bounded sketch on request."""
+    if not approx:
+        return distributed_quantiles(df, col, ps, by=by, names=names)
+    out = df.groupBy(*by).agg(F.percentile_approx(F.col(col), list(ps), accuracy).alias("_q"))
+    return out.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
 def univariate(df: DataFrame, cols: Sequence[str], *, stats: Sequence[str] = FULL_STATS,
                by: Sequence[str] = (), fence: float = 1.5, approx: bool = False,
-               accuracy: int = 10000, decimals: int | None = None, distributed: bool = False) -> DataFrame:
+               accuracy: int = 10000, decimals: int | None = None) -> DataFrame:
     """A1/A2: one row per profiled column (and ``by`` group) with the chosen
     statistics. Exact linear-interpolated quartiles by default (N5), the
     smallest of tied modes (N6), sample variance (N4), population skewness and
-    excess kurtosis (N3). ``distributed=True`` computes quartiles and mode
-    exactly without holding any column's distinct values in one task."""
+    excess kurtosis (N3). Quartiles and mode are exact without holding any
+    column's distinct values in one task: quartiles by prefix counts, the mode
+    from (column, value) counts."""
     by = list(by)
     long = melt(df, cols, by=by)
     v = F.col("value")
@@ -51,20 +58,16 @@ def univariate(df: DataFrame, cols: Sequence[str], *, stats: Sequence[str] = FUL
     moments = [F.count(v).alias("count"), F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"),
                F.var_samp(v).alias("variance"), F.stddev_samp(v).alias("std_dev"),
                F.skewness(v).alias("skewness"), F.kurtosis(v).alias("kurtosis")]
-    if distributed:
-        # no per-column value maps: quartiles by prefix counts, mode from
-        # (column, value) counts with the smallest value among the most frequent
-        base = long.groupBy(*keys).agg(*moments)
-        qs = distributed_quantiles(long, "value", [0.25, 0.5, 0.75], by=keys, names=["q1", "median", "q3"])
+    base = long.groupBy(*keys).agg(*moments)
+    qs = quantile_table(long, "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"], by=keys, approx=approx,
+                        accuracy=accuracy)
+    base = base.join(qs, keys)
+    if "mode" in stats:  # the smallest value among the most frequent
         vc = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_k"))
         top = vc.groupBy(*keys).agg(F.max("_k").alias("_top"))
         mode = (vc.join(top, keys).filter(F.col("_k") == F.col("_top"))
                   .groupBy(*keys).agg(F.min("value").alias("mode")))
-        base = base.join(qs, keys).join(mode, keys)
-    else:
-        q = _quantiles(v, [0.25, 0.5, 0.75], approx, accuracy)
-        base = long.groupBy(*keys).agg(*moments, q.alias("_q"), F.mode(v, True).alias("mode"))
-        base = base.withColumns({"q1": F.col("_q")[0], "median": F.col("_q")[1], "q3": F.col("_q")[2]}).drop("_q")
+        base = base.join(mode, keys)
     base = base.withColumn("range", F.col("max") - F.col("min")).withColumn("iqr", F.col("q3") - F.col("q1"))
     base = base.withColumns({"lower_bound": F.col("q1") - fence * F.col("iqr"),
                              "upper_bound": F.col("q3") + fence * F.col("iqr")})
@@ -90,23 +93,18 @@ def describe(df: DataFrame, cols: Sequence[str], *, by: Sequence[str] = (), appr
     by = list(by)
     long = melt(df, cols, by=by)
     v = F.col("value")
-    out = long.groupBy(*by, "column").agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), _quantiles(v, [0.25, 0.5, 0.75], approx, accuracy).alias("_q"),
-        F.max(v).alias("max"))
-    return out.select(*by, "column", "count", "mean", "std", "min", F.col("_q")[0].alias("p25"),
-                      F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max")
+    keys = [*by, "column"]
+    out = long.groupBy(*keys).agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                                  F.min(v).alias("min"), F.max(v).alias("max"))
+    qs = quantile_table(long, "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], by=keys, approx=approx,
+                        accuracy=accuracy)
+    return out.join(qs, keys).select(*keys, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def percentile_set(df: DataFrame, col: str, ps: Sequence[float] = (0.25, 0.5, 0.75, 0.9), *,
-                   by: Sequence[str] = (), approx: bool = False, distributed: bool = False) -> DataFrame:
-    """A set of percentiles as columns p25, p50, … (``distributed=True``:
-    exact without a per-group value map, see ``distributed_quantiles``)."""
-    if distributed:
-        return distributed_quantiles(df, col, ps, by=by)
-    q = _quantiles(F.col(col), ps, approx, 10000).alias("_q")
-    out = df.groupBy(*by).agg(q)
-    return out.select(*by, *[F.col("_q")[i].alias(f"p{int(round(p * 100))}") for i, p in enumerate(ps)])
+                   by: Sequence[str] = (), approx: bool = False) -> DataFrame:
+    """A set of percentiles as columns p25, p50, … (exact, see ``distributed_quantiles``)."""
+    return quantile_table(df, col, ps, [f"p{int(round(p * 100))}" for p in ps], by=by, approx=approx)
 
 
 def coefficient_of_variation(df: DataFrame, col: str, *, by: Sequence[str] = ()) -> DataFrame:
@@ -150,8 +148,10 @@ def histogram(df: DataFrame, col: str, bins: int = 100, *, lo: float | None = No
     src = src.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
     if lo is not None and hi is not None:
         src = src.filter(F.col("x").between(lo, hi))
-    lo_c = F.lit(float(lo)) if lo is not None else src.agg(F.min("x")).scalar()
-    hi_c = F.lit(float(hi)) if hi is not None else src.agg(F.max("x")).scalar()
+    if lo is None or hi is None:  # both ends from one aggregate
+        ends = src.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    lo_c = F.lit(float(lo)) if lo is not None else ends["lo"]
+    hi_c = F.lit(float(hi)) if hi is not None else ends["hi"]
     width = (hi_c - lo_c) / bins
     idx = F.least(F.floor((F.col("x") - lo_c) / width), F.lit(bins - 1)).cast("int")
     counts = src.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
@@ -165,9 +165,8 @@ def histogram(df: DataFrame, col: str, bins: int = 100, *, lo: float | None = No
 def fences(df: DataFrame, col: str, *, by: Sequence[str] = (), k: float = 1.5,
            approx: bool = False) -> DataFrame:
     """q1, q3, iqr and the k·iqr fences (per group when ``by`` is given)."""
-    q = _quantiles(F.col(col), [0.25, 0.5, 0.75], approx, 10000)
-    out = df.filter(F.col(col).isNotNull()).groupBy(*by).agg(q.alias("_q"))
-    out = out.select(*by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    out = quantile_table(df.filter(F.col(col).isNotNull()), col, [0.25, 0.5, 0.75], ["q1", "median", "q3"], by=by,
+                         approx=approx)
     out = out.withColumn("iqr", F.col("q3") - F.col("q1"))
     return out.withColumns({"lower_fence": F.col("q1") - k * F.col("iqr"),
                             "upper_fence": F.col("q3") + k * F.col("iqr")})
@@ -189,7 +188,7 @@ def iqr_filter(df: DataFrame, col: str, *, by: Sequence[str] = (), k: float = 1.
 
 def percentile_cap(df: DataFrame, col: str, p: float = 0.99, *, approx: bool = False) -> DataFrame:
     """Keep rows at or below the p-th percentile."""
-    cap = df.agg(_quantiles(F.col(col), [p], approx, 10000)[0]).scalar()
+    cap = quantile_table(df, col, [p], ["cap"], approx=approx).scalar()
     return df.filter(F.col(col) <= cap)
 
 

@@ -182,30 +182,19 @@ def duplicate_summary(df: DataFrame, key: str) -> DataFrame:
 
 def label_summary(df: DataFrame, value: str, label: str = "is_fraud", *,
                   percentiles: Sequence[float] = (0.5, 0.9, 0.99), approx: bool = False,
-                  accuracy: int = 10000, distributed: bool = False) -> DataFrame:
+                  accuracy: int = 10000) -> DataFrame:
     """Count, mean, median, p90, p99 and max of ``value`` per label.
 
-    Exact percentiles keep a value→count map per label (bounded by distinct
-    values, merged map-side first); ``approx=True`` switches to the bounded
-    quantile sketch for very large groups; ``distributed=True`` stays exact
-    without any per-label value map (``profile.distributed_quantiles``)."""
+    Percentiles are exact without a per-label value map
+    (``profile.distributed_quantiles``); ``approx=True`` takes the bounded sketch."""
+    from ledgerlens.operators.profile import quantile_table
     names = {0.5: "median"}
     ps = list(percentiles)
     cols = [names.get(p, f"p{int(round(p * 100))}") for p in ps]
-    if distributed:
-        from ledgerlens.operators.profile import distributed_quantiles
-        src = df.filter(F.col(label).isNotNull())
-        base = src.groupBy(label).agg(F.count(value).alias("count"), F.avg(value).alias("mean"),
-                                      F.max(value).alias("max"))
-        qs = distributed_quantiles(src, value, ps, by=[label], names=cols)
-        return base.join(qs, label, "left").select(label, "count", "mean", *cols, "max")
-    # one percentile aggregate for all levels: one value map per label, not one per level
-    q = F.percentile_approx(value, ps, accuracy) if approx else F.percentile(value, ps)
-    out = df.filter(F.col(label).isNotNull()).groupBy(label).agg(
-        F.count(value).alias("count"), F.avg(value).alias("mean"), q.alias("_q"), F.max(value).alias("max"))
-    return out.select(label, "count", "mean",
-                      *[F.col("_q")[i].alias(names.get(p, f"p{int(round(p * 100))}")) for i, p in enumerate(ps)],
-                      "max")
+    src = df.filter(F.col(label).isNotNull())
+    base = src.groupBy(label).agg(F.count(value).alias("count"), F.avg(value).alias("mean"), F.max(value).alias("max"))
+    qs = quantile_table(src, value, ps, cols, by=[label], approx=approx, accuracy=accuracy)
+    return base.join(qs, label, "left").select(label, "count", "mean", *cols, "max")
 
 
 def class_ratio(summary: DataFrame, label: str = "is_fraud",
@@ -238,6 +227,15 @@ def class_share_by_period(df: DataFrame, period: str, cls: str, *, label: str |
     return counts.withColumn(pct_name, pct(F.col(count_name), F.col("period_total")))
 
 
+def with_class_share(df: DataFrame, period: str, cls: str, value, *, name: str = "class_pct") -> DataFrame:
+    """The share of one class among its period's rows, attached to every
+    row of the period; null where a period has no row of that class."""
+    share = (df.filter(F.col(cls).isNotNull()).groupBy(F.col(period).alias("_period"))
+             .agg(F.count(F.when(F.col(cls) == value, 1)).alias("_k"), F.count(F.lit(1)).alias("_n"))
+             .select("_period", F.when(F.col("_k") > 0, pct(F.col("_k"), F.col("_n"))).alias(name)))
+    return df.join(share, F.col(period).eqNullSafe(F.col("_period")), "left").drop("_period")
+
+
 def top_per_period(df: DataFrame, period: str, entity: str, *, k: int = 1,
                    count_name: str = "transaction_count", pct_name: str = "transaction_pct") -> DataFrame:
     """W5 + J4: the k most frequent entities of each period and their share of

@@ -95,9 +95,9 @@ def crosstab(df: DataFrame, a: str, b: str, values: Sequence | None = None) -> D
 
 def contingency_long(df: DataFrame, a: str, b: str, values: Sequence) -> DataFrame:
     """Observed counts for every (a, b) cell, zeros included, with the
-    expected count r·c/n under independence. Row totals come from the wide
-    row itself; column totals are one row per declared ``b`` value (a bounded
-    broadcast); n is a scalar subquery."""
+    expected count r·c/n under independence. The source is read once: row totals
+    come from the wide row itself, the other totals from windows over the
+    table of cells (one row per ``a`` and declared ``b`` value)."""
     wide = crosstab(df, a, b, values)
     vcols = [F.col(f"`{v}`").cast("long") for v in values]
     row_total = vcols[0]
@@ -106,10 +106,9 @@ def contingency_long(df: DataFrame, a: str, b: str, values: Sequence) -> DataFra
     cells = F.array(*[F.struct(F.lit(v).alias(b), c.alias("observed")) for v, c in zip(values, vcols)])
     long = (wide.select(a, row_total.alias("row_total"), F.explode(cells).alias("_c"))
                 .select(a, f"_c.{b}", "_c.observed", "row_total"))
-    col_totals = long.groupBy(b).agg(F.sum("observed").alias("col_total"))
-    n = long.agg(F.sum("observed")).scalar()
-    return (long.join(F.broadcast(col_totals), b)
-                .withColumn("expected", F.col("row_total") * F.col("col_total") / n))
+    return (long.withColumn("col_total", F.sum("observed").over(Window.partitionBy(b)))
+                .withColumn("_n", F.sum("observed").over(Window.partitionBy()))
+                .withColumn("expected", F.col("row_total") * F.col("col_total") / F.col("_n")).drop("_n"))
 
 
 def chi2_independence(df: DataFrame, a: str, b: str, values: Sequence, *,
@@ -117,11 +116,14 @@ def chi2_independence(df: DataFrame, a: str, b: str, values: Sequence, *,
     """Chi-square test of independence — statistic, dof, p-value. With
     one degree of freedom the Yates continuity correction is applied (N20)."""
     long = contingency_long(df, a, b, values)
-    dof = ((long.agg(F.countDistinct(a)).scalar() - 1) * (len(values) - 1)).cast("int")
+    # every ``a`` value has a cell per ``b`` value
+    long = long.withColumn("dof", ((F.count(F.lit(1)).over(Window.partitionBy()) / len(values) - 1)
+                                   * (len(values) - 1)).cast("int"))
+    dof = F.col("dof")
     adj = F.when((dof == 1) & F.lit(bool(correction)), F.lit(0.5)).otherwise(F.lit(0.0))
     o, e = F.col("observed"), F.col("expected")
     term = F.when(e > 0, F.pow(F.greatest(F.abs(o - e) - adj, F.lit(0.0)), 2) / e)
-    s = long.agg(F.sum(term).alias("chi2"), F.sum("observed").alias("n")).withColumn("dof", dof)
+    s = long.agg(F.sum(term).alias("chi2"), F.sum("observed").alias("n"), F.max("dof").alias("dof"))
     return s.select("chi2", "dof", "n", chi2_sf(F.col("chi2"), F.col("dof").cast("double")).alias("p_value"))
 
 

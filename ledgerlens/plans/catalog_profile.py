@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import features as fx
-from ledgerlens.operators import profile, stats
-from ledgerlens.plans.catalog_rates import AGE, HOUR, TS
+from ledgerlens.operators import profile, rates, stats
+from ledgerlens.plans.catalog_rates import AGE, HOUR, MONTH, TS
 from ledgerlens.plans.registry import register, round_doubles, with_events, with_ledger
 from ledgerlens.sources.bindings import RAW_COLUMNS, event_ledger, ledger
 
@@ -60,7 +60,7 @@ def amount_univariate(spark, sf):
 @register("amount_univariate_distributed", with_events(_univariate_sql("ev", "amt", "amt", True)))
 def amount_univariate_distributed(spark, sf):
     df = event_ledger(spark, sf, ["amt"])
-    return _round_profile(profile.univariate(df, ["amt"], distributed=True))
+    return _round_profile(profile.univariate(df, ["amt"]))
 
 
 @register("distance_univariate", with_ledger(_univariate_sql("ledger", DIST, "distance_miles", False)))
@@ -76,6 +76,27 @@ def age_univariate(spark, sf):
     return _round_profile(profile.univariate(df, ["age"], stats=profile.SHORT_STATS))
 
 
+# A2 over an aggregated table: the monthly mean age and its change
+_MONTHLY_AGE = f"(SELECT {MONTH} AS month, avg({AGE}) AS v FROM ledger GROUP BY 1)"
+
+
+def _monthly_age(spark, sf):
+    df = ledger(spark, sf, [TS, "dob"]).select(fx.month_key(TS).alias("month"), fx.age_365(TS, "dob").alias("age"))
+    return df.groupBy("month").agg(F.avg("age").alias("avg_user_age"))
+
+
+@register("monthly_age_profile", with_ledger(_univariate_sql(f"{_MONTHLY_AGE} AS a", "v", "avg_user_age", False)))
+def monthly_age_profile(spark, sf):
+    return _round_profile(profile.univariate(_monthly_age(spark, sf), ["avg_user_age"], stats=profile.SHORT_STATS))
+
+
+@register("monthly_age_change_profile", with_ledger(_univariate_sql(
+    f"(SELECT v - lag(v) OVER (ORDER BY month) AS v FROM {_MONTHLY_AGE} AS a) AS b", "v", "avg_user_age_change", False)))
+def monthly_age_change_profile(spark, sf):
+    change = rates.period_change(_monthly_age(spark, sf), "month", "avg_user_age")
+    return _round_profile(profile.univariate(change, ["avg_user_age_change"], stats=profile.SHORT_STATS))
+
+
 @register("amount_log_univariate", with_events(_univariate_sql(
     "ev", "CASE WHEN amt > 0 THEN ln(1 + amt) END", "amt_log1p", False)))
 def amount_log_univariate(spark, sf):
@@ -153,7 +174,7 @@ def amount_percentiles(spark, sf):
 SELECT round(quantile_cont(amt, 0.25), 6) AS p25, round(quantile_cont(amt, 0.5), 6) AS p50,
   round(quantile_cont(amt, 0.75), 6) AS p75, round(quantile_cont(amt, 0.9), 6) AS p90 FROM ledger"""))
 def amount_percentiles_distributed(spark, sf):
-    return R(profile.percentile_set(ledger(spark, sf, ["amt"]), "amt", distributed=True))
+    return R(profile.percentile_set(ledger(spark, sf, ["amt"]), "amt"))
 
 
 @register("fraud_per_user_cv", with_ledger("""

@@ -188,6 +188,19 @@ def monthly_fraud_gender_share(spark, sf):
     return R(rates.class_share_by_period(df, "month", "gender", label="is_fraud"))
 
 
+# ---------------------------------------------------------------- J5
+@register("class_share_attached", with_ledger(f"""
+WITH s AS (SELECT {MONTH} AS month, count(*) FILTER (WHERE gender = 'F') AS k, count(*) AS n
+  FROM ledger WHERE gender IS NOT NULL GROUP BY 1),
+r AS (SELECT trans_num, gender, {MONTH} AS month FROM ledger)
+SELECT trans_num, gender, r.month AS month,
+  CASE WHEN k > 0 THEN round(k * 100.0 / n, 6) END AS female_pct
+FROM r LEFT JOIN s ON r.month IS NOT DISTINCT FROM s.month"""))
+def class_share_attached(spark, sf):
+    df = ledger(spark, sf, ["trans_num", TS, "gender"]).select("trans_num", "gender", fx.month_key(TS).alias("month"))
+    return R(rates.with_class_share(df, "month", "gender", "F", name="female_pct"))
+
+
 # ---------------------------------------------------------------- G5 / W1
 @register("monthly_avg_amount", with_ledger(f"""
 SELECT {MONTH} AS month, round(avg(amt), 6) AS avg_amt FROM ledger GROUP BY 1"""))
@@ -305,7 +318,7 @@ def amount_by_label(spark, sf):
 @register("amount_by_label_distributed", with_ledger(_LABEL_SUMMARY), bench=True)
 def amount_by_label_distributed(spark, sf):
     """G14 with exact quantiles computed by prefix counts (no per-label map)."""
-    return R(rates.label_summary(ledger(spark, sf, ["amt", "is_fraud"]), "amt", distributed=True))
+    return R(rates.label_summary(ledger(spark, sf, ["amt", "is_fraud"]), "amt"))
 
 
 @register("amount_class_ratio", with_ledger(f"""
