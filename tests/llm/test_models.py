@@ -195,7 +195,8 @@ def test_licence_families_and_near_misses(spark, licences):
     got = license_scan.scan(df, licences).join(df, "doc_id").collect()
     assert sum(r.license == r.want for r in got) / len(got) > 0.9
     assert all(r.license is None for r in got if r.want is None)
-    assert all(m.line == 1 for r in got for m in r.matches)
+    assert all(m.line == 1 for r in got if r.want for m in r.matches)  # not the words around it
+    assert not any(m.confirmed for r in got if r.want is None for m in r.matches)
 
 
 def test_licence_edge_cases_and_plan(edge, empty, licences):
