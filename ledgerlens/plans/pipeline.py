@@ -39,7 +39,8 @@ class JdbcTarget:
 
 
 # SQL states and words by which databases say that a table does not exist.
-_ABSENT = re.compile(r"42X05|42P01|42S02|does not exist|doesn't exist|no such table|unknown table|not found", re.IGNORECASE)
+_ABSENT = re.compile(r"42X05|42P01|42S02|(table|view|relation)[^\n]{0,300}(does not exist|doesn't exist|not found)"
+                     r"|no such table|unknown table", re.IGNORECASE)
 
 
 def table_exists(spark: SparkSession, target: JdbcTarget, table: str) -> bool:
