@@ -95,7 +95,6 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     map-side combined minimum and a join, and is written to the shared folder."""
     edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                    .filter("a > b").distinct(), name)
-    seen = None
     while True:
         # large star: neighbours above a node move to the least of its neighbourhood
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -108,10 +107,12 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         small = (large.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
                  .filter("a > b").distinct())
         edges = stored(small, name)
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == seen:
+        # done when every node has one edge, to a root without one
+        ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("n")).unionByName(
+            edges.select(F.col("b").alias("v"), F.lit(0).alias("n")))
+        per_node = ends.groupBy("v").agg(F.sum("n").alias("up"), F.min("n").alias("down"))
+        if per_node.filter("up > 1 or (up = 1 and down = 0)").isEmpty():
             break
-        seen = now
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 

@@ -11,10 +11,10 @@
    a suffix filter, and are verified once per pair.
 
 Large groups of similar texts are not expanded into all pairs: first every member
-of an n-gram's list meets one pivot of that list; linked members are contracted;
-only lists that still hold different components are paired in full, and there
-only rows outside the list's largest component meet the others. Links inside a
-component cannot change the components, so these stay exact.
+of an n-gram's list meets one pivot of that list, the class whose prefix is shared
+most; linked members are contracted; only lists that still hold different components
+are paired in full, and there only rows outside the list's largest component meet the
+others. Links inside a component cannot change the components, so these stay exact.
 
 The order of n-grams only steers the cost. Counts are of hashed slots (an upper
 bound of the frequency) so that the table stays small at any corpus size.
@@ -45,8 +45,7 @@ SLOTS = 1 << 21       # slots of the count table
 SEGMENT = 1 << 15     # slots of a row when tables of tasks are added up
 KNOWN = 200_000       # classes that a task remembers to skip exact copies
 ID_SLOTS = 1 << 20    # bits of the filter of wanted ids
-PIVOT_ROUNDS = 4
-PAIR_FACTOR = 4       # pairs per prefix row from which another pivot round is cheaper than pairing
+PIVOT_ROUNDS = 1
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                          0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -280,8 +279,7 @@ def _shared_needed(n1, n2, percent: int):
 def link_classes(rows: DataFrame, sets_for: Callable[[DataFrame], DataFrame], percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between classes that have the same components as all links
     have. ``rows``: (gram, cls, size), distinct, of n-grams that two classes share;
-    ``sets_for`` gives the sets of the classes (id) it is asked for."""
-    total = rows.count()
+    with shared, the number of its rows, and rank, the order in which classes become pivots; ``sets_for`` gives the sets of the classes (id) it is asked for."""
     links: DataFrame | None = None
     labels = None
     for turn in range(PIVOT_ROUNDS + 1):
@@ -301,31 +299,29 @@ def link_classes(rows: DataFrame, sets_for: Callable[[DataFrame], DataFrame], pe
         if not pairs_left:
             break
         here = stored(here.join(open_lists, "gram"), "open-rows")
-        last = turn == PIVOT_ROUNDS or (turn and pairs_left <= PAIR_FACTOR * total)
+        needed = _shared_needed(F.col("n1"), F.col("n2"), percent)
+        possible = (_fits(F.col("n1"), F.col("n2"), percent) & (needed <= F.col("d1")) & (needed <= F.col("d2"))
+                    & (F.col("l1") != F.col("l2")))
+        left = here.select("gram", F.col("cls").alias("a"), F.col("size").alias("n1"), F.col("shared").alias("d1"),
+                           F.col("label").alias("l1"), "main")
+        right = here.select("gram", F.col("cls").alias("b"), F.col("size").alias("n2"), F.col("shared").alias("d2"),
+                            F.col("label").alias("l2"), "rank")
+        last = turn == PIVOT_ROUNDS
         if last:
-            left = here.filter("label != main").select(
-                "gram", F.col("cls").alias("a"), F.col("size").alias("n1"), F.col("label").alias("l1"))
-            right = here.select("gram", F.col("cls").alias("b"), F.col("size").alias("n2"),
-                                F.col("label").alias("l2"), "main")
-            met = left.join(right, "gram").filter(
-                (F.col("l1") != F.col("l2")) & ((F.col("l2") == F.col("main")) | (F.col("a") < F.col("b")))
-                & _fits(F.col("n1"), F.col("n2"), percent))
+            met = left.filter("l1 != main").join(right, "gram").filter(
+                possible & ((F.col("l2") == F.col("main")) | (F.col("a") < F.col("b"))))
             pairs = (met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                                 F.when(F.col("a") < F.col("b"), F.col("n1")).otherwise(F.col("n2")).alias("n1"),
                                 F.when(F.col("a") < F.col("b"), F.col("n2")).otherwise(F.col("n1")).alias("n2"))
-                     .groupBy("a", "b", "n1", "n2").agg(F.count(F.lit(1)).alias("shared"))
-                     .filter(F.col("shared") >= _shared_needed(F.col("n1"), F.col("n2"), percent)))
+                     .groupBy("a", "b", "n1", "n2").agg(F.count(F.lit(1)).alias("n"))
+                     .filter(F.col("n") >= needed))
         else:
-            # every member outside the pivot's component meets the pivot, if they meet often enough to look alike
-            rank = F.xxhash64(F.lit(turn), "cls")
-            pivots = here.groupBy("gram").agg(F.min(rank).alias("rank"))
-            chosen = (here.withColumn("rank", rank).join(pivots, ["gram", "rank"])
-                      .select("gram", F.col("cls").alias("b"), F.col("size").alias("n2"), F.col("label").alias("l2")))
-            pairs = (here.join(chosen, "gram").filter((F.col("label") != F.col("l2"))
-                                                      & _fits(F.col("size"), F.col("n2"), percent))
-                     .groupBy(F.col("cls").alias("a"), "b").agg(F.count(F.lit(1)).alias("shared"),
-                                                                F.max("size").alias("n1"))
-                     .filter(F.col("shared") >= F.ceil(F.col("n1") * (100 - percent) / 500.0)))
+            # every member meets the list's pivot: the one whose prefix is shared most, as that of a text which many
+            # copies derive from; where both share enough n-grams to look alike
+            pivots = here.groupBy("gram").agg(F.min("rank").alias("rank"))
+            pairs = (left.join(right.join(pivots, ["gram", "rank"]).drop("rank"), "gram").filter(possible)
+                     .groupBy("a", "b", "n1").agg(F.count(F.lit(1)).alias("n"))
+                     .filter(F.col("n") >= F.ceil(F.col("n1") * (100 - percent) / 500.0)))
         pairs = stored(pairs.select("a", "b"), "pairs")
         release_shuffles(rows.sparkSession)
         asked = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
@@ -357,6 +353,11 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     release_shuffles(spark)
     met = stored(grams.join(shared, "gram").dropDuplicates(["gram", "cls"]), "met")
     release_shuffles(spark)
+    degree = met.groupBy("cls").agg(F.count(F.lit(1)).cast("int").alias("shared"))
+    # the share of the prefix that other classes have too, largest first; then a hash, so that ranks are distinct
+    lacking = F.lit(1.0) - F.col("shared") / (F.col("size") - F.ceil(percent * F.col("size") / 100.0 - 1e-9) + 1)
+    rank = F.floor(lacking * (1 << 18)) * F.lit(1 << 44) + F.pmod(F.xxhash64("cls"), F.lit(1 << 44))
+    met = stored(met.join(degree, "cls").withColumn("rank", rank.cast("bigint")), "ranked")
 
     def sets_for(asked: DataFrame) -> DataFrame:
         reps = classes.join(asked.withColumnRenamed("id", "cls"), "cls", "left_semi")
