@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.session import scratch_path
@@ -88,6 +88,35 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
             .unionByName(rows.join(hot, key, "left_anti").join(groups.filter(~is_hot), key)))
 
 
+def hashed_rows(rows: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` rows of (doc_id, text), those with the least hash of
+    both. The first cut, from the number of rows, leaves little more than that
+    before anything is sorted, so no task receives more when the table grows."""
+    scale = 1 << 30
+    share = min(1.0, (1.5 * most + 50) / max(1, rows.count()))
+    order = F.xxhash64("doc_id", "text")
+    return (rows.filter(F.pmod(order, F.lit(scale)) < int(share * scale))
+            .orderBy(order, "doc_id", "text").limit(most))
+
+
+def bounded_sample(rows: DataFrame, key: str, quota: int) -> DataFrame:
+    """At most ``quota`` rows (doc_id and the other columns) of each value of
+    ``key`` (few values), those with the least hash of doc_id. A first cut by
+    the hash, from the number of rows of each value, leaves little more than
+    the quota, so that ranking them is a small job however large a value is."""
+    counts = [(r[key], r["n"]) for r in rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).collect()]
+    scale = 1 << 30
+    cut = F.lit(0)
+    for value, n in counts:
+        # half as many again, and some to spare where the quota is small
+        share = min(1.0, (1.5 * quota + 50) / n)
+        cut = F.when(F.col(key) == F.lit(value), F.lit(int(share * scale))).otherwise(cut)
+    order = Window.partitionBy(key).orderBy("__hash", "doc_id")
+    return (rows.withColumn("__hash", F.xxhash64("doc_id")).filter(F.pmod("__hash", F.lit(scale)) < cut)
+            .withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= quota)
+            .drop("__hash", "__rank"))
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``links`` (a, b): a row (node, root) for every
     node with a link, root being the smallest node of its component. Large-star

@@ -22,10 +22,10 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import CHUNK_BYTES, add_tables, chunks
+from ledgerlens.llm.common import CHUNK_BYTES, add_tables, bounded_sample, chunks
 from ledgerlens.llm.linear import Ftrl, fit_temperature, softmax
 
 FEATURES = 1 << 14       # hashed n-grams of 1 to 3 characters; 0 is not used
@@ -133,11 +133,8 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN, epochs: int = 4) -> Model
     df = document_frequencies(rows.select("doc_id", "text"))
     idf = np.log((1.0 + df[0]) / (1.0 + df)) + 1.0
 
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     quota = max(1, max_train // len(labels))
-    # the rank is cut before the shuffle too: a task sends no more than the quota of a language
-    chosen = (rows.select("doc_id", "lang").withColumn("rank", F.row_number().over(order))
-              .filter(F.col("rank") <= quota).select(F.col("doc_id").alias("__id")).distinct())
+    chosen = bounded_sample(rows.select("doc_id", "lang"), "lang", quota).select(F.col("doc_id").alias("__id")).distinct()
     sample = rows.join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,9 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.common import bounded_sample
 from ledgerlens.llm.linear import Ftrl, Row, softmax
 
 MAX_TRAIN = 4000
@@ -46,14 +47,14 @@ _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97
 
 
 def features(text: str) -> dict[str, float]:
-    """Distinct words (value 1) and word beginnings (log of how often), which
-    reach words that training has not seen."""
-    words = Counter(text.lower().encode().translate(_FOLD).decode().split())
+    """Distinct words (value 1) and word beginnings (log of the number of
+    distinct words), which reach words that training has not seen."""
+    words = set(text.lower().encode().translate(_FOLD).decode().split())
     begin: Counter[str] = Counter()
-    for w, n in words.items():
+    for w in words:
         for k in BEGINNINGS:
             if len(w) > k:
-                begin[w[:k] + "*"] += n
+                begin[w[:k] + "*"] += 1
     out = dict.fromkeys(words, 1.0)
     out.update((b, float(np.log2(1 + n))) for b, n in begin.items())
     return out
@@ -105,13 +106,17 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 def train_chain(texts: list[str], labels: dict[str, np.ndarray], folds: int = FOLDS) -> Chain:
     """Fit the chain on texts and a 0/1 array per category, in chain order."""
-    sets = [features(t) for t in texts]
-    rows_with = Counter(w for s in sets for w in s)
+    rows_with: Counter[str] = Counter()
+    for t in texts:  # features are made twice rather than kept for all rows
+        rows_with.update(features(t).keys())
     words = sorted(w for w, n in rows_with.items() if n >= MIN_ROWS)
     number = {w: i for i, w in enumerate(words)}
     names = list(labels)
-    base = [sorted((number[w], x) for w, x in s.items() if w in number) for s in sets]
-    base = [(np.array([a for a, _ in r], np.int64), np.array([x for _, x in r], float)) for r in base]
+    del rows_with
+    base = []
+    for t in texts:
+        row = sorted((number[w], x) for w, x in features(t).items() if w in number)
+        base.append((np.array([a for a, _ in row], np.int32), np.array([x for _, x in row], np.float32)))
     fold = np.arange(len(texts)) % folds
     total = len(words) + len(names)
     weights, links, bias = np.zeros((len(names), len(words))), np.zeros((len(names), len(names))), np.zeros(len(names))
@@ -139,8 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Cha
     names = [*MARKS, DECISION]
     flag = (labels.filter("toxic is not null and doc_id is not null")
             .groupBy("doc_id").agg(F.max("toxic").alias("flag")))
-    order = Window.partitionBy("flag").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = flag.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= max_train // 2)
+    chosen = bounded_sample(flag, "flag", max_train // 2)
     chosen = F.broadcast(chosen.select(F.col("doc_id").alias("__id"), "flag"))  # at most max_train rows
     got = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, F.col("doc_id") == F.col("__id"))
            .select("doc_id", "flag", F.array_distinct(F.split(F.lower(F.regexp_replace(
