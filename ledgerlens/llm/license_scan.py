@@ -28,7 +28,7 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import id_text, stored
+from ledgerlens.llm.common import hashed_rows, id_text, stored
 
 MAX_UNKNOWN = 2000       # corpus lines the classifier is trained on
 MAX_FEATURES = 1 << 12
@@ -135,7 +135,7 @@ def training_rows(docs: DataFrame, max_unknown: int) -> DataFrame:
     five is kept back for calibration."""
     spark = docs.sparkSession
     every = F.explode(lines(F.col("text")))
-    sampled = (id_text(docs).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(max_unknown // 4)
+    sampled = (hashed_rows(id_text(docs), max_unknown // 4)
                .select(every.alias("text")).filter("trim(text) <> ''")
                .orderBy(F.xxhash64("text"), "text").limit(max_unknown))
     sampled = sampled.withColumn("w", words(F.col("text"))).filter(F.size("w") > 0)

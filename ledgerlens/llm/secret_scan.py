@@ -11,7 +11,7 @@ token whose best score for a secret lies so far below that for "outside" that no
 transition can make up for it is outside in every best sequence; the stretches
 between such tokens are decoded one by one.
 
-The field is fitted on at most ``MAX_TRAIN`` rows (chosen by a hash of the id):
+The field is fitted on at most ``MAX_TRAIN`` rows (chosen by a hash of id and text):
 its labels are the base spans of those rows.
 
 Defined cases: null counts as empty; an empty text has no spans; without a
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import chunks, id_text, id_type
+from ledgerlens.llm.common import chunks, hashed_rows, id_text, id_type
 
 MAX_TRAIN = 3000
 MAX_WINDOWS = 4000       # training stretches, half of them without a secret
@@ -346,8 +346,7 @@ def training_windows(text: str, limit: int = 64) -> list[tuple[list[str], np.nda
 
 def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> Field:
     """Fit the field on windows of at most ``max_train`` texts."""
-    text = id_text(docs)
-    chosen = text.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(max_train)
+    chosen = hashed_rows(id_text(docs), max_train)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in chunks(batches):
