@@ -33,6 +33,8 @@ from ledgerlens.llm.common import hashed_rows, id_text, stored
 MAX_UNKNOWN = 2000       # corpus lines the classifier is trained on
 MAX_FEATURES = 1 << 12
 CONFIRM = 0.6            # share of a notice's n-grams that must be in the line
+SHORT = 6                # a notice of so few n-grams must be there whole
+RESERVED = "proprietary"
 UNKNOWN = "unknown"
 
 # Licence families and short notices by which they are known.
@@ -73,7 +75,8 @@ NOTICES = {
             "SPDX-License-Identifier: MIT"),
     "mpl-2.0": ("Licensed under the Mozilla Public License, Version 2.0.",
                 "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    "proprietary": ("All rights reserved. Unauthorized copying of this file is strictly prohibited.",
+    "proprietary": ("All rights reserved.",
+                    "All rights reserved. Unauthorized copying of this file is strictly prohibited.",
                     "This document is proprietary and confidential and may not be distributed without permission."),
 }
 FAMILIES = [*sorted(NOTICES), UNKNOWN]
@@ -124,10 +127,14 @@ def _notice_grams(spark: SparkSession) -> Column:
 
 def _resemblance(g: Column, known: Column, family: Column | None = None) -> Column:
     """The largest share of a notice's n-grams among those of a line (of the
-    notices of ``family``, or of all)."""
+    notices of ``family``, or of all); a short notice counts whole or not."""
+    def share(own: Column, t: Column) -> Column:
+        of_it = F.size(F.array_intersect(own, t["g"])) / F.size(t["g"])
+        return F.when(F.size(t["g"]) > SHORT, of_it).otherwise(F.floor(of_it).cast("double"))
+
     of = known if family is None else F.filter(known, lambda t: t["family"] == family)
     return let(g, lambda own: F.coalesce(F.array_max(F.transform(
-        of, lambda t: F.size(F.array_intersect(own, t["g"])) / F.size(t["g"]))), F.lit(0.0)))
+        of, lambda t: share(own, t))), F.lit(0.0)))
 
 
 def training_rows(docs: DataFrame, max_unknown: int) -> DataFrame:
@@ -245,7 +252,7 @@ def _calibrate(model: Model, rows: DataFrame, texts: list[str]) -> None:
 # --------------------------------------------------------------- operator
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, license (the family of its surest confirmed
-    line, null if none), n_licenses (confirmed lines), n_unconfirmed (lines
+    line, null if none; rights reserved yield to a licence that is granted), n_licenses (confirmed lines), n_unconfirmed (lines
     whose family no notice confirms), matches (line, family, probability,
     similarity, confirmed)."""
     model = model or train(docs)
@@ -269,6 +276,6 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
         F.transform(lines(F.col("text")), judged), lambda x: x.isNotNull()).alias("matches"))
     confirmed = F.filter("matches", lambda x: x["confirmed"])
     surest = F.array_max(F.transform(confirmed, lambda x: F.struct(
-        x["similarity"].alias("s"), x["probability"].alias("p"), (-x["line"]).alias("l"), x["family"].alias("family"))))
+        (x["family"] != RESERVED).alias("granted"), x["similarity"].alias("s"), x["probability"].alias("p"), (-x["line"]).alias("l"), x["family"].alias("family"))))
     return done.select("doc_id", surest["family"].alias("license"), F.size(confirmed).cast("long").alias("n_licenses"),
                        (F.size("matches") - F.size(confirmed)).cast("long").alias("n_unconfirmed"), "matches")

@@ -199,6 +199,28 @@ def test_licence_families_and_near_misses(spark, licences):
     assert not any(m.confirmed for r in got if r.want is None for m in r.matches)
 
 
+def test_every_kind_of_licence_line_of_the_corpus(spark, licences):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    kinds = {"Released under the MIT License.": "mit", "Licensed under CC BY-NC 4.0.": "cc-by-nc",
+             "Licensed under the Apache License, Version 2.0.": "apache-2.0", "All rights reserved.": "proprietary",
+             "This work is licensed under the GNU General Public License, version 3.": "gpl"}
+    lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).filter(F.col("line").isin(list(kinds)))
+    want = {r.doc_id: kinds[r.line] for r in lines.collect()}
+    got = {r.doc_id: r.license for r in license_scan.scan(docs, licences).filter("license is not null").collect()}
+    assert got == want and set(want.values()) == set(kinds.values())
+
+
+def test_rights_reserved(spark, licences):
+    rows = [(1, "Copyright 2020 Someone. All rights reserved.", "proprietary"), (2, "He reserved all rights of way.", None),
+            (3, "All rights reserved.\nReleased under the BSD License.", "bsd")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, want string")
+    got = license_scan.scan(df, licences).join(df, "doc_id").collect()
+    assert {r.doc_id: r.license for r in got} == {r.doc_id: r.want for r in got}
+    unknown = len(license_scan.FAMILIES) - 1
+    taken = license_scan.training_rows(df.limit(1).withColumn("text", F.lit("All rights reserved.")), 100)
+    assert taken.filter(F.col("label") == unknown).count() == 0
+
+
 def test_licence_edge_cases_and_plan(edge, empty, licences):
     got = license_scan.scan(edge, licences)
     assert got.count() == edge.count()
