@@ -1,6 +1,9 @@
 """License scan with a trained paragraph classifier, in DataFrame functions only.
 
-Paragraphs are the lines of a text. A sparse logistic regression (elastic net)
+Paragraphs are the lines of a text and, for notices that are wrapped, its runs of
+adjacent lines with words (comment marks are no words), less the lines that are
+confirmed on their own. A run of lines is a finding only if a notice confirms it.
+A sparse logistic regression (elastic net)
 on word n-grams of up to three words scores each line for the licence families
 and for "unknown". It is trained on the notices in ``NOTICES``, whole, in part and
 amid other words, and on lines of a bounded sample of the corpus that resemble no
@@ -10,13 +13,15 @@ must then be confirmed by comparison with its notices: most n-grams of one of th
 must be in the line.
 
 Scoring is one expression per row: the hashed n-grams of a line are intersected
-with the n-grams that have a weight, and only lines that have some are scored, so
-a text is neither exploded nor shuffled.
+with those that have a weight or are in a notice, and only lines that have some are
+scored, so a text is neither exploded nor shuffled. Those of a run of lines are the
+ones of its lines and the ones across their borders; it is scored only if a notice
+is largely in it.
 
 Defined cases: null and empty texts have no licence; rows are scanned one by one,
 repeated ones too; ties go to the first family in order; an empty table gives an
 empty result (the notices alone train the model); other columns are ignored. A
-line of any length is one paragraph.
+line of any length is one paragraph, and so is a run of any number of lines.
 """
 
 from __future__ import annotations
@@ -252,28 +257,72 @@ def _calibrate(model: Model, rows: DataFrame, texts: list[str]) -> None:
 # --------------------------------------------------------------- operator
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, license (the family of its surest confirmed
-    line, null if none; rights reserved yield to a licence that is granted), n_licenses (confirmed lines), n_unconfirmed (lines
-    whose family no notice confirms), matches (line, family, probability,
+    line or run of lines, null if none; rights reserved yield to a licence that is
+    granted), n_licenses (confirmed ones), n_unconfirmed (lines whose family no
+    notice confirms), matches (line and last, of a run; family, probability,
     similarity, confirmed)."""
     model = model or train(docs)
     spark = docs.sparkSession
     known = _notice_grams(spark)
+    noticed = notices(spark).select(F.explode(grams(words(F.col("text")))).alias("h")).distinct().collect()
+    marks = F.array(*map(F.lit, sorted({*model.hashes, *(r.h for r in noticed)}))).cast("array<bigint>")
     last = len(FAMILIES) - 1
     names = F.array(*map(F.lit, FAMILIES))
+    border = F.array(F.lit(""))  # between words that do not follow each other: no word is empty
 
-    def judged(line: Column, number: Column) -> Column:
-        """The finding of a line: null where no n-gram has a weight or no family is believed."""
-        def believed(own: Column) -> Column:
-            return let(model.probabilities(model.scores(model.hits(own))), lambda p: let(
+    def judged(own: Column, first: Column, final: Column) -> Column:
+        """The finding of lines with these n-grams: null where none has a weight or no family is believed."""
+        def believed(hits: Column) -> Column:
+            return let(model.probabilities(model.scores(hits)), lambda p: let(
                 F.array_max(F.slice(p, 1, last)), lambda top: F.when(top >= model.threshold, let(
                     F.get(names, (F.array_position(p, top) - 1).cast("int")), lambda family: let(
                         _resemblance(own, known, family), lambda same: F.struct(
-                            number.alias("line"), family.alias("family"), F.round(top, 6).alias("probability"),
-                            F.round(same, 6).alias("similarity"), (same >= CONFIRM).alias("confirmed")))))))
-        return let(grams(words(line)), lambda own: F.when(F.size(model.hits(own)) > 0, believed(own)))
-
-    done = id_text(docs).select("doc_id", F.filter(
-        F.transform(lines(F.col("text")), judged), lambda x: x.isNotNull()).alias("matches"))
+                            first.alias("line"), final.alias("last"), family.alias("family"),
+                            F.round(top, 6).alias("probability"), F.round(same, 6).alias("similarity"),
+                            (same >= CONFIRM).alias("confirmed")))))))
+        return F.when(F.size(own) > 0, let(model.hits(own), lambda hits: F.when(F.size(hits) > 0, believed(hits))))
+
+    def line_of(line: Column, number: Column) -> Column:
+        """own: n-grams of the line that matter; ends: its words, without those in the middle; found."""
+        return let(words(line), lambda w: let(F.array_intersect(grams(w), marks), lambda own: F.struct(
+            own.alias("own"),
+            F.when(F.size(w) > 4, F.concat(F.slice(w, 1, 2), border, F.slice(w, -2, 2))).otherwise(w).alias("ends"),
+            judged(own, number, number).alias("found"))))
+
+    def sure(line: Column) -> Column:
+        return F.coalesce(line["found"]["confirmed"], F.lit(False))
+
+    def run_of(every: Column, run: Column) -> Column:
+        """The finding of a run of lines, null unless confirmed."""
+        def own(part: Column) -> Column:
+            rest = F.transform(part, lambda x: F.when(sure(x), none).otherwise(x["own"]))
+            ends = F.transform(part, lambda x: F.when(sure(x), border).otherwise(x["ends"]))
+            return F.array_distinct(F.concat(F.flatten(rest), F.array_intersect(grams(F.flatten(ends)), marks)))
+
+        none = F.array().cast("array<bigint>")
+        found = let(F.slice(every, run["a"] + 1, run["b"] - run["a"] + 1), lambda part: let(own(part), lambda g: F.when(
+            _resemblance(g, known) >= CONFIRM, judged(g, run["a"], run["b"]))))
+        return let(found, lambda x: F.when(x["confirmed"], x))
+
+    def findings(every: Column) -> Column:
+        n = F.size(every)
+        at = F.sequence(F.lit(0), n - 1)
+
+        def blank(i: Column) -> Column:
+            return F.coalesce(F.size(F.get(every, i)["ends"]) <= 0, F.lit(True))
+
+        starts = F.filter(at, lambda i: ~blank(i) & ((i == 0) | blank(i - 1)))
+        finals = F.filter(at, lambda i: ~blank(i) & ((i == n - 1) | blank(i + 1)))
+        runs = F.filter(F.zip_with(starts, finals, lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
+                        lambda r: r["a"] < r["b"])
+        lone = F.filter(F.transform(every, lambda x: x["found"]), lambda x: x.isNotNull())
+        wrapped = F.filter(F.transform(runs, lambda r: run_of(every, r)), lambda x: x.isNotNull())
+        # a line that a confirmed run explains is not unconfirmed
+        return let(wrapped, lambda many: F.concat(F.filter(lone, lambda x: x["confirmed"] | ~F.exists(
+            many, lambda m: (m["family"] == x["family"]) & x["line"].between(m["line"], m["last"]))), many))
+
+    done = id_text(docs).select("doc_id", let(
+        F.transform(lines(F.col("text")), line_of), findings).alias("matches"))
     confirmed = F.filter("matches", lambda x: x["confirmed"])
     surest = F.array_max(F.transform(confirmed, lambda x: F.struct(
         (x["family"] != RESERVED).alias("granted"), x["similarity"].alias("s"), x["probability"].alias("p"), (-x["line"]).alias("l"), x["family"].alias("family"))))

@@ -221,6 +221,34 @@ def test_rights_reserved(spark, licences):
     assert taken.filter(F.col("label") == unknown).count() == 0
 
 
+WRAPPED = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights""",
+    "bsd": """Copyright (c) 2009, Someone.
+All rights reserved.
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:""",
+    "gpl": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or"""}
+
+
+def test_wrapped_notices(spark, licences):
+    rows = []
+    for family, text in WRAPPED.items():
+        for mark in ("", "# ", " * ", "// "):
+            marked = "\n".join(mark + x for x in text.split("\n"))
+            rows.append((len(rows), f"{mark}first words\n{mark.rstrip()}\n{marked}\n{mark.rstrip()}\nlast words", family))
+    first, rest = WRAPPED["mit"].split("\n", 1)
+    rows += [(100, f"{first}\n\n{rest}"[:140], None), (101, "we all have\nrights and some\nare reserved", None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, want string")
+    got = license_scan.scan(df, licences).join(df, "doc_id").collect()
+    assert {r.doc_id: r.license for r in got} == {r.doc_id: r.want for r in got}
+    assert all([(m.line, m.last) for m in r.matches if m.confirmed and m.family == r.want]
+               == [(2, 2 + WRAPPED[r.want].count("\n"))] for r in got if r.want)
+
+
 def test_licence_edge_cases_and_plan(edge, empty, licences):
     got = license_scan.scan(edge, licences)
     assert got.count() == edge.count()
