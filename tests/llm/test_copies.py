@@ -206,3 +206,28 @@ def test_proximity(spark):
             elif any(set(t) <= set(w[s:s + 6]) for s in range(len(w))):
                 near.add(str(i))
         assert r["items"] == sorted(exact) and r.near == sorted(near)
+
+
+def test_near_items_are_reported_by_a_registered_query(spark, tmp_path):
+    import __spark_entry__ as entry
+    passage = [f"p{i}" for i in range(20)]
+    moved = passage[:5] + ["extra", "words"] + passage[7:4:-1] + passage[8:]
+    texts = ["aa bb " + " ".join(passage), " ".join(moved[:12]), "nothing of it p1 p2", " ".join(["aa", *moved[:6], "bb"])]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, " ".join(passage[:10]))], "item_id bigint, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    got = {r.doc_id: r for r in entry.queries()["near_leaks"](spark, str(tmp_path)).collect()}
+    assert {i: (r.n_hit, r.contaminated, r.n_near, r.near) for i, r in got.items()} == {
+        0: (10, True, 0, []), 1: (0, False, 1, ["7"]), 2: (0, False, 0, []), 3: (0, False, 0, [])}
+    exact = {r.doc_id: tuple(r) for r in entry.queries()["op10_decontaminate"](spark, str(tmp_path)).collect()}
+    assert exact == {i: tuple(r)[:6] for i, r in got.items()}
+
+
+def test_close_stretches_equal_trying_every_start():
+    rng = np.random.default_rng(3)
+    for _ in range(3000):
+        lists = sorted((np.unique(rng.integers(0, 80, rng.integers(1, 12))) for _ in range(rng.integers(1, 5))), key=len)
+        span = int(rng.integers(1, 20))
+        every = sorted({int(p) for x in lists for p in x})
+        want = [p for p in every if all(((x >= p) & (x < p + span)).any() for x in lists)]
+        assert decontaminate.Shard._close(lists, span).tolist() == want
