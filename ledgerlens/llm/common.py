@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.session import scratch_path
@@ -50,6 +50,13 @@ def id_text(df: DataFrame, col: str = "doc_id") -> DataFrame:
     return df.select(F.col(col), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def row_key() -> Column:
+    """What tells rows apart whose ids repeat or are null: the id (null last in
+    order) and the text's digest."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
+                    F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)).alias("digest"))
+
+
 def chunks(batches: Iterator[pa.RecordBatch], max_bytes: int = CHUNK_BYTES) -> Iterator[tuple[pa.Array, pa.Array]]:
     """Cut Arrow batches of (doc_id, text) into runs of at most ``max_bytes``
     of text (one row at least), so memory in a task does not depend on how

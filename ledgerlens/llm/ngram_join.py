@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import (add_tables, as_bytes, chunks, components, id_text, id_type, join_groups, release_shuffles,
-                                   stored)
+                                   row_key, stored)
 
 N = 5
 PERCENT = 80
@@ -376,9 +376,13 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
 
 def drop_near_copies(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """``docs`` (all its columns) with one document of each component: that
-    with the least id. Rows that repeat the kept id and belong to its component
-    are dropped as well, but for one."""
-    found = near_duplicates(docs, n, percent)
+    with the least id (a null one only if there is no other). Rows are told
+    apart by id and text, so near copies under one id or null are dropped as
+    well, and unlike texts under one id stay. Rows without words have no copies."""
+    worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    marked = docs.filter(worded).withColumn("__key", row_key())
+    found = near_duplicates(marked.select(F.col("__key").alias("doc_id"), "text"), n, percent)
     kept = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__id"]), "left_semi")
+            .select(F.col("doc_id").alias("__kept")).distinct())
+    left = marked.join(kept, marked["__key"].eqNullSafe(kept["__kept"]), "left_semi").dropDuplicates(["__key"])
+    return left.drop("__key").unionByName(docs.filter(~worded))

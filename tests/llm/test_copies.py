@@ -231,3 +231,29 @@ def test_close_stretches_equal_trying_every_start():
         every = sorted({int(p) for x in lists for p in x})
         want = [p for p in every if all(((x >= p) & (x < p + span)).any() for x in lists)]
         assert decontaminate.Shard._close(lists, span).tolist() == want
+
+
+def test_contaminated_rows_do_not_take_clean_ones_along(spark):
+    leak = " ".join(f"p{i}" for i in range(12))
+    rows = [(None, leak), (None, "a clean text"), (None, None), (5, leak + " more"), (5, "clean as well"), (6, "clean")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, digest string").repartition(2)
+    bench = spark.createDataFrame([(1, leak)], "item_id bigint, text string")
+    left = decontaminate.drop_contaminated(df, bench)
+    assert left.columns == df.columns
+    assert Counter(map(tuple, left.collect())) == Counter((*r, "x") for r in rows if "p1" not in (r[1] or ""))
+
+
+def test_near_copies_under_one_id_leave_one(spark):
+    base = [f"w{i}" for i in range(100)]
+    near = " ".join([*base[:50], "other", *base[51:]])
+    base = " ".join(base)
+    last = [f"v{i}" for i in range(80)]
+    rows = [(None, base), (None, near), (None, "quite another text"), (7, " ".join(last)), (7, " ".join(last[:-1])),
+            (7, "unlike the others under its id"), (8, " ".join(last)), (None, " "), (None, " "), (7, "")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, cls string").repartition(2)
+    left = ngram_join.drop_near_copies(df)
+    assert left.columns == df.columns
+    got = Counter((r.doc_id, r.text) for r in left.collect())
+    assert sum(got[(None, t)] for t in (base, near)) == 1 and sum(got[r] for r in rows[3:5]) == 1
+    assert got[(8, rows[6][1])] == 0 and all(got[r] == 1 for r in (rows[2], rows[5], rows[9])) and got[(None, " ")] == 2
+    assert sum(got.values()) == 7
