@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (byte_bpe, chat_format, decontaminate, exact_dedup, langid, license_scan,
-                            ngram_join, secret_scan, token_store, toxicity)
+                            ngram_join, secret_scan, token_store, toxicity, whitening)
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op10, and the items with proximity matches."""
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
