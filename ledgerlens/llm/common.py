@@ -24,11 +24,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex[:12]}")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, and a
     lost executor costs only the tasks that were running."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (byte_bpe, chat_format, decontaminate, exact_dedup, langid, license_scan,
-                            ngram_join, secret_scan, token_store, toxicity, whitening)
+                            ngram_join, periodic_runs, secret_scan, token_store, toxicity, whitening)
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,6 +139,11 @@ def near_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(periodic_runs.find(periodic_runs.planted(table(spark, sf_dir, "documents"))))
+
+
 @query("op13_embedding_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
