@@ -29,7 +29,17 @@ def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     lost executor costs only the tasks that were running."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path, compression=compression)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the files of ``stored`` tables that nothing will read again."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release_shuffles(spark: SparkSession) -> None:

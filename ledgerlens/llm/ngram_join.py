@@ -174,11 +174,11 @@ def prefixes(docs: DataFrame, levels, n: int = N, percent: int = PERCENT) -> Dat
     return stored(id_text(docs).mapInArrow(run, "gram bigint, cls bigint, size int"), "prefixes")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, levels, n: int = N) -> DataFrame:
-    """Stored (cls, keys): whole sets, in rare-first order, of the documents whose
-    id is in ``wanted`` (id). The ids go to the tasks as a bit per hash slot, of
-    fixed size, so the texts are filtered where they are read and not shuffled;
-    a few sets more than wanted come along."""
+def sets_of(docs: DataFrame, wanted: DataFrame, levels=None, n: int = N) -> DataFrame:
+    """Stored (cls, keys): the whole set of every class of ``wanted`` (cls, rep:
+    the id of a document of it), one row per class; in rare-first order if the
+    levels are given, else by hash. A bit per hash slot of the ids, of fixed size,
+    spares most other texts where they are read; the class decides what stays."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(ID_SLOTS, np.int32)
@@ -193,21 +193,29 @@ def sets_of(docs: DataFrame, wanted: DataFrame, levels, n: int = N) -> DataFrame
     def slot(col: str):
         return F.pmod(F.xxhash64(col), F.lit(ID_SLOTS)).cast("int").alias("slot")
 
-    marks = wanted.select(slot("id")).distinct().mapInArrow(count, "segment int, counts binary")
+    marks = wanted.select(slot("rep")).distinct().mapInArrow(count, "segment int, counts binary")
     bits = docs.sparkSession.sparkContext.broadcast(add_tables(marks, SEGMENT, ID_SLOTS) > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = levels.value
+        met: set[int] = set()
         for b in batches:
             b = b.filter(pa.array(bits.value[b.column(2).to_numpy()]))
             for _, text in chunks([b]):
-                sets = [s for t in as_bytes(text) if len(s := shingles(t, n))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([class_of(s) for s in sets], pa.int64()),
-                     pa.array([ordered_keys(s, order).tobytes() for s in sets], pa.binary())], names=["cls", "keys"])
+                cls, keys = [], []
+                for t in as_bytes(text):
+                    s = shingles(t, n)
+                    if not len(s) or (c := class_of(s)) in met:
+                        continue
+                    if len(met) >= KNOWN:
+                        met.clear()
+                    met.add(c)
+                    cls.append(c)
+                    keys.append((s if levels is None else ordered_keys(s, levels.value)).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(keys, pa.binary())], names=["cls", "keys"])
 
     rows = id_text(docs).select("doc_id", "text", slot("doc_id"))
-    return stored(rows.mapInArrow(run, "cls bigint, keys binary"), "sets")
+    found = rows.mapInArrow(run, "cls bigint, keys binary").join(wanted.select("cls"), "cls", "left_semi")
+    return stored(found.dropDuplicates(["cls"]), "sets")
 
 
 # --------------------------------------------------------- verification
@@ -361,7 +369,7 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
 
     def sets_for(asked: DataFrame) -> DataFrame:
         reps = classes.join(asked.withColumnRenamed("id", "cls"), "cls", "left_semi")
-        return sets_of(docs, reps.select(F.col("rep").alias("id")), levels, n)
+        return sets_of(docs, reps.select("cls", "rep"), levels, n)
 
     roots = components(link_classes(met, sets_for, percent))
     of = (classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left")

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (byte_bpe, chat_format, decontaminate, exact_dedup, langid, license_scan,
-                            ngram_join, periodic_runs, secret_scan, token_store, toxicity, whitening)
+                            ngram_join, periodic_runs, secret_scan, superminhash,
+                            token_store, toxicity, whitening)
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +26,24 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+# groups of texts whose sets of word 5-grams reach a similarity
+_LINKED = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, w[i:i + 4] AS sh
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+      FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {percent} * (x.n + y.n - c)),
+e2 AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r(doc_id, x) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e2.b FROM r JOIN e2 ON r.x = e2.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id{more}
+FROM (SELECT doc_id, min(x) AS component_id FROM r GROUP BY 1) LEFT JOIN n USING (doc_id)
+"""
+
+
 @query("op1_license_scan")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
@@ -90,21 +109,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.write_and_check(table(spark, sf_dir, "documents"))
 
 
-@query("op9_ngram_join", r"""
-WITH RECURSIVE d AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, w[i:i + 4] AS sh
-      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
-      FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
-e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
-e2 AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
-r(doc_id, x) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e2.b FROM r JOIN e2 ON r.x = e2.a)
-SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
-FROM (SELECT doc_id, min(x) AS component_id FROM r GROUP BY 1) LEFT JOIN n USING (doc_id)
-""")
+@query("op9_ngram_join", _LINKED.format(percent=80, more=""))
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("cls")
 
@@ -139,6 +144,11 @@ def near_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op11_superminhash", _LINKED.format(percent=85, more=", doc_id = component_id AS kept"))
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents")).drop("cls")
+
+
 @query("op12_periodic_runs")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.report(periodic_runs.find(periodic_runs.planted(table(spark, sf_dir, "documents"))))
