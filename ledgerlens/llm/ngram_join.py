@@ -6,9 +6,9 @@
 2. N-grams are ordered by that count, ties by hash; in this order a class can only
    reach the threshold with classes that share one of its first
    ``n - ceil(t n) + 1`` n-grams (its prefix). Prefixes are joined on n-grams.
-3. Candidates pass a length filter and a count filter (two similar sets share a
-   known number of prefix n-grams), then, on the sets themselves, a positional and
-   a suffix filter, and are verified once per pair.
+3. Candidates pass a length filter, a positional filter (sets that must share s
+   n-grams share k of those that come before the last s - k) and a count filter,
+   then, on the sets themselves, a suffix filter, and are verified once per pair.
 
 Large groups of similar texts are not expanded into all pairs: first every member
 of an n-gram's list meets one pivot of that list, the class whose prefix is shared
@@ -36,8 +36,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import (add_tables, as_bytes, chunks, components, id_text, id_type, join_groups, release_shuffles,
-                                   row_key, stored)
+from ledgerlens.llm.common import (add_tables, as_bytes, chunks, components, discard, id_text, id_type, join_groups,
+                                   release_shuffles, row_key, stored)
 
 N = 5
 PERCENT = 80
@@ -46,6 +46,7 @@ SEGMENT = 1 << 15     # slots of a row when tables of tasks are added up
 KNOWN = 200_000       # classes that a task remembers to skip exact copies
 ID_SLOTS = 1 << 20    # bits of the filter of wanted ids
 PIVOT_ROUNDS = 1
+HEADS = 3             # n-grams that a pair must share in the heads of both sets
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                          0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -147,8 +148,8 @@ def ordered_keys(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------- second pass
 def prefixes(docs: DataFrame, levels, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """Stored (gram, cls, size): the prefix n-grams of every class. A task
-    leaves out classes that it has just met; other repeats may remain."""
+    """Stored (gram, cls, size, pos): the prefix n-grams of every class and their
+    places. A task leaves out classes that it has just met; other repeats may remain."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
@@ -169,9 +170,11 @@ def prefixes(docs: DataFrame, levels, n: int = N, percent: int = PERCENT) -> Dat
                 reps = [len(g) for g in grams]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(grams)), pa.array(np.repeat(np.array(cls, np.int64), reps)),
-                     pa.array(np.repeat(np.array(size, np.int32), reps))], names=["gram", "cls", "size"])
+                     pa.array(np.repeat(np.array(size, np.int32), reps)),
+                     pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in reps]))],
+                    names=["gram", "cls", "size", "pos"])
 
-    return stored(id_text(docs).mapInArrow(run, "gram bigint, cls bigint, size int"), "prefixes")
+    return stored(id_text(docs).mapInArrow(run, "gram bigint, cls bigint, size int, pos int"), "prefixes", "zstd")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, levels=None, n: int = N) -> DataFrame:
@@ -286,7 +289,7 @@ def _shared_needed(n1, n2, percent: int):
 
 def link_classes(rows: DataFrame, sets_for: Callable[[DataFrame], DataFrame], percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between classes that have the same components as all links
-    have. ``rows``: (gram, cls, size), distinct, of n-grams that two classes share;
+    have. ``rows``: (gram, cls, size, pos), distinct, of n-grams that two classes share;
     with shared, the number of its rows, and rank, the order in which classes become pivots; ``sets_for`` gives the sets of the classes (id) it is asked for."""
     links: DataFrame | None = None
     labels = None
@@ -296,33 +299,37 @@ def link_classes(rows: DataFrame, sets_for: Callable[[DataFrame], DataFrame], pe
         else:
             here = (rows.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
                     .withColumn("label", F.coalesce("root", "cls")).drop("root"))
-        # lists that hold more than one component, and the largest of each
-        count = here.groupBy("gram", "label").agg(F.count(F.lit(1)).alias("n"))
-        lists = count.groupBy("gram").agg(F.sum("n").alias("members"), F.max(F.struct("n", "label")).alias("top"),
-                                          F.min("label").alias("lo"), F.max("label").alias("hi"))
-        open_lists = lists.filter("lo < hi").select("gram", "members", F.col("top.label").alias("main"),
-                                                    (F.col("members") - F.col("top.n")).alias("outside"))
-        open_lists = stored(open_lists, "open-lists")
-        pairs_left = open_lists.agg(F.sum(F.col("members") * F.col("outside"))).first()[0] or 0
-        if not pairs_left:
-            break
-        here = stored(here.join(open_lists, "gram"), "open-rows")
+        if labels is not None:
+            # lists that hold more than one component, and the largest of each
+            count = here.groupBy("gram", "label").agg(F.count(F.lit(1)).alias("n"))
+            lists = count.groupBy("gram").agg(F.max(F.struct("n", "label")).alias("top"),
+                                              F.min("label").alias("lo"), F.max("label").alias("hi"))
+            open_lists = stored(lists.filter("lo < hi").select("gram", F.col("top.label").alias("main")), "open-lists")
+            if open_lists.isEmpty():
+                break
+            here = stored(here.join(open_lists, "gram"), "open-rows", "zstd")
+        else:
+            here = here.withColumn("main", F.lit(None).cast("bigint"))  # every class is a component, every list open
         needed = _shared_needed(F.col("n1"), F.col("n2"), percent)
         possible = (_fits(F.col("n1"), F.col("n2"), percent) & (needed <= F.col("d1")) & (needed <= F.col("d2"))
                     & (F.col("l1") != F.col("l2")))
         left = here.select("gram", F.col("cls").alias("a"), F.col("size").alias("n1"), F.col("shared").alias("d1"),
-                           F.col("label").alias("l1"), "main")
+                           F.col("pos").alias("p1"), F.col("label").alias("l1"), "main")
         right = here.select("gram", F.col("cls").alias("b"), F.col("size").alias("n2"), F.col("shared").alias("d2"),
-                            F.col("label").alias("l2"), "rank")
+                            F.col("pos").alias("p2"), F.col("label").alias("l2"), "rank")
         last = turn == PIVOT_ROUNDS
         if last:
-            met = left.filter("l1 != main").join(right, "gram").filter(
-                possible & ((F.col("l2") == F.col("main")) | (F.col("a") < F.col("b"))))
+            # of two sets that share `need` n-grams, the first n - need + k of each share k
+            heads = F.least(needed, F.lit(HEADS))
+            need = F.ceil(percent * (F.col("n1") + F.col("n2")) / (100.0 + percent) - 1e-9)
+            ahead = ((F.col("p1") < F.col("n1") - need + heads) & (F.col("p2") < F.col("n2") - need + heads))
+            met = left.filter("main is null or l1 != main").join(right, "gram").filter(
+                possible & ahead & (F.col("l2").eqNullSafe(F.col("main")) | (F.col("a") < F.col("b"))))
             pairs = (met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                                 F.when(F.col("a") < F.col("b"), F.col("n1")).otherwise(F.col("n2")).alias("n1"),
                                 F.when(F.col("a") < F.col("b"), F.col("n2")).otherwise(F.col("n1")).alias("n2"))
                      .groupBy("a", "b", "n1", "n2").agg(F.count(F.lit(1)).alias("n"))
-                     .filter(F.col("n") >= needed))
+                     .filter(F.col("n") >= heads))
         else:
             # every member meets the list's pivot: the one whose prefix is shared most, as that of a text which many
             # copies derive from; where both share enough n-grams to look alike
@@ -359,19 +366,22 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     shared = grams.groupBy("gram").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi")
     shared = stored(shared.select("gram"), "shared-grams")
     release_shuffles(spark)
-    met = stored(grams.join(shared, "gram").dropDuplicates(["gram", "cls"]), "met")
+    met = stored(grams.join(shared, "gram").dropDuplicates(["gram", "cls"]), "met", "zstd")
+    discard(grams, shared)
     release_shuffles(spark)
     degree = met.groupBy("cls").agg(F.count(F.lit(1)).cast("int").alias("shared"))
     # the share of the prefix that other classes have too, largest first; then a hash, so that ranks are distinct
     lacking = F.lit(1.0) - F.col("shared") / (F.col("size") - F.ceil(percent * F.col("size") / 100.0 - 1e-9) + 1)
     rank = F.floor(lacking * (1 << 18)) * F.lit(1 << 44) + F.pmod(F.xxhash64("cls"), F.lit(1 << 44))
-    met = stored(met.join(degree, "cls").withColumn("rank", rank.cast("bigint")), "ranked")
+    ranked = stored(met.join(degree, "cls").withColumn("rank", rank.cast("bigint")), "ranked", "zstd")
+    discard(met)
+    release_shuffles(spark)
 
     def sets_for(asked: DataFrame) -> DataFrame:
         reps = classes.join(asked.withColumnRenamed("id", "cls"), "cls", "left_semi")
         return sets_of(docs, reps.select("cls", "rep"), levels, n)
 
-    roots = components(link_classes(met, sets_for, percent))
+    roots = components(link_classes(ranked, sets_for, percent))
     of = (classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
           .withColumn("root", F.coalesce("root", "cls")))
     least = of.groupBy("root").agg(F.min("rep").alias("component_id"))
