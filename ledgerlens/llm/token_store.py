@@ -3,8 +3,8 @@
 Documents are range-partitioned and sorted by doc_id; every partition streams
 its tokens into one Arrow IPC file (the stream format with a footer, so any
 batch can be reached by number) whose batches hold fixed-size lists: ``ids``
-(the narrowest unsigned type the vocabulary fits) and ``mask`` (true on real
-tokens; only the last sequence of a file has padding). Sequence ``i`` of a file
+(the narrowest unsigned type the vocabulary fits) and ``mask`` (a byte each, 1 on
+real tokens; only the last sequence of a file has padding). Sequence ``i`` of a file
 is a slice of batch ``i // BATCH_SEQUENCES``: a memory-mapped read copies
 nothing. A small Parquet table tells where each document's tokens lie. Files
 carry a random name and count only once the task's row set is committed, so a
@@ -17,7 +17,7 @@ cache.
 Defined cases: null text counts as empty and has the end id only; rows with
 equal ids are ordered by text, a null id comes first; an empty table gives no
 file and an empty result; other columns are ignored. Special-token strings in
-a text are ordinary text.
+a text are what the library makes of them: their own ids.
 """
 
 from __future__ import annotations
@@ -39,8 +39,9 @@ from ledgerlens.llm.common import as_bytes, chunks, id_text, id_type, scratch, s
 
 SEQUENCE = 512           # tokens of a sequence
 BATCH_SEQUENCES = 256    # sequences of a record batch
-CACHE_WORDS = 700_000    # words, and word parts, kept per worker
+CACHE_WORDS = 500_000    # words, and as many word parts, kept per worker (and those of one more chunk)
 END_ID = 1
+RANGE_CHARS = 100         # of a text that take part in its range
 
 
 def default_tokenizer() -> str:
@@ -48,23 +49,42 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Words(dict):
+    """Ids of words, learnt when a word is first asked for."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self.learn(word)
+        return ids
+
+
 class WordEncoder:
-    """Ids of texts as bytes of little-endian unsigned integers, word by word."""
+    """Ids of texts as bytes of little-endian unsigned integers, word by word.
+
+    A word of LETTERS with marks after it is two pieces for the library: the
+    letters, which its normaliser only lower-cases one by one (none of them
+    composes with another), and the marks. Both are given to the library's model
+    directly. Every other word goes to the library whole and unchanged, also one
+    that holds a special-token string."""
+
+    LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 
     def __init__(self, path: str):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs a task per core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.words: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
-        # A word of letters with marks after it is two pieces, so both parts can
-        # be kept apart. An ASCII part is only lower-cased by the library's
-        # normaliser (done here already); its model can take it directly.
-        self.parts = re.compile(rb"([a-z\x80-\xff]+)([.,!?;:]*)")
+        self.words = _Words(self._word)
+        self.cores: dict[str, bytes] = {}
+        self.simple = re.compile(f"([{self.LETTERS}]+)([.,!?;:]*)")
+        # how the library writes each small letter for its model
+        letters = [chr(c) for c in range(ord("a"), 0x100) if re.match(f"[{self.LETTERS}]", chr(c))]
+        self.written = str.maketrans({c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters})
 
     def _pack(self, ids) -> bytes:
         packed = array(self.code, ids)
@@ -72,42 +92,28 @@ class WordEncoder:
             packed.byteswap()
         return packed.tobytes()
 
-    def _plain(self, piece: bytes) -> bytes:
+    def _piece(self, piece: str) -> bytes:
         got = self.cores.get(piece)
         if got is None:
-            got = self.cores[piece] = self._pack([t.id for t in self.tokenizer.model.tokenize(piece.decode())])
+            got = self.cores[piece] = self._pack([t.id for t in self.tokenizer.model.tokenize(piece)])
         return got
 
-    def _learn(self, words: list[bytes]) -> None:
-        if len(self.cores) + len(words) > CACHE_WORDS:
-            self.cores = dict(islice(self.cores.items(), len(self.cores) // 2, None))
-        split, new = [], {}
-        for w in words:
-            m = self.parts.fullmatch(w)
-            if m and m[1].isascii():
-                self.words[w] = self._plain(m[1]) + (self._plain(m[2]) if m[2] else b"")
-                continue
-            core, marks = (m[1], m[2]) if m and m[1].decode().isalpha() else (w, b"")
-            split.append((w, core, marks))
-            if core not in self.cores:
-                new[core] = None
-        texts = [c.decode() for c in new]
-        for core, e in zip(new, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
-            self.cores[core] = self._pack(e.ids)
-        for w, core, marks in split:
-            self.words[w] = self.cores[core] + (self._plain(marks) if marks else b"")
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        m = self.simple.fullmatch(text)
+        if not m:
+            return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        ids = self._piece(m[1].lower().translate(self.written))
+        return ids + self._piece(m[2]) if m[2] else ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        # lower() changes A-Z only, as the normaliser would; split() parts at ASCII white space only
-        split = [t.lower().split() for t in texts]
-        distinct = set().union(*split) if split else set()
-        new = [w for w in distinct if w not in self.words]
-        if len(self.words) + len(new) > CACHE_WORDS:  # the older half goes
-            self.words = dict(islice(self.words.items(), len(self.words) // 2, None))
-            new = [w for w in distinct if w not in self.words]
-        self._learn(new)
+        for cache in (self.words, self.cores):
+            if len(cache) > CACHE_WORDS:  # the older half goes
+                left = list(islice(cache.items(), len(cache) // 2, None))
+                cache.clear()
+                cache.update(left)
         get = self.words.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+        return [b"".join(map(get, t.split())) for t in texts]  # split() parts at ASCII white space only
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -136,7 +142,7 @@ class SequenceWriter:
     def __init__(self, uri: str, dtype: np.dtype, sequence: int):
         self.values = pa.from_numpy_dtype(dtype)
         self.dtype, self.sequence = dtype, sequence
-        self.schema = pa.schema([("ids", pa.list_(self.values, sequence)), ("mask", pa.list_(pa.bool_(), sequence))])
+        self.schema = pa.schema([("ids", pa.list_(self.values, sequence)), ("mask", pa.list_(pa.uint8(), sequence))])
         fs, path = file_system(uri)
         fs.create_dir(path.rpartition("/")[0], recursive=True)
         self.out = fs.open_output_stream(path)
@@ -157,8 +163,8 @@ class SequenceWriter:
             self.waiting, self.held = [flat[whole:]], len(flat) - whole
 
     def _batch(self, flat: np.ndarray, real: int) -> None:
-        mask = np.zeros(len(flat), bool)
-        mask[:real] = True
+        mask = np.zeros(len(flat), np.uint8)
+        mask[:real] = 1
         self.writer.write_batch(pa.RecordBatch.from_arrays(
             [pa.FixedSizeListArray.from_arrays(pa.array(flat, self.values), self.sequence),
              pa.FixedSizeListArray.from_arrays(pa.array(mask), self.sequence)], schema=self.schema))
@@ -190,8 +196,7 @@ class SequenceFile:
         """Ids and mask of the ``i``-th sequence."""
         batch, at = divmod(i, BATCH_SEQUENCES)
         row = slice(at * self.sequence, (at + 1) * self.sequence)
-        return (self._flat(batch, "ids").to_numpy()[row],
-                self._flat(batch, "mask").slice(row.start, self.sequence).to_numpy(zero_copy_only=False))
+        return self._flat(batch, "ids").to_numpy()[row], self._flat(batch, "mask").to_numpy()[row].view(bool)
 
     def tokens(self, start: int, count: int) -> Iterator[np.ndarray]:
         """Views of ``count`` tokens from position ``start``, batch by batch."""
@@ -237,7 +242,9 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, sequence: in
             if out:
                 out.close()
 
-    ordered = id_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one id (or none) are spread by the start of their texts, in the same order
+    ordered = (id_text(docs).repartitionByRange("doc_id", F.substring("text", 1, RANGE_CHARS))
+               .sortWithinPartitions("doc_id", "text"))
     rows = stored(ordered.mapInArrow(
         run, f"doc_id {id_type(docs)}, part int, file string, pos bigint, n_tokens bigint"), "token-index")
     # One row per file: a window over them is bounded by the number of partitions.

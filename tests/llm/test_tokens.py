@@ -92,7 +92,6 @@ def test_decode_and_ends(spark, edge):
 
 def test_token_files_edge_cases(spark, edge, empty):
     lib = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    lib.encode_special_tokens = True
     rows = sorted(edge.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text or ""))
     start, want = 0, []
     for r in rows:
@@ -127,3 +126,32 @@ def test_word_cache_that_overflows_changes_nothing(monkeypatch):
     for t in texts:
         assert np.frombuffer(enc.encode([t.encode()])[0], enc.dtype).tolist() == \
             enc.tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_words_equal_the_library_on_marks_capitals_and_special_strings():
+    """Combining marks, capitals that gain or lose a composed form, composition
+    exclusions, special-token strings, odd white space: ids as the library gives."""
+    enc = token_store.WordEncoder(token_store.default_tokenizer())
+    lib = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    texts = ["BELKİ.", "H̱ello", "J̌an", "T̈", "W̊ x", "क़.", "a<|endoftext|>b <|startoftext|>", "<|ENDOFTEXT|>", "ΑΣ ΟΔΟΣ. ς",
+             "É e\u0301 E\u0301x \u0301a a\u0301. ÿŸ ß ẞ ǅ ﬁ Å K", "x\u00a0y \u2028z \x1cq", "don't I'LL 'S it's", "ªº µ × ÷ Ø ø"]
+    rng = random.Random(11)
+    parts = ["a", "E", "ñ", "Ñ", "İ", "ı", "ß", "\u0301", "\u0308", "\u0331", "\u030c", "\u0327", "क", "\u093c", "Σ", "漢", "1", ".", "!", "'s",
+             "<|endoftext|>", "<|", "|>", " ", "\n", "\u00a0", "\u200d", "K", "Ç", "ÿ", "\u1100", "\u1161", "한"]
+    texts += ["".join(rng.choices(parts, k=rng.randint(1, 9))) for _ in range(6000)]
+    for t, got in zip(texts, enc.encode([t.encode() for t in texts])):
+        assert np.frombuffer(got, enc.dtype).tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_null_and_repeated_ids_are_spread(spark):
+    rows = [(None, f"text {i} " * 3) for i in range(3000)] + [(5, f"other {i}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # few rows would make one partition
+    try:
+        index = token_store.write(df, scratch(spark, "spread"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert index.groupBy("part").count().agg({"count": "max"}).first()[0] < 2500
+    got = index.orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None] * 3000 + [5] * 1000
+    assert all(b.start == a.start + a.n_tokens for a, b in zip(got, got[1:]))
