@@ -13,11 +13,11 @@
 3. Every member of a list meets the list's pivot, the class that shares most lists
    with others; pairs are confirmed on the full sets, and union-find (as alternating
    star steps) groups them. Lists that still hold several groups are paired beyond
-   their main group where that takes at most DIRECT pairs a list. Classes of larger
-   such lists get longer signatures, banded by LONG_ROWS positions: sets at the
-   threshold miss all of those lists with a probability of 3e-7, sets of similarity
-   0.6 share one with a probability of 0.1, and 0.5 of 0.01, so pairing what is left
-   in a list does not grow with the square of a large group. No list is cut.
+   their main group where that takes at most DIRECT pairs a list. For larger ones,
+   whose pairs would grow with the square of a large group of mostly unlike members,
+   there is an exact way: sets at the threshold share one of the first
+   n - s + 1 of their n-grams, rarest first, s being the number they must share at
+   least. Only the classes of such lists are joined on those heads. No list is cut.
 
 Defined cases: null and empty texts and texts without words have an empty set and
 are linked with nothing; a text of fewer words than n is one n-gram; rows with equal
@@ -36,13 +36,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import as_bytes, chunks, components, id_text, id_type, join_groups, release_shuffles, stored
-from ledgerlens.llm.ngram_join import class_of, sets_of, shingles
+from ledgerlens.llm.ngram_join import SEGMENT, SLOTS, class_of, count_levels, ordered_keys, prefix_length, sets_of, shingles
 
 N = 5
 PERCENT = 85
 BANDS, ROWS = 32, 4
-LONG_BANDS, LONG_ROWS = 140, 14
-DIRECT = 64            # pairs of a list that are made without a look at longer signatures
+DIRECT = 64            # pairs of a list that are made without a look at its sets
 KNOWN = 200_000        # classes that a task remembers to skip exact copies
 STATE_BYTES = 32 << 20  # permutations held at once
 
@@ -181,29 +180,49 @@ def _open(here: DataFrame) -> DataFrame:
 
 
 def _beyond(here: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b), a < b, of ``lists`` with one side outside the main group."""
+    """Pairs (a, b), a < b, of ``lists`` with one side outside the main group; with
+    places (pos) in ``here``, those that meet in the heads of both sets."""
     rows = here.join(lists.select("list", "main"), "list")
-    left = rows.filter("label <> main").select("list", "main", F.col("cls").alias("x"), F.col("size").alias("n1"), F.col("label").alias("l1"))
-    right = rows.select("list", F.col("cls").alias("y"), F.col("size").alias("n2"), F.col("label").alias("l2"))
+    pos = F.col("pos") if "pos" in here.columns else F.lit(-1)
+    left = rows.filter("label <> main").select("list", "main", F.col("cls").alias("x"), F.col("size").alias("n1"),
+                                               pos.alias("p1"), F.col("label").alias("l1"))
+    right = rows.select("list", F.col("cls").alias("y"), F.col("size").alias("n2"), pos.alias("p2"), F.col("label").alias("l2"))
     once = (F.col("l2") == F.col("main")) | (F.col("x") < F.col("y"))
-    met = left.join(right, "list").filter((F.col("l1") != F.col("l2")) & once & _fits("n1", "n2", percent))
+    need = F.ceil(percent * (F.col("n1") + F.col("n2")) / (100.0 + percent) - 1e-9)
+    heads = (F.col("p1") <= F.col("n1") - need) & (F.col("p2") <= F.col("n2") - need)
+    met = left.join(right, "list").filter((F.col("l1") != F.col("l2")) & once & heads & _fits("n1", "n2", percent))
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _long_lists(classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(list, cls, size) by bands of longer signatures."""
+def _heads(found: DataFrame, percent: int) -> DataFrame:
+    """Stored (list, cls, size, pos): the first n-grams of every set of ``found``
+    (cls, keys), rarest first by a count in hashed slots, and their places."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for b in batches:
+            for x in b.column(0):
+                np.add.at(counts, (np.frombuffer(x.as_buffer(), np.uint64) >> np.uint64(8)).astype(np.int64) % SLOTS, 1)
+        parts = np.minimum(counts, 65535).astype("<u2").reshape(-1, SEGMENT)
+        some = np.flatnonzero(parts.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([parts[i].tobytes() for i in some], pa.binary())],
+                                         names=["segment", "counts"])
+
+    counts = found.select("keys").mapInArrow(count, "segment int, counts binary")
+    levels = found.sparkSession.sparkContext.broadcast(count_levels(counts))  # SLOTS bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                b = batch.slice(at, 256)
-                found = [np.frombuffer(x.as_buffer(), np.uint64) for x in b.column(1)]
-                keys = bands(signatures(found, LONG_BANDS * LONG_ROWS), LONG_ROWS)
+        for b in batches:
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in b.column(1)]
+            heads = [ordered_keys(s, levels.value)[:prefix_length(len(s), percent)] for s in sets]
+            reps = [len(h) for h in heads]
+            if heads:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.reshape(-1)), pa.array(np.repeat(b.column(0).to_numpy(), LONG_BANDS)),
-                     pa.array(np.repeat(np.array([len(s) for s in found], np.int32), LONG_BANDS))], names=["list", "cls", "size"])
+                    [pa.array(np.concatenate(heads)), pa.array(np.repeat(b.column(0).to_numpy(), reps)),
+                     pa.array(np.repeat(np.array([len(s) for s in sets], np.int32), reps)),
+                     pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in reps]))], names=["list", "cls", "size", "pos"])
 
-    return sets.join(classes, "cls", "left_semi").select("cls", "keys").mapInArrow(run, "list bigint, cls bigint, size int")
+    return stored(found.mapInArrow(run, "list bigint, cls bigint, size int, pos int"), "heads", "zstd")
 
 
 def link_classes(lists: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -225,10 +244,8 @@ def link_classes(lists: DataFrame, sets: DataFrame, percent: int = PERCENT) -> D
     many = open_lists.filter(F.col("members") * F.col("outside") > DIRECT)
     if not many.isEmpty():
         classes = here.join(many.select("list"), "list", "left_semi").select("cls").distinct()
-        long = stored(_long_lists(classes, sets), "long-lists")
-        shared = long.groupBy("list").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("list")
-        long = stored(_labelled(long.join(shared, "list", "left_semi"), labels), "long-shared")
-        more = more.unionByName(_beyond(long, _open(long), percent)).distinct()
+        heads = _labelled(_heads(sets.join(classes, "cls", "left_semi").select("cls", "keys"), percent), labels)
+        more = more.unionByName(_beyond(heads, _open(heads), percent)).distinct()
     more = stored(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     release_shuffles(spark)
     return stored(links.unionByName(confirmed(more, sets, percent)), "all-links")
