@@ -117,10 +117,12 @@ def hashed_rows(rows: DataFrame, most: int) -> DataFrame:
 
 
 def bounded_sample(rows: DataFrame, key: str, quota: int) -> DataFrame:
-    """At most ``quota`` rows (doc_id and the other columns) of each value of
-    ``key`` (few values), those with the least hash of doc_id. A first cut by
-    the hash, from the number of rows of each value, leaves little more than
-    the quota, so that ranking them is a small job however large a value is."""
+    """At most ``quota`` rows (doc_id, digest and the other columns) of each value
+    of ``key`` (few values), those with the least hash of doc_id and digest; fully
+    repeated rows count once. A first cut by the hash, from the number of rows of
+    each value, leaves little more than the quota, so that ranking them is a small
+    job however large a value is."""
+    rows = rows.distinct()
     counts = [(r[key], r["n"]) for r in rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).collect()]
     scale = 1 << 30
     cut = F.lit(0)
@@ -128,8 +130,8 @@ def bounded_sample(rows: DataFrame, key: str, quota: int) -> DataFrame:
         # half as many again, and some to spare where the quota is small
         share = min(1.0, (1.5 * quota + 50) / n)
         cut = F.when(F.col(key) == F.lit(value), F.lit(int(share * scale))).otherwise(cut)
-    order = Window.partitionBy(key).orderBy("__hash", "doc_id")
-    return (rows.withColumn("__hash", F.xxhash64("doc_id")).filter(F.pmod("__hash", F.lit(scale)) < cut)
+    order = Window.partitionBy(key).orderBy("__hash", "doc_id", "digest")
+    return (rows.withColumn("__hash", F.xxhash64("doc_id", "digest")).filter(F.pmod("__hash", F.lit(scale)) < cut)
             .withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= quota)
             .drop("__hash", "__rank"))
 

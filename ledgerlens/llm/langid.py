@@ -134,8 +134,12 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN, epochs: int = 4) -> Model
     idf = np.log((1.0 + df[0]) / (1.0 + df)) + 1.0
 
     quota = max(1, max_train // len(labels))
-    chosen = bounded_sample(rows.select("doc_id", "lang"), "lang", quota).select(F.col("doc_id").alias("__id")).distinct()
-    sample = rows.join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    rows = rows.withColumn("digest", F.xxhash64("text"))
+    chosen = bounded_sample(rows.select("doc_id", "lang", "digest"), "lang", quota)  # at most max_train rows
+    chosen = F.broadcast(chosen.select(F.col("doc_id").alias("of_id"), F.col("lang").alias("of_lang"), F.col("digest").alias("of_digest")))
+    sample = rows.join(chosen, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("lang") == F.col("of_lang"))
+                       & (F.col("digest") == F.col("of_digest")), "left_semi")
+    sample = sample.dropDuplicates(["doc_id", "lang", "digest"]).select("doc_id", "text", "lang")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -149,8 +153,7 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN, epochs: int = 4) -> Model
                                               pa.array(n, pa.binary())], names=["doc_id", "lang", "at", "n"])
 
     doc_type = docs.schema["doc_id"].dataType.simpleString()
-    got = (sample.mapInArrow(features, f"doc_id {doc_type}, lang string, at binary, n binary")
-           .limit(2 * max_train).collect())  # the quota; more only where ids repeat
+    got = sample.mapInArrow(features, f"doc_id {doc_type}, lang string, at binary, n binary").collect()
     got.sort(key=lambda r: (str(r.doc_id), r.lang, bytes(r.at), bytes(r.n)))
     vectors, y = [], []
     for r in got:

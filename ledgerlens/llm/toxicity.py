@@ -144,12 +144,14 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Cha
     names = [*MARKS, DECISION]
     flag = (labels.filter("toxic is not null and doc_id is not null")
             .groupBy("doc_id").agg(F.max("toxic").alias("flag")))
-    chosen = bounded_sample(flag, "flag", max_train // 2)
+    chosen = bounded_sample(flag.withColumn("digest", F.lit(0)), "flag", max_train // 2)
     chosen = F.broadcast(chosen.select(F.col("doc_id").alias("__id"), "flag"))  # at most max_train rows
+    words = F.array_distinct(F.split(F.lower(F.regexp_replace(
+        "text", "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+", " ")), " "))
+    # of rows with one id, that with the least hash of its text
     got = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, F.col("doc_id") == F.col("__id"))
-           .select("doc_id", "flag", F.array_distinct(F.split(F.lower(F.regexp_replace(
-               "text", "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+", " ")), " ")).alias("words"))
-           .limit(2 * max_train).collect())
+           .groupBy("doc_id", "flag").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+           .select("doc_id", "flag", words.alias("words")).collect())
     got.sort(key=lambda r: (str(r.doc_id), r.words))
     y = np.array([int(r.flag == 1) for r in got], np.int64)
     if not len(y) or y.min() == y.max():

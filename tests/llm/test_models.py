@@ -181,7 +181,8 @@ def test_licence_lines_of_the_corpus(spark, licences):
     want = (F.when(F.col("text").contains("Released under the MIT License"), "mit")
             .when(F.col("text").contains("Licensed under CC BY-NC 4.0"), "cc-by-nc")
             .when(F.col("text").contains("Apache License, Version 2.0"), "apache-2.0")
-            .when(F.col("text").contains("GNU General Public License"), "gpl"))
+            .when(F.col("text").contains("GNU General Public License"), "gpl")
+            .when(F.col("text").contains("All rights reserved."), "proprietary"))
     got = license_scan.scan(docs, licences).join(docs.select("doc_id", want.alias("want")), "doc_id")
     assert got.filter("want is not null").count() > 200
     assert got.filter("not (license <=> want)").count() == 0
