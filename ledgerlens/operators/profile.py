@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.operators.keymap import null_safe_join
+
 FULL_STATS = ["count", "mean", "median", "mode", "min", "max", "range", "q1", "q3", "iqr",
               "variance", "std_dev", "skewness", "kurtosis", "lower_bound", "upper_bound",
               "outlier_count", "outlier_pct"]
@@ -61,23 +63,23 @@ def univariate(df: DataFrame, cols: Sequence[str], *, stats: Sequence[str] = FUL
     base = long.groupBy(*keys).agg(*moments)
     qs = quantile_table(long, "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"], by=keys, approx=approx,
                         accuracy=accuracy)
-    base = base.join(qs, keys)
+    base = null_safe_join(base, qs, keys, "left")
     if "mode" in stats:  # the smallest value among the most frequent
         vc = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_k"))
         top = vc.groupBy(*keys).agg(F.max("_k").alias("_top"))
-        mode = (vc.join(top, keys).filter(F.col("_k") == F.col("_top"))
+        mode = (null_safe_join(vc, top, keys).filter(F.col("_k") == F.col("_top"))
                   .groupBy(*keys).agg(F.min("value").alias("mode")))
-        base = base.join(mode, keys)
+        base = null_safe_join(base, mode, keys, "left")
     base = base.withColumn("range", F.col("max") - F.col("min")).withColumn("iqr", F.col("q3") - F.col("q1"))
     base = base.withColumns({"lower_bound": F.col("q1") - fence * F.col("iqr"),
                              "upper_bound": F.col("q3") + fence * F.col("iqr")})
     if {"outlier_count", "outlier_pct"} & set(stats):
         # one row per profiled column/group: a bounded build side
         fences = base.select(*keys, "lower_bound", "upper_bound")
-        out = (long.join(F.broadcast(fences) if not by else fences, keys)
+        out = (null_safe_join(long, F.broadcast(fences) if not by else fences, keys)
                .groupBy(*keys).agg(F.count(F.when((v < F.col("lower_bound")) | (v > F.col("upper_bound")), 1))
                                    .alias("outlier_count")))
-        base = base.join(out, keys, "left").withColumn(
+        base = null_safe_join(base, out, keys, "left").withColumn(
             "outlier_pct", F.try_divide(F.col("outlier_count"), F.col("count")) * 100)
     out = base.select(*keys, *stats)
     if decimals is not None:
@@ -98,7 +100,7 @@ def describe(df: DataFrame, cols: Sequence[str], *, by: Sequence[str] = (), appr
                                   F.min(v).alias("min"), F.max(v).alias("max"))
     qs = quantile_table(long, "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], by=keys, approx=approx,
                         accuracy=accuracy)
-    return out.join(qs, keys).select(*keys, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    return null_safe_join(out, qs, keys, "left").select(*keys, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def percentile_set(df: DataFrame, col: str, ps: Sequence[float] = (0.25, 0.5, 0.75, 0.9), *,
@@ -181,7 +183,7 @@ def iqr_filter(df: DataFrame, col: str, *, by: Sequence[str] = (), k: float = 1.
     if not by:
         lf, uf = f.select("lower_fence").scalar(), f.select("upper_fence").scalar()
         return df.filter(F.col(col).between(lf, uf))
-    return (df.join(f.select(*by, "lower_fence", "upper_fence"), by)
+    return (null_safe_join(df, f.select(*by, "lower_fence", "upper_fence"), by)
               .filter(F.col(col).between(F.col("lower_fence"), F.col("upper_fence")))
               .drop("lower_fence", "upper_fence"))
 
@@ -202,14 +204,14 @@ def box_stats(df: DataFrame, col: str, *, by: Sequence[str] = (), k: float = 1.5
     inside = x.between(F.col("lower_fence"), F.col("upper_fence"))
     joined = df.filter(x.isNotNull())
     if by:   # one fence row per group, joined on the group key
-        joined = joined.join(f, by, "inner")
+        joined = null_safe_join(joined, f, by)
     else:    # global fences are scalar subqueries
         joined = joined.withColumns({c: f.select(c).scalar() for c in ["lower_fence", "upper_fence"]})
     agg = joined.groupBy(*by).agg(F.min(F.when(inside, x)).alias("whisker_low"),
                                   F.max(F.when(inside, x)).alias("whisker_high"),
                                   F.count(F.when(~inside, 1)).alias("outlier_count"),
                                   F.count(x).alias("count"))
-    return f.join(agg, by, "left") if by else f.withColumns(
+    return null_safe_join(f, agg, by, "left") if by else f.withColumns(
         {c: agg.select(c).scalar() for c in ["whisker_low", "whisker_high", "outlier_count", "count"]})
 
 
@@ -231,11 +233,12 @@ def distributed_quantiles(df: DataFrame, col: str, ps: Sequence[float], *, by: S
     by = list(by)
     names = list(names or [f"p{int(round(p * 100))}" for p in ps])
     x = F.col(col).cast("double")
-    g = df.filter(F.col(col).isNotNull()).groupBy(*by, x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    counts = df.groupBy(*by, x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    g = counts.filter(F.col("_v").isNotNull())
     g = running_sum_global(g, [*by, "_v"], "_c", "_cum")
     if by:
         start = g.groupBy(*by).agg(F.min(F.col("_cum") - F.col("_c")).alias("_s"), F.sum("_c").alias("_n"))
-        g = g.join(start, by).withColumn("_cum", F.col("_cum") - F.col("_s"))
+        g = null_safe_join(g, start, by).withColumn("_cum", F.col("_cum") - F.col("_s"))
     else:
         g = g.withColumn("_n", g.agg(F.sum("_c")).scalar())
     aggs = []
@@ -247,5 +250,7 @@ def distributed_quantiles(df: DataFrame, col: str, ps: Sequence[float], *, by: S
                  F.min(F.when(covers(hi), F.col("_v"))).alias(f"_hi{i}"),
                  F.first(pos - lo).alias(f"_f{i}")]
     out = g.groupBy(*by).agg(*aggs)
+    if by:  # a group without a value keeps its row
+        out = null_safe_join(counts.select(*by).distinct(), out, by, "left")
     return out.select(*by, *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}"))
                              .alias(nm) for i, nm in enumerate(names)])

@@ -6,6 +6,8 @@ Five dimensions and one fact, each a lazy plan over the raw table:
   first appearance of a dimension row is the smallest (timestamp, trans_num)
   among the raw rows that carry it, plus the row's own attributes as the last
   tie-break so the order is total;
+  with a ``KeyStore`` they are kept from load to load, and only new members get
+  new ids (after those given before);
 * dimension lookups are null-safe (N2: pandas merges match null to null);
 * the fact is joined to the merchant dimension on the cleaned name. The
   planner picks the join: AQE turns it into a broadcast hash join only when
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import features as fx
+from ledgerlens.operators.keymap import KeyStore
 from ledgerlens.operators.keys import keep_first, with_row_number
 
 TS = "trans_date_trans_time"
@@ -65,11 +68,19 @@ def dim_date(spark: SparkSession, start: str | Column = CALENDAR[0], end: str |
     )
 
 
-def dim_city(raw: DataFrame, *, scalable: bool = True) -> DataFrame:
+def _numbered(table: str, df: DataFrame, natural: Sequence[str], order: Sequence[Column], name: str, *,
+              scalable: bool, store: KeyStore | None) -> DataFrame:
+    """Surrogate keys: dense ones of this load, or the stored ones and new ones after them."""
+    if store is None:
+        return with_row_number(df, order, name, scalable=scalable)
+    return store.assign(table, df, natural, order, name, scalable=scalable)
+
+
+def dim_city(raw: DataFrame, *, scalable: bool = True, store: KeyStore | None = None) -> DataFrame:
     """M2: distinct (city, state, population) with a dense city_id."""
     keys = ["city", "state", "city_pop"]
     d = _first_seen(raw, keys)
-    d = with_row_number(d, _order(keys), "city_id", scalable=scalable)
+    d = _numbered("dim_city", d, keys, _order(keys), "city_id", scalable=scalable, store=store)
     return d.select(F.col("city").alias("city_name"), "state", F.col("city_pop").alias("population"), "city_id")
 
 
@@ -89,7 +100,8 @@ def _fanout(df: DataFrame, keys: Sequence[str], order: Sequence[Column], on_fano
     raise ValueError("on_fanout must be 'keep', 'first' or 'error'")
 
 
-def dim_user(raw: DataFrame, cities: DataFrame, *, on_fanout: str = "keep", scalable: bool = True) -> DataFrame:
+def dim_user(raw: DataFrame, cities: DataFrame, *, on_fanout: str = "keep", scalable: bool = True,
+             store: KeyStore | None = None) -> DataFrame:
     """M3 + J1: distinct people with their city_id. The city lookup is on
     (city, state) only, so a city listed with two populations yields two
     rows for the person unless ``on_fanout`` says otherwise."""
@@ -97,19 +109,21 @@ def dim_user(raw: DataFrame, cities: DataFrame, *, on_fanout: str = "keep", scal
     c = cities.select(F.col("city_name").alias("_c_city"), F.col("state").alias("_c_state"), "city_id")
     j = u.join(c, _null_safe(u, c, [("city", "_c_city"), ("state", "_c_state")]), "left")
     j = _fanout(j, USER_COLS, [F.col("city_id")], on_fanout)
-    j = with_row_number(j, [*_order(USER_COLS), F.col("city_id").asc_nulls_first()], "user_id", scalable=scalable)
+    j = _numbered("dim_user", j, [*USER_COLS, "city_id"], [*_order(USER_COLS), F.col("city_id").asc_nulls_first()],
+                  "user_id", scalable=scalable, store=store)
     return j.select(F.col("first").alias("first_name"), F.col("last").alias("last_name"), "dob", "job",
                     "gender", "street", F.col("zip").alias("zip_code"), "city_id", "user_id")
 
 
-def dim_merchant(raw: DataFrame, *, prefix_only: bool = False, scalable: bool = True) -> DataFrame:
+def dim_merchant(raw: DataFrame, *, prefix_only: bool = False, scalable: bool = True,
+                 store: KeyStore | None = None) -> DataFrame:
     """M4: one row per cleaned merchant name, location of its first row (K2)."""
     m = raw.withColumn("merchant", fx.clean_merchant("merchant", prefix_only=prefix_only))
     cols = ["merchant", "merch_lat", "merch_long", "merch_zipcode"]
     first = keep_first(m, "merchant", [TS, "trans_num", "merch_lat", "merch_long", "merch_zipcode"],
                        columns=[*cols, TS, "trans_num"])
     first = first.withColumn("_first", F.struct(F.col(TS).alias("ts"), F.col("trans_num").alias("tid")))
-    d = with_row_number(first, _order(cols), "merch_id", scalable=scalable)
+    d = _numbered("dim_merchant", first, ["merchant"], _order(cols), "merch_id", scalable=scalable, store=store)
     return d.select(F.col("merchant").alias("merch_name"), "merch_lat", "merch_long", "merch_zipcode", "merch_id")
 
 
@@ -153,13 +167,14 @@ def data_calendar(raw: DataFrame, ts: str = TS) -> DataFrame:
 
 
 def build_star(raw: DataFrame, *, calendar: tuple[str, str] = CALENDAR, on_fanout: str = "keep",
-               prefix_only: bool = False, scalable: bool = True) -> dict[str, DataFrame]:
+               prefix_only: bool = False, scalable: bool = True, store: KeyStore | None = None) -> dict[str, DataFrame]:
     """All six tables. The caller should hand in a raw table that is cheap to
-    re-read (landed parquet), since six plans scan it."""
+    re-read (landed parquet), since six plans scan it. With ``store`` the ids of
+    members that an earlier load has seen are the same."""
     spark = raw.sparkSession
-    cities = dim_city(raw, scalable=scalable)
-    users = dim_user(raw, cities, on_fanout=on_fanout, scalable=scalable)
-    merchants = dim_merchant(raw, prefix_only=prefix_only, scalable=scalable)
+    cities = dim_city(raw, scalable=scalable, store=store)
+    users = dim_user(raw, cities, on_fanout=on_fanout, scalable=scalable, store=store)
+    merchants = dim_merchant(raw, prefix_only=prefix_only, scalable=scalable, store=store)
     return {
         "dim_city": cities,
         "dim_merchant": merchants,

@@ -9,18 +9,21 @@ a typed parquet table and each step strict:
    once and lineage is cut at a stable, shared location;
 3. validate the written fact with a suite; results are appended to the
    quality history and a failure raises ``QualityGateError`` — nothing loads;
-4. load the tables parent-first over JDBC with bounded connections.
+4. load the tables parent-first over JDBC with bounded connections, each table by
+   itself or, with ``merge``, through staging tables in one transaction.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import quality as q
+from ledgerlens.operators.keymap import KeyStore
 from ledgerlens.plans import model
 from ledgerlens.sources import files
 
@@ -56,13 +59,103 @@ def table_exists(spark: SparkSession, target: JdbcTarget, table: str) -> bool:
         raise
 
 
+def _column_types(df: DataFrame, keys: list[str], length: int = 255) -> str:
+    """Text keys as VARCHAR: databases cannot compare their unbounded text types."""
+    return ", ".join(f"{k} VARCHAR({length})" for k in keys if df.schema[k].dataType.simpleString() == "string")
+
+
+def _write(df: DataFrame, target: JdbcTarget, table: str, keys: list[str]) -> None:
+    w = df.write.mode("append").option("batchsize", target.batchsize)
+    types = _column_types(df, keys)
+    if types:
+        w = w.option("createTableColumnTypes", types)
+    w.jdbc(target.url, table, properties=dict(target.properties or {}))
+
+
+def _connect(spark: SparkSession, target: JdbcTarget):
+    jvm = spark.sparkContext._jvm
+    props = jvm.java.util.Properties()
+    for k, v in (target.properties or {}).items():
+        props.setProperty(k, str(v))
+    if "driver" in (target.properties or {}):
+        jvm.java.lang.Class.forName(target.properties["driver"])
+    return jvm.java.sql.DriverManager.getConnection(target.url, props)
+
+
+def _execute(connection, *statements: str) -> list[int]:
+    out = []
+    for sql in statements:
+        st = connection.createStatement()
+        try:
+            out.append(st.executeUpdate(sql))
+        finally:
+            st.close()
+    return out
+
+
+def merge_star(spark: SparkSession, tables: dict[str, DataFrame], target: JdbcTarget,
+               keys: dict[str, list[str]]) -> DataFrame:
+    """Load all tables or none: Spark writes each to a staging table of this run,
+    their row counts are compared with what was to be written (a repeated task
+    inserts twice), and one transaction moves the rows whose key the target does
+    not have, parents first. A failure anywhere leaves the targets as before;
+    staging tables go in any case. ``tables`` should be stored tables: they are
+    read for the count and for the write. Returns the load report."""
+    quote = spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(target.url).quoteIdentifier
+    run = uuid.uuid4().hex[:8]
+    names = [n for n in model.LOAD_ORDER if n in tables]
+    staged: list[str] = []
+    try:
+        for name in names:
+            stage = f"stage_{run}_{name}"
+            df = tables[name]
+            parts = df.coalesce(target.num_partitions) if target.num_partitions else df
+            staged.append(stage)
+            _write(parts, target, stage, keys[name])
+            there = spark.read.jdbc(target.url, f"(SELECT COUNT(*) AS n FROM {stage}) t",
+                                    properties=dict(target.properties or {})).first()[0]
+            if there != df.count():
+                raise RuntimeError(f"{stage} holds {there} rows: a task was repeated; nothing was loaded")
+            if not table_exists(spark, target, name):
+                _write(df.limit(0), target, name, keys[name])
+        connection = _connect(spark, target)
+        try:
+            connection.setAutoCommit(False)
+            report = []
+            try:
+                for name in names:
+                    cols = ", ".join(quote(c) for c in tables[name].columns)
+                    same = " AND ".join(f"t.{quote(k)} = s.{quote(k)}" for k in keys[name])
+                    n, = _execute(connection, f"INSERT INTO {name} ({cols}) SELECT {cols} FROM stage_{run}_{name} s "
+                                              f"WHERE NOT EXISTS (SELECT 1 FROM {name} t WHERE {same})")
+                    report.append((name, n, "loaded", None))
+                connection.commit()
+            except Exception:
+                connection.rollback()
+                raise
+        finally:
+            connection.close()
+    finally:
+        connection = _connect(spark, target)
+        try:
+            for stage in staged:
+                if table_exists(spark, target, stage):
+                    _execute(connection, f"DROP TABLE {stage}")
+        finally:
+            connection.close()
+    return spark.createDataFrame(report, "table string, rows long, status string, error string")
+
+
 def load_star(spark: SparkSession, tables: dict[str, DataFrame], target: JdbcTarget, *,
               mode: str = "append", strict: bool = True, keys: dict[str, list[str]] | None = None) -> DataFrame:
     """Write the tables in dependency order. ``mode``: ``append``,
-    ``overwrite`` or ``skip_existing`` (append only rows whose key is not in
-    the target yet, by a left-anti join — re-runs stay idempotent). With
+    ``overwrite``, ``skip_existing`` (append only rows whose key is not in
+    the target yet, by a left-anti join — re-runs stay idempotent) or ``merge``
+    (the same rows, all tables in one transaction: ``merge_star``). With
     ``strict=False`` a failing table is reported and the load goes on.
     Returns a load report (table, rows, status, error)."""
+    if mode == "merge":
+        return merge_star(spark, tables, target, keys or LOAD_KEYS)
     report = []
     for name in model.LOAD_ORDER:
         if name not in tables:
@@ -95,15 +188,17 @@ def run_pipeline(spark: SparkSession, source_csv: str, workdir: str, *, target:
     Rows without a transaction number, card or amount (also where text did not
     parse) go to ``quarantine``, and of rows that are equal in all columns one is
     kept, before the model is built. ``strict=False`` reports a table that fails to
-    load and goes on with the next. The same input can be run again: its ingest
-    partition, quarantine and processed layer are replaced, and with
-    ``load_mode="skip_existing"`` rows already loaded are not loaded twice."""
+    load and goes on with the next. The same input can be run again: its files have
+    landed (``files.land_raw``), quarantine and processed layer are replaced, and with
+    ``load_mode="skip_existing"`` or ``"merge"`` rows already loaded are not loaded
+    twice. A later input may overlap: surrogate keys are kept under ``workdir``/keys,
+    so members of earlier loads have their ids and new ones get new ids."""
     raw_path = f"{workdir.rstrip('/')}/raw"
     landed = files.land_raw(spark, source_csv, raw_path, ingest_date=ingest_date)
     typed = files.type_raw(landed)
     typed, rejects = q.clean(typed, required=["trans_num", "cc_num", "amt"], unique=typed.columns)
     rejects.write.mode("overwrite").parquet(f"{workdir.rstrip('/')}/quarantine")
-    star = model.build_star(typed)
+    star = model.build_star(typed, store=KeyStore(spark, f"{workdir.rstrip('/')}/keys"))
     paths = files.write_layer(star, f"{workdir.rstrip('/')}/processed")
     written = {k: spark.read.parquet(v) for k, v in paths.items()}
     results = q.run_checkpoint("fact_transaction_checkpoint", written["fact_transaction"], suite)

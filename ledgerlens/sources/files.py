@@ -1,15 +1,20 @@
 """File sources and sinks of the raw and processed layers.
 
-* raw CSV is read with an explicit schema (no inference pass over the data),
-  dates parsed by format, malformed records kept in a corrupt-record column;
+* raw CSV is read with an explicit schema (no inference pass over the data) bound
+  to each file's header by name, dates parsed by format, malformed records kept in
+  a corrupt-record column;
 * the raw landing keeps the source text unchanged (every column a string)
-  plus lineage columns, written as parquet;
+  plus lineage columns, written as parquet; a manifest of the files that have
+  landed decides what is new;
 * processed tables are written one folder per table.
 """
 
 from __future__ import annotations
 
+import csv
 import os
+import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,38 +60,128 @@ def require_path(spark: SparkSession, path: str) -> None:
         raise FileNotFoundError(f"Input file not found: {path}")
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, *,
-                 corrupt_column: str = "_corrupt_record") -> DataFrame:
-    """Header CSV with a declared schema; the leading index column
-    (empty header) is dropped, bad rows keep their text in ``corrupt_column``."""
-    require_path(spark, path)
-    full = T.StructType(list(schema.fields) + [T.StructField(corrupt_column, T.StringType())])
-    df = (spark.read.schema(full).option("header", True).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", corrupt_column)
-          .option("timestampNTZFormat", TIMESTAMP_FORMAT).option("dateFormat", DATE_FORMAT)
-          .option("enforceSchema", True).csv(path))
-    return df.drop("_c0", "Unnamed: 0")
+def _header(spark: SparkSession, path: str) -> list[str]:
+    """Column names in the first line of a CSV file, as Spark names them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(conf).open(p)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+            codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        line = lines.readLine()
+    finally:
+        stream.close()
+    names = next(csv.reader([(line or "").lstrip("\ufeff")]), [])
+    return [n or f"_c{i}" for i, n in enumerate(names)]
+
+
+def _by_header(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of ``path`` by their header; the driver reads a line of each file."""
+    files = sorted(unquote(f) for f in spark.read.text(path).inputFiles())
+    out: dict[tuple[str, ...], list[str]] = {}
+    for f in files:
+        out.setdefault(tuple(_header(spark, f)), []).append(f)
+    return {h: fs for h, fs in out.items() if h}
 
 
-def read_raw_text_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All-string read: the source exactly as written."""
+def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, *,
+                 corrupt_column: str = "_corrupt_record") -> DataFrame:
+    """Header CSV with a declared schema, columns bound by the name in each
+    file's header wherever they stand; a declared column that no header has is
+    null, one that is not declared is left out. The leading index column (empty
+    header) is dropped, bad rows keep their text in ``corrupt_column``."""
     require_path(spark, path)
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    declared = {f.name: f for f in schema.fields}
+    corrupt = T.StructField(corrupt_column, T.StringType())
+    out = None
+    for header, files in _by_header(spark, path).items():
+        full = T.StructType([declared.get(n, T.StructField(n, T.StringType())) for n in header] + [corrupt])
+        df = (spark.read.schema(full).option("header", True).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", corrupt_column)
+              .option("timestampNTZFormat", TIMESTAMP_FORMAT).option("dateFormat", DATE_FORMAT)
+              .option("enforceSchema", True).csv(files))
+        part = df.select(*[n for n in header if n in declared], corrupt_column)
+        missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in header]
+        part = part.select("*", *missing).select(*declared, corrupt_column)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        out = spark.createDataFrame([], T.StructType([*schema.fields, corrupt]))
+    return out.drop("_c0", "Unnamed: 0")
+
+
+def read_raw_text_csv(spark: SparkSession, path: str | list[str], *, source_column: str | None = None) -> DataFrame:
+    """All-string read: the source exactly as written, columns by header name;
+    with ``source_column``, the path of each row's file."""
+    if isinstance(path, str):
+        require_path(spark, path)
+    out = None
+    for header, files in _by_header(spark, path).items():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in header])
+        df = spark.read.schema(schema).option("header", True).csv(files)
+        if source_column:
+            df = df.select("*", F.col("_metadata.file_path").alias(source_column))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        out = spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in RAW_SCHEMA.fieldNames()]))
+    return out
+
+
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """(file, size, digest) of every file of ``path`` that has a line. The digest is
+    made of the number of lines and of sums of their hashes, so that a large file
+    is read in splits; equal files give equal digests."""
+    lines = spark.read.text(path).select("_metadata.file_path", "_metadata.file_size", "value")
+    return (lines.groupBy(F.col("file_path").alias("file"), F.col("file_size").alias("size"))
+            .agg(F.sha2(F.concat_ws("|", F.count(F.lit(1)), F.sum(F.xxhash64("value").cast("decimal(38,0)")),
+                                    F.sum(F.xxhash64("value", F.lit(1)).cast("decimal(38,0)"))), 256).alias("digest")))
+
+
+_MANIFEST = "file string, size bigint, digest string, part string, ingest_date date, run string"
+
+
+def manifest(spark: SparkSession, dest: str) -> DataFrame:
+    """The ledger of landed files: file, size, digest, part, ingest_date, run."""
+    path = f"{dest.rstrip('/')}_manifest"
+    try:
+        require_path(spark, f"{path}/_SUCCESS")
+    except FileNotFoundError:
+        return spark.createDataFrame([], _MANIFEST)
+    return spark.read.schema(_MANIFEST).parquet(path)
 
 
 def land_raw(spark: SparkSession, src: str, dest: str, *, ingest_date: str | None = None) -> DataFrame:
-    """Store the source unmodified (all columns as text) as parquet with
-    its file name and ingest date, partitioned by ingest date; returns the rows
-    of this ingest date."""
-    df = read_raw_text_csv(spark, src).withColumns({
-        "_source_file": F.input_file_name(),
-        "_ingest_date": F.lit(ingest_date).cast("date") if ingest_date else F.current_date(),
-    })
-    # the run's partition is replaced, others stay: a job that runs again lands its file once
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("_ingest_date").parquet(dest))
-    day = F.lit(ingest_date).cast("date") if ingest_date else F.current_date()
-    return spark.read.parquet(dest).filter(F.col("_ingest_date") == day)
+    """Store the files of ``src`` unmodified (all columns as text) as parquet
+    with their names and the ingest date, a partition per date and file, and enter
+    them in the manifest; a file of the same name, size and content that is there
+    already is not landed again. Returns the rows of the files that ``src`` holds
+    now, whenever they landed.
+
+    The date is fixed once, so a run over midnight reads what it wrote. The
+    manifest is written last and rows are read through it: what a failed run left
+    behind is not seen, and the next run lands those files anew."""
+    require_path(spark, src)
+    day = ingest_date or spark.sql("SELECT CAST(current_date() AS STRING)").first()[0]
+    listed = file_digests(spark, src).withColumn(
+        "part", F.concat(F.lit("f"), F.substring(F.sha2(F.concat_ws("|", "file", "digest"), 256), 1, 24)))
+    listed = spark.createDataFrame(listed.collect(), listed.schema)  # a row per file
+    known = manifest(spark, dest)
+    new = listed.join(known.select("part"), "part", "left_anti")
+    paths = [unquote(r.file) for r in new.collect()]
+    if paths:
+        parts = new.select(F.col("file").alias("_source_file"), F.col("part").alias("_file"))
+        rows = read_raw_text_csv(spark, paths, source_column="_source_file")
+        (rows.join(F.broadcast(parts), "_source_file").withColumn("_ingest_date", F.lit(day).cast("date"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_ingest_date", "_file").parquet(dest))
+        entry = new.select("file", "size", "digest", "part", F.lit(day).cast("date").alias("ingest_date"),
+                           F.lit(uuid.uuid4().hex).alias("run"))
+        entry.coalesce(1).write.mode("append").parquet(f"{dest.rstrip('/')}_manifest")
+    seen = (manifest(spark, dest).join(F.broadcast(listed.select("part")), "part", "left_semi")
+            .select(F.col("ingest_date").alias("_ingest_date"), F.col("part").alias("_file")).distinct())
+    if seen.isEmpty():
+        return read_raw_text_csv(spark, src)
+    return spark.read.parquet(dest).join(F.broadcast(seen), ["_ingest_date", "_file"], "left_semi")
 
 
 def type_raw(df: DataFrame, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
