@@ -3,7 +3,7 @@
 Documents are range-partitioned and sorted by doc_id; every partition streams
 its tokens into one Arrow IPC file (the stream format with a footer, so any
 batch can be reached by number) whose batches hold fixed-size lists: ``ids``
-(the narrowest unsigned type the vocabulary fits) and ``mask`` (a byte each, 1 on
+(the narrowest unsigned type the vocabulary fits) and ``mask`` (a bit each, set on
 real tokens; only the last sequence of a file has padding). Sequence ``i`` of a file
 is a slice of batch ``i // BATCH_SEQUENCES``: a memory-mapped read copies
 nothing. A small Parquet table tells where each document's tokens lie. Files
@@ -142,7 +142,7 @@ class SequenceWriter:
     def __init__(self, uri: str, dtype: np.dtype, sequence: int):
         self.values = pa.from_numpy_dtype(dtype)
         self.dtype, self.sequence = dtype, sequence
-        self.schema = pa.schema([("ids", pa.list_(self.values, sequence)), ("mask", pa.list_(pa.uint8(), sequence))])
+        self.schema = pa.schema([("ids", pa.list_(self.values, sequence)), ("mask", pa.list_(pa.bool_(), sequence))])
         fs, path = file_system(uri)
         fs.create_dir(path.rpartition("/")[0], recursive=True)
         self.out = fs.open_output_stream(path)
@@ -163,8 +163,8 @@ class SequenceWriter:
             self.waiting, self.held = [flat[whole:]], len(flat) - whole
 
     def _batch(self, flat: np.ndarray, real: int) -> None:
-        mask = np.zeros(len(flat), np.uint8)
-        mask[:real] = 1
+        mask = np.zeros(len(flat), bool)
+        mask[:real] = True
         self.writer.write_batch(pa.RecordBatch.from_arrays(
             [pa.FixedSizeListArray.from_arrays(pa.array(flat, self.values), self.sequence),
              pa.FixedSizeListArray.from_arrays(pa.array(mask), self.sequence)], schema=self.schema))
@@ -192,11 +192,12 @@ class SequenceFile:
     def _flat(self, batch: int, column: str) -> pa.Array:
         return self.reader.get_batch(batch).column(column).flatten()
 
-    def sequence_at(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of the ``i``-th sequence."""
+    def sequence_at(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask of the ``i``-th sequence; both are views of the mapped
+        file (the mask as an Arrow array, whose values are bits)."""
         batch, at = divmod(i, BATCH_SEQUENCES)
         row = slice(at * self.sequence, (at + 1) * self.sequence)
-        return self._flat(batch, "ids").to_numpy()[row], self._flat(batch, "mask").to_numpy()[row].view(bool)
+        return self._flat(batch, "ids").to_numpy()[row], self._flat(batch, "mask").slice(row.start, self.sequence)
 
     def tokens(self, start: int, count: int) -> Iterator[np.ndarray]:
         """Views of ``count`` tokens from position ``start``, batch by batch."""

@@ -113,7 +113,9 @@ def test_sequences_are_equal_and_masked(spark, documents):
     for i in range(-(-total // 64)):
         ids, mask = f.sequence_at(i)
         assert len(ids) == len(mask) == 64 and not ids.flags.owndata  # a view of the mapped file
-        masks.append(mask)
+        again = f.sequence_at(i)[1]
+        assert mask.buffers()[1].address == again.buffers()[1].address  # the mapped bits themselves
+        masks.append(mask.to_numpy(zero_copy_only=False))
     masks = np.concatenate(masks)
     assert masks[:total].all() and not masks[total:].any()
     f.close()
