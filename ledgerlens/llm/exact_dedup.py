@@ -17,73 +17,82 @@ gives an empty result; other columns, whatever their names, are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import string
+import uuid
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import as_bytes, id_text, id_type, scratch, stored
+from ledgerlens.llm.common import id_type, scratch, stored
 
 HOT_SHARE = 1000  # a group over 1/1000 of the rows is joined by broadcast: there are fewer than 1000 such
 
 
-def digest(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest): SHA-256 of the normalised text, for every row."""
+def text_digest(text: str = "text") -> Column:
+    """SHA-256 of the text, A-Z lower-cased, null as empty."""
+    folded = F.translate(F.coalesce(F.col(text), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    return F.unhex(F.sha2(folded.cast("binary"), 256))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sha = hashlib.sha256
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([sha(t.lower()).digest() for t in as_bytes(b.column(1))], pa.binary())],
-                names=["doc_id", "digest"])  # bytes.lower() changes A-Z only
 
-    return id_text(docs).mapInArrow(run, f"doc_id {id_type(docs)}, digest binary")
+def digest(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest) of every row."""
+    return docs.select(F.col("doc_id"), text_digest().alias("digest"))
 
 
 class DigestIndex:
     """Digests of the documents kept so far, under ``path`` (kept between
     sessions; opening the same path again finds the same rows). The bucket
-    count is fixed when the index is made: size it for the final corpus."""
+    count is fixed when the index is made: size it for the final corpus. A digest
+    carries the batch that brought it: a batch that runs again under its name
+    finds its own digests and decides as the first time."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 64, id_type: str = "bigint"):
         self.spark, self.buckets = spark, buckets
         self.path = path or scratch(spark, "digest-index")
         self.name = "digest_index_" + hashlib.md5(self.path.encode()).hexdigest()[:16]
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, doc_id {id_type}) USING parquet "
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, doc_id {id_type}, batch STRING) USING parquet "
                   f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{self.path}'")
 
     def table(self) -> DataFrame:
         self.spark.catalog.refreshTable(self.name)
         return self.spark.table(self.name)
 
-    def unknown(self, groups: DataFrame) -> DataFrame:
-        """Rows of ``groups`` whose digest the index does not have."""
-        return groups.join(self.table().select("digest").hint("merge"), "digest", "left_anti")
+    def _others(self, batch: str | None) -> DataFrame:
+        t = self.table()
+        return t if batch is None else t.filter(F.col("batch") != batch)
+
+    def unknown(self, groups: DataFrame, batch: str | None = None) -> DataFrame:
+        """Rows of ``groups`` whose digest no (other) batch has brought."""
+        return groups.join(self._others(batch).select("digest").hint("merge"), "digest", "left_anti")
 
-    def known(self, groups: DataFrame) -> DataFrame:
+    def known(self, groups: DataFrame, batch: str | None = None) -> DataFrame:
         """The other rows, with the document that the index keeps for them."""
-        held = self.table().select("digest", F.col("doc_id").alias("held_id"))
+        held = self._others(batch).select("digest", F.col("doc_id").alias("held_id"))
         return groups.join(held.hint("merge"), "digest").withColumn("keep_id", F.col("held_id")).drop("held_id")
 
-    def append(self, fresh: DataFrame) -> None:
-        """Add digests; one file per bucket and batch."""
-        (fresh.select("digest", F.col("keep_id").alias("doc_id"))
+    def append(self, fresh: DataFrame, batch: str) -> None:
+        """Add the digests that this batch has not added yet; one file per bucket and batch."""
+        here = self.table().filter(F.col("batch") == batch).select("digest")
+        new = fresh.join(here.hint("merge"), "digest", "left_anti")
+        (new.select("digest", F.col("keep_id").alias("doc_id"), F.lit(batch).alias("batch"))
          .repartition(self.buckets, "digest").sortWithinPartitions("digest")
          .write.insertInto(self.name))
 
 
-def ingest(docs: DataFrame, index: DigestIndex) -> DataFrame:
+def ingest(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> DataFrame:
     """De-duplicate a batch in itself and against the index, and append what
     is new. One row per row of ``docs``: doc_id, keep_id, group_size (rows of
-    this batch with that text), kept, digest."""
+    this batch with that text), kept, digest. Give a batch that may run again
+    (after a failure downstream, say) a name: it then keeps what it kept before;
+    without a name every call is a batch of its own."""
+    batch = batch or uuid.uuid4().hex
     digests = stored(digest(docs), "digests")
     rows = digests.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("copies"))
     groups = stored(digests.groupBy("digest").agg(F.max("doc_id").alias("keep_id"),
                                                   F.count(F.lit(1)).alias("group_size")), "groups")
-    fresh = stored(index.unknown(groups), "fresh")
-    old = stored(index.known(groups), "old")
-    index.append(fresh)
+    fresh = stored(index.unknown(groups, batch), "fresh")
+    old = stored(index.known(groups, batch), "old")
+    index.append(fresh, batch)
     resolved = (fresh.withColumn("fresh", F.lit(True))
                 .unionByName(old.withColumn("fresh", F.lit(False))))
 
@@ -101,15 +110,10 @@ def ingest(docs: DataFrame, index: DigestIndex) -> DataFrame:
         "digest")
 
 
-def drop_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
+def drop_copies(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> DataFrame:
     """``docs`` (all its columns) without the rows that ``ingest`` drops."""
-    kept = ingest(docs, index).filter("kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
-
-    @F.pandas_udf("binary")
-    def text_digest(text):
-        return text.map(lambda t: hashlib.sha256(t.encode().lower()).digest())
-
-    marked = docs.withColumn("__digest", text_digest(F.coalesce(F.col("text"), F.lit(""))))
-    joined = marked.join(kept, marked["doc_id"].eqNullSafe(kept["__id"]) & (marked["__digest"] == kept["__digest"]),
-                         "left_semi")
-    return joined.dropDuplicates(["doc_id", "__digest"]).drop("__digest")
+    kept = ingest(docs, index, batch).filter("kept").select(F.col("doc_id").alias("id"), "digest")
+    mine = f"digest_{uuid.uuid4().hex[:8]}"  # a name that no column of the caller has
+    marked = docs.withColumn(mine, text_digest())
+    joined = marked.join(kept, marked["doc_id"].eqNullSafe(kept["id"]) & (marked[mine] == kept["digest"]), "left_semi")
+    return joined.dropDuplicates(["doc_id", mine]).drop(mine)

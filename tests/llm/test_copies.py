@@ -53,6 +53,21 @@ def test_index_persists_and_join_does_not_move_it(spark, documents):
     assert plan.count("Exchange hashpartitioning") <= 1  # at most the new side is moved
 
 
+def test_a_batch_that_runs_again_keeps_what_it_kept(spark):
+    make = lambda rows: spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, __digest string")
+    index = exact_dedup.DigestIndex(spark, buckets=4)
+    one, two = make([(1, "a"), (2, "A"), (3, "b"), (None, "c"), (None, "c")]), make([(4, "B"), (5, "d"), (None, "c")])
+    decide = lambda df, batch: sorted(str((r.doc_id, r.keep_id, r.kept)) for r in exact_dedup.ingest(df, index, batch).collect())
+    first = decide(one, "one")
+    assert decide(one, "one") == first and sum("True" in r for r in first) == 3
+    second = decide(two, "two")
+    assert second == sorted(["(4, 3, False)", "(5, 5, True)", "(None, None, False)"])
+    assert decide(one, "one") == first and decide(two, "two") == second  # also after the other batch
+    assert index.table().count() == 4
+    left = exact_dedup.drop_copies(one, exact_dedup.DigestIndex(spark, buckets=4))
+    assert left.columns == one.columns and left.filter("__digest = 'x'").count() == 3  # the caller's own column stays
+
+
 def test_large_groups_go_by_broadcast(spark):
     rows = spark.range(5000).select((F.when(F.col("id") < 4000, 0).otherwise(F.col("id"))).alias("k"))
     groups = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
