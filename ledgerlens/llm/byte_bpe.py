@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import chunks, id_text, id_type
 
-CACHE_PIECES = 300_000   # pieces kept per worker
+CACHE_PIECES = 150_000   # pieces kept per worker
+CHUNK = 512 << 10         # bytes of text encoded at once (its arrays take some fifty times that)
 LONG_PIECE = 256         # longer pieces are merged with a heap, one by one
 BLOCK = 256              # code points per block of the scan
 DECODE_ROWS = 256        # rows decoded at a time
@@ -362,7 +363,7 @@ def encode(docs: DataFrame, ranks: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
-        for doc, text in chunks(batches):
+        for doc, text in chunks(batches, CHUNK):
             yield pa.RecordBatch.from_arrays([doc, *_encoded(vocab, text.to_pylist())], names=["doc_id", "ids", "ends"])
 
     return id_text(docs).mapInArrow(run, f"doc_id {id_type(docs)}, ids array<int>, ends array<int>")
@@ -392,7 +393,7 @@ def roundtrip(docs: DataFrame, ranks: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
-        for doc, text in chunks(batches):
+        for doc, text in chunks(batches, CHUNK):
             ids, ends = _encoded(vocab, text.to_pylist())
             yield pa.RecordBatch.from_arrays([doc, ids, pa.array(_decoded(vocab, ids, ends), pa.binary())],
                                              names=["doc_id", "ids", "decoded"])
