@@ -67,6 +67,19 @@ def row_key() -> Column:
                     F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)).alias("digest"))
 
 
+def give_back() -> None:
+    """Return what this worker has freed to the system: a worker lives on between
+    stages, beside an executor that needs the memory."""
+    import ctypes
+    import gc
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def chunks(batches: Iterator[pa.RecordBatch], max_bytes: int = CHUNK_BYTES) -> Iterator[tuple[pa.Array, pa.Array]]:
     """Cut Arrow batches of (doc_id, text) into runs of at most ``max_bytes``
     of text (one row at least), so memory in a task does not depend on how
@@ -84,6 +97,8 @@ def chunks(batches: Iterator[pa.RecordBatch], max_bytes: int = CHUNK_BYTES) -> I
                 start, size = i, 0
             size += s
         yield ids.slice(start, n - start), text.slice(start, n - start)
+        del ids, text, b, sizes
+    give_back()
 
 
 def as_bytes(text: pa.Array) -> list[bytes]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import CHUNK_BYTES, add_tables, bounded_sample, chunks
+from ledgerlens.llm.common import CHUNK_BYTES, add_tables, bounded_sample, chunks, give_back
 from ledgerlens.llm.linear import Ftrl, fit_temperature, softmax
 
 FEATURES = 1 << 14       # hashed n-grams of 1 to 3 characters; 0 is not used
@@ -189,6 +189,8 @@ def predictor(docs: DataFrame, **options):
                     run.append(t)
                     size += len(t)
             yield pd.DataFrame(out, columns=["lang", "score"])
+            del texts, out, run
+        give_back()
 
     return lambda text: predict(F.coalesce(text, F.lit("")))
 
