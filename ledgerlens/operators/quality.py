@@ -205,14 +205,26 @@ def unexpected_condition(e: Expectation, df: DataFrame) -> Column:
 _ROWS, _MISSING = -1, 100000   # marker ids: the row counter, and offset of per-check null counters
 
 
-def _check_counts(df: DataFrame, suite: Suite) -> DataFrame:
+def unique_keys(df: DataFrame, suite: Suite) -> DataFrame:
+    """(i, value): the present keys of the suite's uniqueness checks, as
+    ``_check_counts`` writes them."""
+    entries = [F.when(~is_missing(df, e.column), F.struct(F.lit(i).alias("i"), F.col(e.column).cast("string").alias("value")))
+               for i, e in enumerate(suite.expectations) if e.expectation_type == UNIQUE]
+    if not entries:
+        return df.sparkSession.createDataFrame([], "i int, value string")
+    return df.select(F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("_e")).select("_e.i", "_e.value")
+
+
+def _check_counts(df: DataFrame, suite: Suite, seen=None) -> DataFrame:
     """One scan, one shuffle for the whole suite: each row is exploded into
     a row marker, one (check, value) entry per failed row-level check, a
     null marker per checked column that is null, and its key for every
     uniqueness check; a single ``groupBy(check, value).count()`` then gives
     the row count, null counts, unexpected values and duplicate keys
     (map-side partial aggregation collapses the markers before the shuffle).
-    Only duplicate keys of uniqueness checks are kept."""
+    Only duplicate keys of uniqueness checks are kept: those that occur twice
+    here or that ``seen`` (keys → keys with the boolean ``seen``) knows from
+    elsewhere."""
     entry = lambda i, v: F.struct(F.lit(i).alias("i"), v.cast("string").alias("value"))
     entries = [entry(_ROWS, F.lit(None))]
     uniques = []
@@ -230,12 +242,18 @@ def _check_counts(df: DataFrame, suite: Suite) -> DataFrame:
             entries.append(F.when(unexpected_condition(e, df), entry(i, c)))
     exploded = df.select(F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("_e"))
     g = exploded.groupBy("_e.i", "_e.value").agg(F.count(F.lit(1)).alias("count"))
-    return g.filter(~F.col("i").isin(*uniques) | (F.col("count") > 1)) if uniques else g
+    if not uniques:
+        return g
+    again = F.col("count") > 1
+    if seen is not None:
+        g, again = seen(g), again | F.col("seen")
+    return g.filter(~F.col("i").isin(*uniques) | again).select("i", "value", "count")
 
 
 def validate(df: DataFrame, suite: Suite, *, run_id: str = "", checkpoint: str = "",
-             sample: int = 20) -> DataFrame:
-    """Q1–Q7: evaluate every expectation; one result row each.
+             sample: int = 20, seen=None) -> DataFrame:
+    """Q1–Q7: evaluate every expectation; one result row each. With ``seen``,
+    a key that it knows counts as a repeated one (see ``_check_counts``).
 
     Evaluation is an action (a gate needs the verdict): ``_check_counts``
     reads the data once and shuffles once for the whole suite; its small
@@ -246,7 +264,7 @@ def validate(df: DataFrame, suite: Suite, *, run_id: str = "", checkpoint: str =
 
     spark = df.sparkSession
     checkpoint_dir(spark)
-    counts = _check_counts(df, suite).checkpoint(eager=True)
+    counts = _check_counts(df, suite, seen).checkpoint(eager=True)
     totals = {r["i"]: r["u"] for r in counts.groupBy("i").agg(F.sum("count").alias("u")).collect()}
     n = int(totals.get(_ROWS, 0))
     lists, tops = {}, {}

@@ -19,6 +19,7 @@ from ledgerlens.functions import features as fx
 from ledgerlens.operators import quality as q
 from ledgerlens.operators import rules
 from ledgerlens.session import scratch_path
+from ledgerlens.streaming.seen_keys import SeenKeys
 
 TS = "trans_date_trans_time"
 
@@ -74,7 +75,11 @@ def run_to_table(stream: DataFrame, name: str, *, mode: str = "append", path: st
                  checkpoint: str | None = None, timeout: float | None = None) -> str:
     """Drain a stream (availableNow) into a parquet table, a folder per batch
     id. With the same ``path`` and ``checkpoint`` a later call goes on where
-    this one ended; without them each call starts anew. Returns the table path."""
+    this one ended; without them each call starts anew. Returns the table path.
+    One of them alone is an error: batch ids of the checkpoint name the folders
+    of the table."""
+    if (path is None) != (checkpoint is None):
+        raise ValueError("give path and checkpoint together, or neither")
     spark = stream.sparkSession
     tag = f"{name}-{uuid.uuid4().hex[:8]}"
     path = path or scratch_path(spark, f"streams/{tag}/table")
@@ -108,25 +113,37 @@ def score_stream(stream: DataFrame) -> DataFrame:
 
 def gate_stream(stream: DataFrame, suite: q.Suite, *, sink: str | None = None,
                 quarantine: str | None = None, results: str | None = None,
-                checkpoint: str | None = None) -> DataFrame:
+                checkpoint: str | None = None, seen: str | None = None) -> DataFrame:
     """ST2: validate each micro-batch; batches that pass go to ``sink``,
     failing ones to ``quarantine`` (a folder per batch id in each, so a replay
-    replaces its earlier attempt). Uniqueness is checked within a batch.
+    replaces its earlier attempt). A uniqueness check covers the batch and all
+    batches accepted before it, whose keys are kept at ``seen``; the keys of a
+    quarantined batch are not kept, so its repaired rows can come again.
+    With a checkpoint, the four paths must be given too, and stay together.
     Returns the result rows of all batches."""
+    paths = (sink, quarantine, results, seen)
+    if checkpoint is not None and None in paths:
+        raise ValueError("a kept checkpoint needs sink, quarantine, results and seen")
     spark = stream.sparkSession
-    tag = uuid.uuid4().hex[:8]
-    results = results or scratch_path(spark, f"streams/gate-{tag}/results")
-    sink = sink or scratch_path(spark, f"streams/gate-{tag}/accepted")
-    quarantine = quarantine or scratch_path(spark, f"streams/gate-{tag}/quarantine")
-    ckpt = checkpoint or scratch_path(spark, f"streams/gate-{tag}/checkpoint")
+    base = scratch_path(spark, f"streams/gate-{uuid.uuid4().hex[:8]}")
+    sink, quarantine, results, seen = (p or f"{base}/{n}" for p, n in
+                                       zip(paths, ("accepted", "quarantine", "results", "seen")))
+    ckpt = checkpoint or f"{base}/checkpoint"
+    unique = any(e.expectation_type == q.UNIQUE for e in suite.expectations)
+    keys = SeenKeys(spark, seen) if unique else None
     _write_batch(spark.createDataFrame([], q.RESULT_SCHEMA), results, -1)
 
     def check(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # read by the checks and by the write
         try:
-            res = q.validate(batch, suite, run_id=f"batch-{batch_id}", checkpoint="stream")
+            if keys and batch_id and batch_id % keys.merge_every == 0:
+                keys.merge(batch.sparkSession, batch_id)
+            res = q.validate(batch, suite, run_id=f"batch-{batch_id}", checkpoint="stream",
+                             seen=keys and (lambda k: keys.mark(k, batch_id)))
             ok = all(r["success"] for r in res.select("success").collect())
             _write_batch(batch, sink if ok else quarantine, batch_id)
+            if keys and ok:
+                keys.add(q.unique_keys(batch, suite), batch_id)
             _write_batch(res, results, batch_id)
         finally:
             batch.unpersist()
