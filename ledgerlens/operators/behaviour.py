@@ -27,6 +27,8 @@ import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.session import checkpoint_dir
+
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
 _UNB = Window.unboundedPreceding
@@ -138,12 +140,74 @@ def minutes_since_last(df: DataFrame, key: str, ts: str, tie: str, name: str = "
     return out.withColumn(name, (F.col("_t") - prev) / 60_000_000.0).drop("_t", "_d", "_pw", "_pd")
 
 
+def _hourly_totals(base: DataFrame, user: str, merchant: str, amount: str, label: str) -> DataFrame:
+    """One row per active (user, hour) and per active (merchant, hour), from one
+    scan. ``_of`` tells them apart: 0 a user's hour, 1 a merchant's. It is read
+    from two sides, hence checkpointed."""
+    checkpoint_dir(base.sparkSession)
+    y = F.col(label).cast("long")
+    slim = base.select(F.col(user).alias("_user"), F.col(merchant).alias("_merchant"), "_d", "_t",
+                       F.col(amount).alias("_amt"), y.alias("_y"))
+    g = slim.groupingSets([["_user", "_d"], ["_merchant", "_d"]], "_user", "_merchant", "_d")
+    return g.agg(F.grouping("_user").alias("_of"), F.sum("_amt").alias("_as"), F.count("_amt").alias("_ac"),
+                 F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_ys"), F.count("_y").alias("_yc"),
+                 F.max("_t").alias("_dmax")).checkpoint(eager=True)
+
+
 def behaviour_features(df: DataFrame, *, user: str = "cc_num", merchant: str = "merchant",
                        ts: str = "trans_date_trans_time", amount: str = "amt", label: str = "is_fraud",
                        tie: str = "trans_num") -> DataFrame:
-    """M8: the history features of the proposed model, added to each row."""
-    out = rolling_avg(df, user, ts, amount, 30, "avg_amt_30d")
-    out = rolling_count(out, user, ts, 7, "txn_count_7d")
-    out = minutes_since_last(out, user, ts, tie)
-    out = fraud_history(out, user, ts, label)
-    return rate_history(out, merchant, ts, label)
+    """M8: the history features of the proposed model, added to each row.
+
+    All of a user's features come from one partitioning by (user, hour): each
+    row is there as itself and as two copies without payload, shifted by 7 and
+    by 30 days, for the partial first hours of the rolling windows. The source
+    is read twice, for the hourly totals and for the rows."""
+    base = _prep(df, ts)
+    hours = _hourly_totals(base, user, merchant, amount, label)
+
+    past = Window.partitionBy("_user").orderBy("_d")
+    before_hour = past.rowsBetween(_UNB, -1)
+    by_user = hours.filter("_of = 0").select(
+        F.col("_user").alias(user), "_d",
+        F.sum("_as").over(past.rangeBetween(-(24 * 30 - 1), -1)).alias("_fs30"),
+        F.sum("_ac").over(past.rangeBetween(-(24 * 30 - 1), -1)).alias("_fc30"),
+        F.sum("_n").over(past.rangeBetween(-(24 * 7 - 1), -1)).alias("_fn7"),
+        F.sum("_ys").over(before_hour).alias("_fy"), F.lag("_dmax").over(past).alias("_fl"))
+    past = Window.partitionBy("_merchant").orderBy("_d").rowsBetween(_UNB, -1)
+    by_merchant = hours.filter("_of = 1").select(
+        F.col("_merchant").alias(merchant), "_d", F.sum("_ys").over(past).alias("_my"),
+        F.sum("_yc").over(past).alias("_mc"))
+
+    own = F.col("_c.shift") == 0
+    copies = F.array(*[F.struct(F.lit(n).alias("shift"), (F.col("_t") + n * DAY_US).alias("t")) for n in (0, 7, 30)])
+    keep = [F.when(own, F.col(c)).alias(c) for c in df.columns if c != user]
+    rows = base.withColumn("_c", F.explode(copies)).select(
+        user, *keep, F.col("_c.shift").alias("_s"), F.col("_c.t").alias("_t"),
+        F.floor(F.col("_c.t") / HOUR_US).alias("_d"), F.when(F.col("_c.shift") == 30, F.col(amount)).alias("_hv"))
+    own = F.col("_s") == 0
+    y = F.col(label).cast("long")  # null in the copies, as all payload
+    part = Window.partitionBy(user, "_d")
+    before = part.orderBy("_t").rangeBetween(_UNB, -1)
+    since = part.orderBy(F.desc("_t")).rangeBetween(_UNB, 0)  # copies from the row's time on
+    rows = rows.withColumn("_wl", F.last(F.when(own, F.col("_t")), ignorenulls=True).over(
+        part.orderBy("_t", tie).rowsBetween(_UNB, -1)))
+    rows = rows.withColumns({"_ws": F.sum(amount).over(before), "_wc": F.count(amount).over(before),
+                             "_wn": F.count(F.when(own, 1)).over(before), "_wy": F.sum(y).over(before)})
+    rows = rows.withColumns({"_es": F.sum("_hv").over(since), "_ec": F.count("_hv").over(since),
+                             "_en": F.count(F.when(F.col("_s") == 7, 1)).over(since)}).filter(own)
+
+    out = _with_past(rows, by_user, user)
+    z = lambda *cs: sum((F.coalesce(F.col(c), F.lit(0)) for c in cs), F.lit(0))
+    out = out.withColumns({
+        "avg_amt_30d": F.try_divide(z("_fs30", "_ws", "_es"), z("_fc30", "_wc", "_ec")),
+        "txn_count_7d": z("_fn7", "_wn", "_en").cast("long"),
+        "minutes_since_last": (F.col("_t") - F.coalesce("_wl", "_fl")) / 60_000_000.0,
+        "user_fraud_history": z("_fy", "_wy").cast("long")})
+    before = Window.partitionBy(merchant, "_d").orderBy("_t").rangeBetween(_UNB, -1)
+    out = _with_past(out.withColumns({"_wmy": F.sum(y).over(before), "_wmc": F.count(y).over(before)}),
+                     by_merchant, merchant)
+    out = out.withColumn("merchant_rate_history",
+                         F.try_divide(z("_my", "_wmy").cast("double"), z("_mc", "_wmc")))
+    return out.select(*df.columns, "avg_amt_30d", "txn_count_7d", "minutes_since_last", "user_fraud_history",
+                      "merchant_rate_history")

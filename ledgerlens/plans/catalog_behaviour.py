@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import behaviour as bh
-from ledgerlens.plans.catalog_rates import TS
+from ledgerlens.plans import ml
+from ledgerlens.plans.catalog_profile import DIST
+from ledgerlens.plans.catalog_rates import AGE, HOUR, TS
 from ledgerlens.plans.registry import register, round_doubles, with_events
 from ledgerlens.sources.bindings import event_ledger
 
@@ -64,3 +66,27 @@ SELECT trans_num, {TS}, merchant, amt, is_fraud,
 def merchant_rate_history(spark, sf):
     df = event_ledger(spark, sf, ["trans_num", TS, "merchant", "amt", "is_fraud"])
     return R(bh.rate_history(df, "merchant", TS))
+
+
+# every feature of the proposed model at once; a mean of cents is rounded at 8 decimals,
+# where no mean of fewer than 128 rows lies halfway
+@register("ml_feature_table", with_events(f"""
+SELECT trans_num, {TS}, cc_num, merchant, category, is_fraud, {AGE} AS age, {HOUR} AS trans_hour, round(amt, 8) AS amt,
+  round({DIST}, 8) AS distance_miles, city_pop,
+  coalesce(round(round(sum(amt) OVER d30, 2) / count(amt) OVER d30, 8), 0) AS avg_amt_30d,
+  count(*) OVER d7 AS txn_count_7d,
+  coalesce(round(CAST({US} - lag({US}) OVER o AS DOUBLE) / CAST(60000000 AS DOUBLE), 8), 0) AS minutes_since_last,
+  CAST(lag({US}) OVER o IS NULL AS INTEGER) AS is_first_txn,
+  CAST(coalesce(sum(is_fraud) OVER u, 0) AS BIGINT) AS user_fraud_history,
+  coalesce(round(avg(CAST(is_fraud AS DOUBLE)) OVER m, 8), 0) AS merchant_rate_history
+FROM ev WINDOW
+  d30 AS (PARTITION BY cc_num ORDER BY {US} RANGE BETWEEN {30 * DAY} PRECEDING AND 1 PRECEDING),
+  d7 AS (PARTITION BY cc_num ORDER BY {US} RANGE BETWEEN {7 * DAY} PRECEDING AND 1 PRECEDING),
+  u AS (PARTITION BY cc_num ORDER BY {US} RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+  m AS (PARTITION BY merchant ORDER BY {US} RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+  o AS (PARTITION BY cc_num ORDER BY {US}, trans_num)"""))
+def ml_feature_table(spark, sf):
+    raw = event_ledger(spark, sf, ["trans_num", TS, "cc_num", "merchant", "category", "is_fraud", "dob", "amt",
+                                   "lat", "long", "merch_lat", "merch_long", "city_pop"])
+    out = ml.feature_table(raw)
+    return R(out.select("trans_num", TS, "cc_num", "merchant", "category", "is_fraud", *ml.NUMERIC), 8)
