@@ -29,9 +29,16 @@ def mid_ranks(df: DataFrame, value: str, *, extra_aggs: Sequence[Column] = (),
                         + (F.col("t").cast("double") + 1) / 2).drop("_cum")
 
 
+EXACT_SMALL, EXACT_LARGE = 8, 200  # sizes of the two groups up to which p is counted, not approximated
+
+
 def rank_sum_stats(df: DataFrame, value: str, label: str, positive=1) -> DataFrame:
     """n1 (positives), n2, the positives' rank sum, U1 and the normal
     approximation z with tie and continuity corrections — one row."""
+    return _rank_sums(df, value, label, positive).drop("ties")
+
+
+def _rank_sums(df: DataFrame, value: str, label: str, positive) -> DataFrame:
     d = df.filter(F.col(value).isNotNull() & F.col(label).isNotNull())
     r = mid_ranks(d, value, extra_aggs=[F.count(F.when(F.col(label) == positive, 1)).alias("t1")])
     t = F.col("t").cast("double")
@@ -45,17 +52,44 @@ def rank_sum_stats(df: DataFrame, value: str, label: str, positive=1) -> DataFra
     big_u = F.greatest(u1, n1 * n2 - u1)
     return s.select((F.col("n") - F.col("n1")).alias("n2"), "n1", "rank_sum_1",
                     u1.alias("u_statistic"),
-                    F.try_divide(big_u - n1 * n2 / 2 - 0.5, sigma).alias("z_score"))
+                    F.try_divide(big_u - n1 * n2 / 2 - 0.5, sigma).alias("z_score"), F.col("_ties").alias("ties"))
+
+
+def exact_u_p(n1: Column, n2: Column, u: Column) -> Column:
+    """Two-sided exact p of Mann–Whitney's U without ties: 2·P(U >= the larger
+    U). The number of rankings with each U is the coefficient of a Gaussian
+    binomial, built up one member of the smaller group at a time: with the
+    i-th member, each count becomes the sum of the counts i, 2i, … below it, less
+    those a further n + i below. For a smaller group of at most EXACT_SMALL and
+    a larger one of at most EXACT_LARGE the counts fit a long."""
+    m, n = F.least(n1, n2).cast("int"), F.greatest(n1, n2).cast("int")
+    last = m * n
+    zero = F.lit(0).cast("long")
+    at = lambda c, i: F.coalesce(F.when(i >= 0, F.get(c, i)), zero)
+    step = lambda c, i: F.transform(F.sequence(F.lit(0), last), lambda v: F.aggregate(
+        F.sequence(v, v % i, -i), zero, lambda s, j: s + at(c, j) - at(c, j - n - i)))
+    none = F.transform(F.sequence(F.lit(0), last), lambda v: F.when(v == 0, F.lit(1)).otherwise(F.lit(0)).cast("long"))
+    counts = F.aggregate(F.sequence(F.lit(1), m), none, step)
+    big_u = F.greatest(u, n1 * n2 - u).cast("int")
+    total = lambda c: F.aggregate(c, zero, lambda s, k: s + k)
+    upper = F.aggregate(F.sequence(big_u, last), zero, lambda s, j: s + at(counts, j))
+    return F.least(F.lit(1.0), F.try_divide(2 * upper, total(counts)).cast("double"))
 
 
 def mann_whitney_u(df: DataFrame, value: str, label: str = "is_fraud", *, positive=1,
                    alpha: float = 0.05) -> DataFrame:
-    """Two-sided Mann–Whitney U of the positive class against the rest
-    (asymptotic normal p-value with tie and continuity corrections), with a
-    ``significant`` verdict at ``alpha``."""
-    s = rank_sum_stats(df, value, label, positive)
-    p = normal_two_sided_p(F.col("z_score"))
-    return s.withColumn("p_value", p).withColumn("significant", F.col("p_value") < alpha)
+    """Two-sided Mann–Whitney U of the positive class against the rest,
+    with a ``significant`` verdict at ``alpha``. Without ties, and with groups of
+    at most EXACT_SMALL and EXACT_LARGE values, p is exact; else it is the normal
+    approximation with tie and continuity corrections (``method`` says which).
+    Null when a group is empty or all values are equal."""
+    s = _rank_sums(df, value, label, positive)
+    n1, n2 = F.col("n1"), F.col("n2")
+    counted = ((F.col("ties") == 0) & (F.least(n1, n2) >= 1) & (F.least(n1, n2) <= EXACT_SMALL)
+               & (F.greatest(n1, n2) <= EXACT_LARGE))
+    p = F.when(counted, exact_u_p(n1, n2, F.col("u_statistic"))).otherwise(normal_two_sided_p(F.col("z_score")))
+    return s.withColumns({"p_value": p, "method": F.when(counted, F.lit("exact")).otherwise(F.lit("asymptotic"))}
+                         ).withColumn("significant", F.col("p_value") < alpha).drop("ties")
 
 
 def rank_column(df: DataFrame, col: str, name: str) -> DataFrame:
@@ -125,10 +159,3 @@ def chi2_independence(df: DataFrame, a: str, b: str, values: Sequence, *,
     term = F.when(e > 0, F.pow(F.greatest(F.abs(o - e) - adj, F.lit(0.0)), 2) / e)
     s = long.agg(F.sum(term).alias("chi2"), F.sum("observed").alias("n"), F.max("dof").alias("dof"))
     return s.select("chi2", "dof", "n", chi2_sf(F.col("chi2"), F.col("dof").cast("double")).alias("p_value"))
-
-
-def chi2_p_dof1(x: Column) -> Column:
-    """p-value of a chi-square statistic with one degree of freedom."""
-    from ledgerlens.functions.special import erfc
-    return erfc(F.sqrt(x / 2))
-

@@ -263,9 +263,45 @@ def mannwhitney_distance(spark, sf):
     return _mw_round(stats.rank_sum_stats(df, "distance_miles", "is_fraud"))
 
 
-@register("mannwhitney_amount_test")   # p-value needs erfc: rows-only check, unit-tested against brute force
+# 2·P(Z > z) as one minus Simpson's integral of the density over 20,000 steps
+def _normal_p_sql(z: str) -> str:
+    return f"""(SELECT 1 - sum(CASE WHEN i IN (0, 20000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+  * exp(-power(h * i, 2) / 2)) * any_value(h) / 3 * 2 / sqrt(2 * pi())
+  FROM (SELECT abs({z}) / 20000 AS h) CROSS JOIN range(0, 20001) g(i))"""
+
+
+def _p_round(df):
+    return _mw_round(df).withColumn("p_value", F.round("p_value", 8))
+
+
+@register("mannwhitney_amount_test", with_events(f"""WITH mw AS ({_mw_sql("ev", "amt").replace("), 6) AS z_score", "), 12) AS z_score")})
+SELECT n2, n1, rank_sum_1, u_statistic, round(z_score, 6) AS z_score, round(p, 8) AS p_value,
+  'asymptotic' AS method, p < 0.05 AS significant FROM (SELECT *, {_normal_p_sql("(SELECT z_score FROM mw)")} AS p FROM mw)"""))
 def mannwhitney_amount_test(spark, sf):
-    return stats.mann_whitney_u(event_ledger(spark, sf, ["amt", "is_fraud"]), "amt")
+    return _p_round(stats.mann_whitney_u(event_ledger(spark, sf, ["amt", "is_fraud"]), "amt"))
+
+
+# exact p: the oracle lists every choice of ranks of the smaller group
+_QUARTERS = f"""q AS (SELECT date_trunc('quarter', {TS}) AS quarter, avg(amt) AS v,
+  CAST(any_value(quarter({TS})) = 1 AS INTEGER) AS y FROM ledger GROUP BY 1),
+r AS (SELECT y, row_number() OVER (ORDER BY v) AS rk FROM q),
+s AS (SELECT count(*) AS n, sum(y) AS n1, sum(rk * y) AS r1, sum(rk * y) - sum(y) * (sum(y) + 1) / 2 AS u FROM r),
+c AS (SELECT 0 AS last, 0 AS k, 0 AS total UNION ALL
+  SELECT p, k + 1, total + p FROM c, range(1, (SELECT n + 1 FROM s)) g(p) WHERE p > last AND k < (SELECT n1 FROM s)),
+e AS (SELECT total - n1 * (n1 + 1) / 2 AS w, greatest(u, n1 * (n - n1) - u) AS big FROM c, s WHERE k = n1)"""
+
+
+@register("mannwhitney_quarter_exact", with_ledger(f"""WITH {_QUARTERS}
+SELECT CAST(n1 AS BIGINT) AS n1, CAST(n - n1 AS BIGINT) AS n2, CAST(u AS DOUBLE) AS u_statistic,
+  round(least(1, p), 8) AS p_value, 'exact' AS method, p < 0.05 AS significant
+FROM s, (SELECT 2 * avg(CASE WHEN w >= big THEN 1.0 ELSE 0.0 END) AS p FROM e)""").replace("WITH", "WITH RECURSIVE", 1))
+def mannwhitney_quarter_exact(spark, sf):
+    """Do first quarters have other mean amounts than the rest of the year? A
+    handful of quarters on each side, so p is counted."""
+    q = ledger(spark, sf, [TS, "amt"]).groupBy(F.date_trunc("quarter", TS).alias("quarter")).agg(F.avg("amt").alias("v"))
+    q = q.withColumn("is_fraud", (F.quarter("quarter") == 1).cast("int"))
+    out = stats.mann_whitney_u(q, "v").withColumns({"n1": F.col("n1").cast("long"), "n2": F.col("n2").cast("long")})
+    return _p_round(out.drop("rank_sum_1", "z_score"))
 
 
 # ---------------------------------------------------------------- A11 / A14
@@ -323,6 +359,12 @@ def chi2_gender(spark, sf):
     return R(out.drop("p_value"))
 
 
-@register("chi2_gender_test")   # p-value from the chi-square survival function: rows-only check
+@register("chi2_gender_test", with_ledger(f"""{_CHI_CELLS},
+x AS (SELECT sum(power(greatest(abs(observed - CAST(row_total * col_total AS DOUBLE) / n) - 0.5, 0), 2)
+  / (CAST(row_total * col_total AS DOUBLE) / n)) AS chi2,
+  CAST((count(DISTINCT gender) - 1) * (count(DISTINCT is_fraud) - 1) AS INTEGER) AS dof,
+  CAST(sum(observed) AS BIGINT) AS n FROM e)
+SELECT round(chi2, 6) AS chi2, dof, n, round({_normal_p_sql("(SELECT sqrt(chi2) FROM x)")}, 8) AS p_value FROM x"""))
 def chi2_gender_test(spark, sf):
-    return stats.chi2_independence(ledger(spark, sf, ["gender", "is_fraud"]), "gender", "is_fraud", [0, 1])
+    out = stats.chi2_independence(ledger(spark, sf, ["gender", "is_fraud"]), "gender", "is_fraud", [0, 1])
+    return R(out, 8).withColumn("chi2", F.round("chi2", 6))
