@@ -83,3 +83,47 @@ def running_sum_global(df: DataFrame, order: Sequence[str], value: str, name: st
     out = ranged.join(F.broadcast(offsets), "_pid").withColumn(
         name, F.coalesce(F.col("_off"), zero) + F.sum(value).over(frame))
     return out.drop("_pid", "_off")
+
+
+def _by_range(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` in range partitions of ``order`` (rows of equal order together),
+    numbered in ``_pid``; checkpointed, so that a lost executor cannot re-sample
+    other range bounds."""
+    checkpoint_dir(df.sparkSession)
+    ranged = df.repartitionByRange(*[F.col(c) for c in order])
+    return ranged.withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+
+
+def running_sums_global(df: DataFrame, order: Sequence[str], sums: dict[str, str], *, reverse: bool = False,
+                        totals: dict[str, str] | None = None) -> DataFrame:
+    """``running_sum_global`` for several values (value → name of its sum) in one
+    pass. ``totals`` (value → name) also attaches whole-table sums, which the
+    table of partition sums gives without reading the rows again."""
+    totals = totals or {}
+    ranged = _by_range(df, order)
+    w = Window.orderBy(F.desc("_pid") if reverse else F.asc("_pid")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy()
+    sizes = ranged.groupBy("_pid").agg(*[F.sum(v).alias(f"_s_{v}") for v in {**sums, **totals}])
+    # one row per partition: bounded by the partition count, safe to window and broadcast
+    offsets = sizes.select("_pid", *[F.coalesce(F.sum(f"_s_{v}").over(w), F.lit(0)).alias(f"_off_{v}") for v in sums],
+                           *[F.sum(f"_s_{v}").over(whole).alias(name) for v, name in totals.items()])
+    ordered = [F.col(c).desc() if reverse else F.col(c) for c in order]
+    frame = Window.partitionBy("_pid").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, 0)
+    out = ranged.join(F.broadcast(offsets), "_pid")
+    out = out.withColumns({name: F.col(f"_off_{v}") + F.sum(v).over(frame) for v, name in sums.items()})
+    return out.drop("_pid", *[f"_off_{v}" for v in sums])
+
+
+def lag_global(df: DataFrame, order: Sequence[str], value: str, name: str) -> DataFrame:
+    """``value`` of the row before in one global (total) order; null for the
+    first row. The first row of a range partition takes the last value of the
+    partition before it, so no window goes over the whole table."""
+    ranged = _by_range(df, order)
+    cols = [F.col(c) for c in order]
+    last = ranged.groupBy("_pid").agg(F.max_by(F.struct(value), F.struct(*cols)).alias("_last"))
+    carried = last.select("_pid", F.lag("_last").over(Window.orderBy("_pid")).alias("_carried"))
+    w = Window.partitionBy("_pid").orderBy(*cols)
+    out = ranged.join(F.broadcast(carried), "_pid").withColumns(
+        {"_rn": F.row_number().over(w), "_lag": F.lag(value).over(w)})
+    out = out.withColumn(name, F.when(F.col("_rn") == 1, F.col("_carried")[value]).otherwise(F.col("_lag")))
+    return out.drop("_pid", "_carried", "_rn", "_lag")

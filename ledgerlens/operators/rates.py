@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.keys import lag_global
+
 
 def _list(x) -> list:
     if x is None:
@@ -211,11 +213,18 @@ def class_ratio(summary: DataFrame, label: str = "is_fraud",
             .withColumn("ratio", F.try_divide(F.col("positive_value"), F.col("negative_value"))))
 
 
-def period_change(df: DataFrame, period: str, value: str, *, name: str | None = None) -> DataFrame:
-    """Value minus the previous period's value (rows are one per period,
-    so the ordered window runs over a bounded, aggregated table)."""
+def period_change(df: DataFrame, period: str | Sequence[str], value: str, *, name: str | None = None,
+                  bounded_key: bool = True) -> DataFrame:
+    """Value minus the previous period's value. ``bounded_key=True`` states
+    that there are few periods (months), one row each: one ordered window over
+    them. With ``False`` the table may be as long as it likes (every second, every
+    row): the previous value is carried over range partitions."""
     name = name or f"{value}_change"
-    return df.withColumn(name, F.col(value) - F.lag(value).over(Window.orderBy(period)))
+    period = [period] if isinstance(period, str) else list(period)
+    if not bounded_key:
+        out = lag_global(df, period, value, "_before")
+        return out.withColumn(name, F.col(value) - F.col("_before")).drop("_before")
+    return df.withColumn(name, F.col(value) - F.lag(value).over(Window.orderBy(*period)))
 
 
 def class_share_by_period(df: DataFrame, period: str, cls: str, *, label: str | None = None,

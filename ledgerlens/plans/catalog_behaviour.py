@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import features as fx
 from ledgerlens.operators import behaviour as bh
+from ledgerlens.operators import curves, rates
 from ledgerlens.plans import ml
 from ledgerlens.plans.catalog_profile import DIST
 from ledgerlens.plans.catalog_rates import AGE, HOUR, TS
@@ -90,3 +92,47 @@ def ml_feature_table(spark, sf):
                                    "lat", "long", "merch_lat", "merch_long", "city_pop"])
     out = ml.feature_table(raw)
     return R(out.select("trans_num", TS, "cc_num", "merchant", "category", "is_fraud", *ml.NUMERIC), 8)
+
+
+# M10 on a deterministic score: age, 25 points for a late hour, a point per 100 of the amount
+_CURVE = f"""x AS (SELECT {AGE} + CASE WHEN {HOUR} >= 22 THEN 25 ELSE 0 END + amt / 100 AS score, is_fraud FROM ev),
+per_score AS (SELECT score, count(*) AS n, CAST(sum(is_fraud) AS BIGINT) AS positives FROM x
+  WHERE score IS NOT NULL AND is_fraud IS NOT NULL GROUP BY score),
+c AS (SELECT *, sum(n) OVER w AS flagged, sum(positives) OVER w AS tp, sum(n) OVER () AS all_n, sum(positives) OVER () AS all_p
+  FROM per_score WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+def _points(spark, sf):
+    df = event_ledger(spark, sf, [TS, "dob", "amt", "is_fraud"])
+    late = F.when(F.hour(TS) >= 22, 25).otherwise(0)
+    return df.withColumn("score", fx.age_365(TS, "dob") + late + F.col("amt") / 100)
+
+
+@register("threshold_curve_points", with_events(f"""WITH {_CURVE}
+SELECT round(score, 8) AS score, n, positives, CAST(flagged AS BIGINT) AS flagged, CAST(tp AS BIGINT) AS tp,
+  CAST(flagged - tp AS BIGINT) AS fp,
+  CAST(all_p AS BIGINT) AS all_positives, round(tp / flagged, 8) AS precision, round(tp / all_p, 8) AS recall,
+  round(flagged / all_n, 8) AS flagged_share, round((tp / flagged) / (all_p / all_n), 8) AS lift FROM c"""))
+def threshold_curve_points(spark, sf):
+    return R(curves.threshold_curve(_points(spark, sf), "score"), 8)
+
+
+@register("threshold_summary_points", with_events(f"""WITH {_CURVE},
+r AS (SELECT is_fraud, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rk FROM x
+  WHERE score IS NOT NULL AND is_fraud IS NOT NULL),
+u AS (SELECT sum(rk * is_fraud) AS r1, CAST(sum(is_fraud) AS DOUBLE) AS p, CAST(count(*) AS DOUBLE) AS m FROM r),
+f AS (SELECT *, 2.0 * tp / (flagged + all_p) AS f1 FROM c)
+SELECT CAST(m AS BIGINT) AS n, CAST(p AS BIGINT) AS positives, round((r1 - p * (p + 1) / 2) / (p * (m - p)), 8) AS roc_auc,
+  round((SELECT sum(positives * (tp / flagged)) FROM c) / p, 8) AS average_precision,
+  round((SELECT max(f1) FROM f), 8) AS best_f1,
+  round((SELECT score FROM f ORDER BY f1 DESC, score DESC LIMIT 1), 8) AS best_threshold FROM u"""))
+def threshold_summary_points(spark, sf):
+    return R(curves.curve_summary(curves.threshold_curve(_points(spark, sf), "score")), 8)
+
+
+@register("amount_step", with_events(f"""
+SELECT trans_num, {TS}, amt, round(amt - lag(amt) OVER (ORDER BY {TS}, trans_num), 6) AS amt_step FROM ev"""))
+def amount_step(spark, sf):
+    """W1 over every transaction: its amount less that of the one before."""
+    df = event_ledger(spark, sf, ["trans_num", TS, "amt"])
+    return R(rates.period_change(df, [TS, "trans_num"], "amt", name="amt_step", bounded_key=False))

@@ -11,14 +11,13 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import features as fx
-from ledgerlens.operators import behaviour
+from ledgerlens.operators import behaviour, curves
 
 TS = "trans_date_trans_time"
 NUMERIC = ["age", "trans_hour", "amt", "distance_miles", "city_pop", "avg_amt_30d", "txn_count_7d",
@@ -87,8 +86,7 @@ def evaluate(models: dict, test: DataFrame, *, label: str = "is_fraud", threshol
     out = None
     for name, m in models.items():
         pred = m.transform(test).withColumn("p1", vector_to_array("probability")[1])
-        auc = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol="label",
-                                            metricName="areaUnderROC", numBins=0).evaluate(pred)
+        auc = curves.curve_summary(curves.threshold_curve(pred, "p1", "label")).select("roc_auc")
         hit = F.col("p1") >= threshold
         pos = F.col("label") == 1
         c = pred.agg(F.count(F.when(hit & pos, 1)).alias("tp"), F.count(F.when(hit & ~pos, 1)).alias("fp"),
@@ -98,7 +96,7 @@ def evaluate(models: dict, test: DataFrame, *, label: str = "is_fraud", threshol
         r = c.select(F.lit(name).alias("model"), "tp", "fp", "fn", "tn", prec.alias("precision"),
                      rec.alias("recall")).withColumn(
             "f1", F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
-        ).withColumn("roc_auc", F.lit(float(auc))).withColumn(
+        ).withColumn("roc_auc", auc.scalar()).withColumn(
             # base rate − rate after, over the base rate: the share of positives that is caught
             "uplift_pct", 100.0 * F.try_divide(F.col("tp"), F.col("tp") + F.col("fn")))
         out = r if out is None else out.unionByName(r)
