@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import features as fx
-from ledgerlens.plans import model
+from ledgerlens.operators import summaries
+from ledgerlens.plans import layout, model
 from ledgerlens.plans.catalog_profile import DIST
 from ledgerlens.plans.catalog_rates import AGE, AGE_GROUP, CITY_CAT, HOUR, MONTH, PROXY_USER, TIME_CAT, TS
 from ledgerlens.plans.registry import register, round_doubles, with_ledger
+from ledgerlens.session import scratch_path
 from ledgerlens.sources.bindings import ledger
 
 R = round_doubles
@@ -129,3 +133,43 @@ SELECT *, CAST({TS} AS DATE) AS trans_date, {AGE} AS age, {HOUR} AS trans_hour,
 FROM ledger""".replace("SELECT *,", "SELECT * REPLACE (replace(merchant, 'fraud_', '') AS merchant),", 1)))
 def features_full(spark, sf):
     return fx.add_features(ledger(spark, sf))
+
+
+@register("spend_by_user_bucketed", with_ledger(f"""WITH {_CITY_SQL}, {_USER_SQL},
+dcard AS (SELECT c.cc_num AS cc_number, du.user_id FROM (SELECT DISTINCT cc_num, "first", "last", dob FROM ledger) c
+  LEFT JOIN du ON c."first" IS NOT DISTINCT FROM du.first_name AND c."last" IS NOT DISTINCT FROM du.last_name
+  AND c.dob IS NOT DISTINCT FROM du.dob)
+SELECT d.user_id, count(*) AS transactions, CAST(sum(l.is_fraud) AS BIGINT) AS fraud_transactions, round(sum(l.amt), 2) AS amount
+FROM ledger l JOIN dcard d ON l.cc_num = d.cc_number GROUP BY d.user_id"""))
+def spend_by_user_bucketed(spark, sf):
+    """Fact and card dimension bucketed on the card number, joined without a
+    shuffle of either, then totalled per user."""
+    raw = ledger(spark, sf, list(dict.fromkeys([*FACT_INPUT, *_UCOLS, "city_pop", TS])))
+    base = scratch_path(spark, f"processed/{uuid.uuid4().hex[:8]}")
+    fact = layout.write_bucketed(model.fact_transaction(raw, model.dim_merchant(raw)), f"{base}/fact", "cc_number", 8)
+    cards = layout.write_bucketed(model.dim_card(raw, model.dim_user(raw, model.dim_city(raw))), f"{base}/card", "cc_number", 8)
+    j = fact.join(cards.select("cc_number", "user_id").hint("merge"), "cc_number")
+    return j.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("transactions"), F.sum(F.col("is_fraud").cast("long")).alias("fraud_transactions"),
+        F.round(F.sum("amt"), 2).alias("amount"))
+
+
+# sketches of single months, merged over a range, within their stated error of the exact numbers
+@register("merged_month_summary", with_ledger(f"""
+SELECT '1996-03' AS first_month, '1997-06' AS last_month, count(*) AS transactions, count(DISTINCT cc_num) AS cards,
+  true AS transactions_equal, true AS cards_close, true AS median_close
+FROM ledger WHERE {MONTH} BETWEEN '1996-03' AND '1997-06'"""))
+def merged_month_summary(spark, sf):
+    df = ledger(spark, sf, [TS, "cc_num", "amt"]).withColumn("month", F.date_format(TS, "yyyy-MM"))
+    path = scratch_path(spark, f"summaries/{uuid.uuid4().hex[:8]}")
+    summaries.store(summaries.summarise(df, "month", distinct=["cc_num"], quantiles=["amt"]), path)
+    est = summaries.estimates(summaries.merged(spark, path, "1996-03", "1997-06"))
+    q = est.select("amt_p50").scalar()
+    exact = df.filter(F.col("month").between("1996-03", "1997-06")).agg(
+        F.count(F.lit(1)).alias("transactions"), F.countDistinct("cc_num").alias("cards"),
+        F.avg((F.col("amt") < q).cast("double")).alias("_below"), F.avg((F.col("amt") <= q).cast("double")).alias("_upto"))
+    return exact.select(
+        F.lit("1996-03").alias("first_month"), F.lit("1997-06").alias("last_month"), "transactions", "cards",
+        (F.col("transactions") == est.select("n").scalar()).alias("transactions_equal"),
+        (F.abs(est.select("distinct_cc_num").scalar() / F.col("cards") - 1) < 0.05).alias("cards_close"),
+        ((F.col("_below") < 0.53) & (F.col("_upto") > 0.47)).alias("median_close"))
