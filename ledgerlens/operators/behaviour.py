@@ -140,18 +140,16 @@ def minutes_since_last(df: DataFrame, key: str, ts: str, tie: str, name: str = "
     return out.withColumn(name, (F.col("_t") - prev) / 60_000_000.0).drop("_t", "_d", "_pw", "_pd")
 
 
-def _hourly_totals(base: DataFrame, user: str, merchant: str, amount: str, label: str) -> DataFrame:
+def hourly_totals(base: DataFrame, user: str, merchant: str, amount: str, label: str) -> DataFrame:
     """One row per active (user, hour) and per active (merchant, hour), from one
-    scan. ``_of`` tells them apart: 0 a user's hour, 1 a merchant's. It is read
-    from two sides, hence checkpointed."""
-    checkpoint_dir(base.sparkSession)
+    scan. ``_of`` tells them apart: 0 a user's hour, 1 a merchant's."""
     y = F.col(label).cast("long")
     slim = base.select(F.col(user).alias("_user"), F.col(merchant).alias("_merchant"), "_d", "_t",
                        F.col(amount).alias("_amt"), y.alias("_y"))
     g = slim.groupingSets([["_user", "_d"], ["_merchant", "_d"]], "_user", "_merchant", "_d")
     return g.agg(F.grouping("_user").alias("_of"), F.sum("_amt").alias("_as"), F.count("_amt").alias("_ac"),
                  F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_ys"), F.count("_y").alias("_yc"),
-                 F.max("_t").alias("_dmax")).checkpoint(eager=True)
+                 F.max("_t").alias("_dmax"))
 
 
 def behaviour_features(df: DataFrame, *, user: str = "cc_num", merchant: str = "merchant",
@@ -164,8 +162,22 @@ def behaviour_features(df: DataFrame, *, user: str = "cc_num", merchant: str = "
     by 30 days, for the partial first hours of the rolling windows. The source
     is read twice, for the hourly totals and for the rows."""
     base = _prep(df, ts)
-    hours = _hourly_totals(base, user, merchant, amount, label)
+    checkpoint_dir(df.sparkSession)
+    hours = hourly_totals(base, user, merchant, amount, label).checkpoint(eager=True)  # read from two sides
+    own = F.col("_c.shift") == 0
+    copies = F.array(*[F.struct(F.lit(n).alias("shift"), (F.col("_t") + n * DAY_US).alias("t")) for n in (0, 7, 30)])
+    keep = [F.when(own, F.col(c)).alias(c) for c in df.columns if c != user]
+    rows = base.withColumn("_c", F.explode(copies)).select(
+        user, *keep, F.col("_c.shift").alias("_s"), F.col("_c.t").alias("_t"),
+        F.floor(F.col("_c.t") / HOUR_US).alias("_d"), F.when(F.col("_c.shift") == 30, F.col(amount)).alias("_hv"))
+    return features_of(rows, hours, df.columns, user, merchant, amount, label, tie)
+
 
+def features_of(rows: DataFrame, hours: DataFrame, columns: list[str], user: str, merchant: str, amount: str,
+                label: str, tie: str) -> DataFrame:
+    """The history features of the rows whose ``_s`` is 0, from the hourly
+    totals of their entities and the copies (``_s`` 7 or 30, time ``_t`` and
+    hour ``_d`` shifted by so many days, amount in ``_hv``) in their hours."""
     past = Window.partitionBy("_user").orderBy("_d")
     before_hour = past.rowsBetween(_UNB, -1)
     by_user = hours.filter("_of = 0").select(
@@ -179,12 +191,6 @@ def behaviour_features(df: DataFrame, *, user: str = "cc_num", merchant: str = "
         F.col("_merchant").alias(merchant), "_d", F.sum("_ys").over(past).alias("_my"),
         F.sum("_yc").over(past).alias("_mc"))
 
-    own = F.col("_c.shift") == 0
-    copies = F.array(*[F.struct(F.lit(n).alias("shift"), (F.col("_t") + n * DAY_US).alias("t")) for n in (0, 7, 30)])
-    keep = [F.when(own, F.col(c)).alias(c) for c in df.columns if c != user]
-    rows = base.withColumn("_c", F.explode(copies)).select(
-        user, *keep, F.col("_c.shift").alias("_s"), F.col("_c.t").alias("_t"),
-        F.floor(F.col("_c.t") / HOUR_US).alias("_d"), F.when(F.col("_c.shift") == 30, F.col(amount)).alias("_hv"))
     own = F.col("_s") == 0
     y = F.col(label).cast("long")  # null in the copies, as all payload
     part = Window.partitionBy(user, "_d")
@@ -209,5 +215,5 @@ def behaviour_features(df: DataFrame, *, user: str = "cc_num", merchant: str = "
                      by_merchant, merchant)
     out = out.withColumn("merchant_rate_history",
                          F.try_divide(z("_my", "_wmy").cast("double"), z("_mc", "_wmc")))
-    return out.select(*df.columns, "avg_amt_30d", "txn_count_7d", "minutes_since_last", "user_fraud_history",
+    return out.select(*columns, "avg_amt_30d", "txn_count_7d", "minutes_since_last", "user_fraud_history",
                       "merchant_rate_history")
