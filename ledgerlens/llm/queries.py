@@ -101,7 +101,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_toxicity")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), categories=("quality",))
 
 
 @query("op8_token_store")

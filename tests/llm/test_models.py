@@ -92,6 +92,43 @@ def test_chain_uses_earlier_categories_and_threshold_fits():
     assert toxicity.best_threshold(np.array([0.9, 0.8, 0.3]), np.array([1, 1, 0])) == pytest.approx(0.55)
 
 
+def test_kinds_come_from_the_training_rows():
+    rng = random.Random(4)
+    calm = [" ".join(rng.choices(["river", "stone", "lamp", "green", "walks"], k=6)) for _ in range(200)]
+    first = [c + " zork" + rng.choice([" zorka", ""]) for c in calm[:40]]
+    second = [c + " blim" + rng.choice([" blimo", ""]) for c in calm[40:60]]
+    texts, y = first + second + calm, np.array([1] * 60 + [0] * 200)
+    kinds = toxicity.toxic_kinds(texts, y)
+    assert [k.sum() for k in kinds] == [40, 20]  # words that no list knows
+    assert kinds[0][:40].all() and kinds[1][40:60].all()
+    assert [k.sum() for k in toxicity.toxic_kinds(calm[:100], np.arange(100) % 2)] == [0, 0]  # nothing marks them
+
+
+def test_chain_on_words_that_no_list_knows(spark):
+    """Toxic rows of an invented vocabulary, two label columns before the decision."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(600):
+        text = " ".join(rng.choices(["river", "stone", "lamp", "green", "walks", "slowly"], k=12))
+        bad = i % 5 == 0
+        rows.append((i, text + (rng.choice([" zork", " zorka", " blim", " blimo"]) if bad else ""), int(bad), i % 2))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, t, q if i % 7 else None) for i, _, t, q in rows if i % 3],
+                                   "doc_id bigint, toxic int, quality int")
+    got = toxicity.classify(docs, labels, categories=("quality",))
+    assert got.columns == ["doc_id", "p_quality", "p_kind_1", "p_kind_2", "p_toxic", "toxic"]
+    assert {r.doc_id for r in got.collect() if r.toxic} == {r[0] for r in rows if r[2]}
+
+
+def test_batch_of_texts_equals_one_by_one():
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(["bad", "idiot", "fine", "day", "sky"], k=rng.randint(0, 5))) for _ in range(90)] + [""]
+    y = np.array([int("idiot" in t) for t in texts])
+    chain = toxicity.train_chain(texts, {"a": y, "b": y})
+    assert np.allclose(chain.predict_all(texts), [chain.predict(t) for t in texts], atol=1e-12)
+    assert chain.predict_all([]).shape == (0, 2)
+
+
 def test_toxicity_edge_cases(spark, edge, empty):
     labels = spark.createDataFrame([(6, 1, 1), (7, 0, 0), (None, 0, 1), (9, 0, None), (6, 1, 1)],
                                    "doc_id bigint, quality int, toxic int")
