@@ -11,8 +11,12 @@ token whose best score for a secret lies so far below that for "outside" that no
 transition can make up for it is outside in every best sequence; the stretches
 between such tokens are decoded one by one.
 
-The field is fitted on at most ``MAX_TRAIN`` rows (chosen by a hash of id and text):
-its labels are the base spans of those rows.
+The field is fitted on stretches of at most ``MAX_TRAIN`` rows (chosen by a hash
+of id and text). Base spans of those rows are secrets (up to ``MAX_SECRETS`` of a
+text give a stretch each); so that the field does not merely learn the patterns,
+each stretch also comes in disguise: made-up secrets of other forms, quoted or
+spaced, behind other words or none, take the place of a token, and so do
+made-up names, paths, dates and numbers that are no secrets (``disguised``).
 
 Defined cases: null counts as empty; an empty text has no spans; without a
 training row that has a secret only base spans are found; repeated rows are
@@ -22,7 +26,10 @@ ignored. Offsets are code points, ends exclusive; whole texts are scanned.
 
 from __future__ import annotations
 
+import random
 import re
+import string
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +41,7 @@ from ledgerlens.llm.common import chunks, hashed_rows, id_text, id_type
 
 MAX_TRAIN = 3000
 MAX_WINDOWS = 4000       # training stretches, half of them without a secret
+MAX_SECRETS = 64
 WINDOW = 40              # tokens of a stretch
 CACHE_TOKENS = 500_000
 
@@ -43,7 +51,8 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs are taken whole, so shorter ones need not be met
 KINDS = ("assign", "access", "hex", "crf")
-KEYWORDS = ("password", "passwd", "secret", "token", "api", "key", "credential", "auth", "bearer", "private")
+KEYWORDS = ("password", "passwd", "secret", "token", "api", "key", "credential", "auth", "bearer", "private",
+            "pwd", "pass")
 _CUES = ("passw", "secret", "token", "api")
 
 Span = tuple[str, int, int]
@@ -317,9 +326,86 @@ class Scanner:
 
 
 # -------------------------------------------------------------- operators
-def training_windows(text: str, limit: int = 64) -> list[tuple[list[str], np.ndarray, list[int]]]:
+_LETTERS, _HEX = string.ascii_letters + string.digits, "0123456789abcdef"
+_LEAD_INS = ((), (), ("=",), ("key", "="), ("credential", "="), ("DB_PASS", ":"), ("pwd", "="), ("Authorization", ":", "Bearer"),
+             ("bearer",), ("auth", ":"), ("value", "="), ("PRIVATE_KEY", "="), ("is",), (":",))
+
+
+def made_secret(rng: random.Random) -> list[str]:
+    """Tokens of a secret: random characters, some behind a short prefix or in groups."""
+    def some(alphabet: str, low: int, high: int) -> str:
+        return "".join(rng.choices(alphabet, k=rng.randint(low, high)))
+
+    kind = rng.randrange(6)
+    if kind == 0:
+        return [some(_LETTERS, 16, 64)]
+    if kind == 1:  # a prefix that names the issuer
+        return [some(string.ascii_lowercase, 2, 4) + rng.choice("_-") + rng.choice(["", "live_", "test-", "pat_"])
+                + some(_LETTERS, 16, 48)]
+    if kind == 2:  # groups
+        return ["-".join(some(_LETTERS, 8, 24) for _ in range(rng.randint(2, 4)))]
+    if kind == 3:  # base 64
+        return [some(_LETTERS + "+/", 24, 76), *["="] * rng.randint(0, 2)]
+    if kind == 4:
+        return [some(string.ascii_uppercase + string.digits, 16, 40)]
+    return [some(_HEX, 16, 23) if rng.random() < .5 else some(_LETTERS + "_.-", 12, 32)]
+
+
+def made_name(rng: random.Random) -> list[str]:
+    """Tokens that look out of the ordinary and are no secret."""
+    def word() -> str:
+        return "".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 10)))
+
+    kind, n = rng.randrange(10), rng.randint(2, 6)
+    if kind == 0:
+        return ["/".join(word() for _ in range(n)) + rng.choice(["", "/", ".html", ".py"])]
+    if kind == 1:
+        return [rng.choice("_-.").join(word() for _ in range(n))]
+    if kind == 2:
+        return ["".join(word().title() for _ in range(n))]
+    if kind == 3:
+        return [rng.choice(["%04d-%02d-%02d", "%04d/%02d/%02d", "v%d.%d.%d"])
+                % (rng.randint(1, 2030), rng.randint(1, 12), rng.randint(1, 28))]
+    if kind == 4:
+        return [str(rng.randrange(10 ** rng.randint(1, 16)))]
+    if kind == 5:
+        return [word(), rng.choice(":="), rng.choice([word(), str(rng.randint(0, 9999)), "true"])]
+    if kind == 6:
+        return [word() + str(rng.randint(0, 9999)), "@", word() + "." + word()]
+    if kind == 7:  # telephone, book and order numbers
+        return ["-".join(str(rng.randrange(10 ** rng.randint(1, 6))) for _ in range(n))]
+    if kind == 8:
+        return ["https", ":", "/" * 2 + "/".join(word() for _ in range(n)) + "/" + str(rng.randint(0, 99999))]
+    return [word().upper() + rng.choice(["", "_" + word().upper(), str(rng.randint(0, 99))])]
+
+
+def disguised(tokens: list[str], tags: list[int], rng: random.Random) -> tuple[list[str], list[int], bool]:
+    """A stretch with a made-up secret (true) or name in place of its first secret
+    or, without one, of a token somewhere; other secrets of it become names."""
+    out, of, secret = [], [], rng.random() < .5
+    at = tags.index(B) if B in tags else rng.randrange(len(tokens))
+    for i, (token, tag) in enumerate(zip(tokens, tags)):
+        if tag == I:
+            continue
+        if i != at:
+            part, new = ([token], [O]) if tag == O else (["-"], [O])
+        else:
+            body = made_secret(rng) if secret else made_name(rng)
+            lead = list(rng.choice(_LEAD_INS)) if secret or rng.random() < .3 else []
+            quote = [rng.choice("\"'")] * (rng.random() < .3)
+            part = [*lead, *quote, *body, *quote]
+            inside = [B] + [I] * (len(body) - 1) if secret else [O] * len(body)
+            new = [O] * (len(lead) + len(quote)) + inside + [O] * len(quote)
+        out += part
+        of += new
+    cut = max(0, min(at - WINDOW // 2, len(out) - WINDOW))
+    return out[cut:cut + WINDOW], of[cut:cut + WINDOW], secret
+
+
+def training_windows(text: str, limit: int = MAX_SECRETS) -> list[tuple[list[str], np.ndarray, list[int]]]:
     """Stretches of a training text: tokens, text features, tags. Those with a
-    secret, and as many at fixed places (the same for equal texts)."""
+    secret, and some at fixed places, each as it is and twice in disguise (the
+    same for equal texts)."""
     secrets = [(s, e) for _, _, e, s in base_spans(text)]
     tokens = list(TOKEN.finditer(text))
     if not tokens:
@@ -341,6 +427,11 @@ def training_windows(text: str, limit: int = 64) -> list[tuple[list[str], np.nda
         a = max(0, min(c - WINDOW // 2, len(tokens) - WINDOW))
         part = tokens[a:a + WINDOW]
         out.append(([m[0] for m in part], extra, tags[a:a + WINDOW]))
+    rng = random.Random(zlib.crc32(text.encode("utf-8", "surrogatepass")))
+    for words, _, of in out[:]:
+        for _ in range(2):
+            new, new_tags, _ = disguised(words, of, rng)
+            out.append((new, extra, new_tags))
     return out
 
 

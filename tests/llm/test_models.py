@@ -193,6 +193,33 @@ def test_field_finds_secrets_of_rows_it_has_not_seen(spark, field):
     assert total > 20 and hit / total > 0.8
 
 
+def test_field_finds_secrets_that_no_pattern_knows(spark, field):
+    """Secrets of other forms in prose of the corpus, and none where there is none."""
+    rng = random.Random(11)
+    some = lambda chars, n: "".join(rng.choices(chars, k=n))
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    forms = [lambda: "ghp_" + some(alnum, 36), lambda: "Authorization: Bearer " + some(alnum, 24) + "." + some(alnum, 30),
+             lambda: "sk_live_" + some(alnum, 24), lambda: "DB_PASS: " + some(alnum, 14),
+             lambda: "MII" + some(alnum + "+/", 61), lambda: f"xoxb-{rng.randrange(10**11)}-" + some(alnum, 24),
+             lambda: some(alnum + "+/", 40), lambda: "credential = " + some(alnum, 16)]
+    scanner = secret_scan.Scanner(field)
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("length(text) > 300").orderBy(
+        F.xxhash64("doc_id").desc()).limit(800).collect()
+    hit = total = false = 0
+    for i, r in enumerate(docs):
+        words = r.text.split(" ")
+        plain = scanner.spans(r.text)
+        false += any(k == "crf" for k, _, _ in plain)
+        at = rng.randrange(1, len(words)) if len(words) > 1 else 0
+        secret = forms[i % len(forms)]()
+        before = " ".join(words[:at]) + " "
+        end = len(before) + len(secret)
+        got = scanner.spans(before + secret + " " + " ".join(words[at:]))
+        total += 1
+        hit += any(a < end and end - 8 < b for _, a, b in got)  # reaches the secret's own end
+    assert total > 500 and hit / total >= 0.9 and false / total < 0.01
+
+
 def test_scan_edge_cases(edge, empty, field):
     got = sorted((r.doc_id is None, r.doc_id or 0, r.base_sha256, r.n_assign, r.n_access, r.n_hex)
                  for r in secret_scan.report(edge, field).collect())
