@@ -96,12 +96,14 @@ FROM ledger l LEFT JOIN dm ON replace(l.merchant, 'fraud_', '') IS NOT DISTINCT
 # the columns the fact and the merchant dimension read (no customer-side joins needed)
 FACT_INPUT = ["trans_num", TS, "cc_num", "merchant", "amt", "is_fraud", "category", "lat", "long",
               "merch_lat", "merch_long", "merch_zipcode"]
+# those that number the merchants (no join with orders)
+MERCHANT_KEYS = ["merchant", TS, "trans_num"]
 
 
 @register("fact_transaction", with_ledger(f"WITH {_MERCH_SQL} {_FACT_SQL}"), bench=True)
 def fact_transaction(spark, sf):
     raw = ledger(spark, sf, FACT_INPUT)
-    return model.fact_transaction(raw, model.dim_merchant(raw))
+    return model.fact_transaction(raw, model.dim_merchant(raw, names=ledger(spark, sf, MERCHANT_KEYS)))
 
 
 @register("fact_integrity", with_ledger(f"""WITH {_CITY_SQL}, {_USER_SQL}, {_MERCH_SQL},
@@ -146,7 +148,7 @@ def spend_by_user_bucketed(spark, sf):
     shuffle of either, then totalled per user."""
     raw = ledger(spark, sf, list(dict.fromkeys([*FACT_INPUT, *_UCOLS, "city_pop", TS])))
     base = scratch_path(spark, f"processed/{uuid.uuid4().hex[:8]}")
-    fact = layout.write_bucketed(model.fact_transaction(raw, model.dim_merchant(raw)), f"{base}/fact", "cc_number", 8)
+    fact = layout.write_bucketed(model.fact_transaction(raw, model.dim_merchant(raw, names=ledger(spark, sf, MERCHANT_KEYS))), f"{base}/fact", "cc_number", 8)
     cards = layout.write_bucketed(model.dim_card(raw, model.dim_user(raw, model.dim_city(raw))), f"{base}/card", "cc_number", 8)
     j = fact.join(cards.select("cc_number", "user_id").hint("merge"), "cc_number")
     return j.groupBy("user_id").agg(

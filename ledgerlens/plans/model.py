@@ -115,11 +115,29 @@ def dim_user(raw: DataFrame, cities: DataFrame, *, on_fanout: str = "keep", scal
                     "gender", "street", F.col("zip").alias("zip_code"), "city_id", "user_id")
 
 
-def dim_merchant(raw: DataFrame, *, prefix_only: bool = False, scalable: bool = True,
+def dim_merchant(raw: DataFrame, *, names: DataFrame | None = None, prefix_only: bool = False, scalable: bool = True,
                  store: KeyStore | None = None) -> DataFrame:
-    """M4: one row per cleaned merchant name, location of its first row (K2)."""
+    """M4: one row per cleaned merchant name, location of its first row (K2).
+
+    ``names`` may give the merchant, timestamp and id columns of the same rows
+    where they are cheaper to read than ``raw``: the keys come from them and the
+    location is joined on, so that Spark leaves it out of a plan that only looks
+    up keys."""
     m = raw.withColumn("merchant", fx.clean_merchant("merchant", prefix_only=prefix_only))
     cols = ["merchant", "merch_lat", "merch_long", "merch_zipcode"]
+    if names is not None:
+        # the merchant ends the order: there is one row of each
+        first = _first_seen(names.withColumn("merchant", fx.clean_merchant("merchant", prefix_only=prefix_only)),
+                            ["merchant"])
+        d = _numbered("dim_merchant", first, ["merchant"], _order(["merchant"]), "merch_id", scalable=scalable,
+                      store=store)
+        # plain keys instead of a null-safe one: of a left join on the whole key of an aggregate
+        # whose columns nobody reads, the optimizer drops the right side
+        key = {"_name": F.coalesce("merchant", F.lit("")), "_none": F.col("merchant").isNull()}
+        place = keep_first(m.withColumns(key), list(key), [TS, "trans_num", *cols[1:]],
+                           columns=[*cols[1:], TS, "trans_num"]).select(*key, *cols[1:])
+        return d.withColumns(key).join(place, list(key), "left").select(
+            F.col("merchant").alias("merch_name"), *cols[1:], "merch_id")
     first = keep_first(m, "merchant", [TS, "trans_num", "merch_lat", "merch_long", "merch_zipcode"],
                        columns=[*cols, TS, "trans_num"])
     first = first.withColumn("_first", F.struct(F.col(TS).alias("ts"), F.col("trans_num").alias("tid")))
