@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import quality as q
 from ledgerlens.plans import model
-from ledgerlens.plans.catalog_model import _FACT_SQL, _MERCH_SQL, FACT_INPUT
+from ledgerlens.plans.catalog_model import _FACT_SQL, _MERCH_SQL, FACT_INPUT, MERCHANT_KEYS
 from ledgerlens.plans.registry import register, with_events, with_ledger
 from ledgerlens.sources.bindings import EVENTS_SQL, LEDGER_SQL
 from ledgerlens.sources.bindings import event_ledger, ledger
@@ -113,7 +113,7 @@ _RAW_TYPES = {"trans_num": "string", "cc_num": "bigint", "amt": "double", "is_fr
 
 def _fact(spark, sf):
     raw = ledger(spark, sf, FACT_INPUT)
-    return model.fact_transaction(raw, model.dim_merchant(raw))
+    return model.fact_transaction(raw, model.dim_merchant(raw, names=ledger(spark, sf, MERCHANT_KEYS)))
 
 
 @register("quality_min_suite", with_ledger(f"WITH {_MERCH_SQL}, fact AS ({_FACT_SQL})\n"
