@@ -148,8 +148,9 @@ def spend_by_user_bucketed(spark, sf):
     shuffle of either, then totalled per user."""
     raw = ledger(spark, sf, list(dict.fromkeys([*FACT_INPUT, *_UCOLS, "city_pop", TS])))
     base = scratch_path(spark, f"processed/{uuid.uuid4().hex[:8]}")
-    fact = layout.write_bucketed(model.fact_transaction(raw, model.dim_merchant(raw, names=ledger(spark, sf, MERCHANT_KEYS))), f"{base}/fact", "cc_number", 8)
-    cards = layout.write_bucketed(model.dim_card(raw, model.dim_user(raw, model.dim_city(raw))), f"{base}/card", "cc_number", 8)
+    n = layout.buckets_for(ledger(spark, sf, ["trans_num"]).count())  # a row count, without the joins
+    fact = layout.write_bucketed(model.fact_transaction(raw, model.dim_merchant(raw, names=ledger(spark, sf, MERCHANT_KEYS))), f"{base}/fact", "cc_number", n)
+    cards = layout.write_bucketed(model.dim_card(raw, model.dim_user(raw, model.dim_city(raw))), f"{base}/card", "cc_number", n)
     j = fact.join(cards.select("cc_number", "user_id").hint("merge"), "cc_number")
     return j.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("transactions"), F.sum(F.col("is_fraud").cast("long")).alias("fraud_transactions"),

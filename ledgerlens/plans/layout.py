@@ -38,6 +38,16 @@ def open_bucketed(spark: SparkSession, path: str, schema: T.StructType, key: str
     return spark.table(name)
 
 
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 100_000  # Spark's own bound (spark.sql.sources.bucketing.maxBuckets)
+
+
+def buckets_for(rows: int, least: int = 8) -> int:
+    """Buckets for a table of so many rows: a bucket, hence a task, keeps its
+    size when the table grows. Tables joined without a shuffle need one count."""
+    return min(MAX_BUCKETS, max(least, -(-rows // ROWS_PER_BUCKET)))
+
+
 def write_bucketed(df: DataFrame, path: str, key: str | Sequence[str], buckets: int = 64) -> DataFrame:
     """Write (or replace) the table at ``path``, a file per bucket, and return
     it as read through the catalogue."""

@@ -39,3 +39,15 @@ def test_fact_looks_keys_up_without_reading_locations(spark):
     plan = model.fact_transaction(raw, merchants)._jdf.queryExecution().optimizedPlan().toString()
     assert "min(struct" not in plan and "l_shipdate" in plan
     assert "min(struct" in merchants._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    assert [layout.buckets_for(n) for n in (0, 8_000_000, 36_000_000, 216_000_000)] == [8, 8, 36, 216]
+    assert layout.buckets_for(10 ** 13) == layout.MAX_BUCKETS
+    want = _rows(catalog_model.spend_by_user_bucketed(spark, SF))
+    used, write = [], layout.write_bucketed
+    monkeypatch.setattr(layout, "ROWS_PER_BUCKET", 500)
+    monkeypatch.setattr(layout, "write_bucketed", lambda df, path, key, n: used.append(n) or write(df, path, key, n))
+    assert _rows(catalog_model.spend_by_user_bucketed(spark, SF)) == want
+    rows = bindings.read_table(spark, SF, "lineitem").count()
+    assert used == [-(-rows // 500)] * 2 and used[0] > 8
