@@ -51,3 +51,14 @@ def test_buckets_grow_with_the_rows(spark, monkeypatch):
     assert _rows(catalog_model.spend_by_user_bucketed(spark, SF)) == want
     rows = bindings.read_table(spark, SF, "lineitem").count()
     assert used == [-(-rows // 500)] * 2 and used[0] > 8
+
+
+def test_large_ledger_is_shuffled_into_tasks_of_bounded_rows(spark, monkeypatch):
+    cols = ["trans_num", "cc_num", "first", "amt"]
+    plain = bindings.ledger(spark, SF, cols)
+    monkeypatch.setattr(bindings, "ROWS_PER_TASK", 150)
+    rows = bindings.read_table(spark, SF, "lineitem").count()
+    large = bindings.ledger(spark, SF, cols)
+    assert "REPARTITION_BY_NUM" in _executed(large) and "REPARTITION_BY_NUM" not in _executed(plain)
+    assert "hashpartitioning(l_orderkey" in _executed(large) and f", {-(-rows // 150)}), REPARTITION_BY_NUM" in _executed(large)
+    assert _rows(large) == _rows(plain)
