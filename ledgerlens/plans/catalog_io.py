@@ -18,7 +18,7 @@ def raw_csv_roundtrip(spark, sf):
     """The transaction table written as the raw CSV layout to the
     shared folder, read back with the declared schema."""
     path = scratch_path(spark, f"raw_csv/{uuid.uuid4().hex[:8]}")
-    pipeline.ledger_as_raw_csv(ledger(spark, sf), path)
+    pipeline.ledger_as_raw_csv(ledger(spark, sf), path, compression="gzip")
     return files.read_raw_csv(spark, path).select(*RAW_COLUMNS)
 
 

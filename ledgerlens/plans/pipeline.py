@@ -208,7 +208,7 @@ def run_pipeline(spark: SparkSession, source_csv: str, workdir: str, *, target:
     return {"paths": paths, "results": results, "load_report": report}
 
 
-def ledger_as_raw_csv(ledger_df: DataFrame, path: str) -> None:
+def ledger_as_raw_csv(ledger_df: DataFrame, path: str, *, compression: str | None = None) -> None:
     """Write a transaction table in the raw CSV layout (used to exercise the
     pipeline on the driver tables)."""
     df = ledger_df.withColumns({
@@ -216,4 +216,4 @@ def ledger_as_raw_csv(ledger_df: DataFrame, path: str) -> None:
         "unix_time": F.unix_seconds(F.col("trans_date_trans_time").cast("timestamp")),
         "is_fraud": F.col("is_fraud").cast("int"),
     })
-    files.write_csv(df.select(*files.RAW_SCHEMA.fieldNames()), path)
+    files.write_csv(df.select(*files.RAW_SCHEMA.fieldNames()), path, compression=compression)

@@ -222,10 +222,17 @@ def write_layer(tables: dict[str, DataFrame], base: str, *, fmt: str = "parquet"
     return paths
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with header, timestamps in the raw text format."""
-    (df.write.mode("overwrite").option("header", True).option("timestampNTZFormat", TIMESTAMP_FORMAT)
-       .option("dateFormat", DATE_FORMAT).csv(path))
+ROWS_PER_FILE = 1_000_000  # a compressed file is read by one task
+
+
+def write_csv(df: DataFrame, path: str, *, compression: str | None = None) -> None:
+    """CSV with header, timestamps in the raw text format. A compressed file cannot
+    be read in splits, so each then holds at most ``ROWS_PER_FILE`` rows."""
+    w = (df.write.mode("overwrite").option("header", True).option("timestampNTZFormat", TIMESTAMP_FORMAT)
+         .option("dateFormat", DATE_FORMAT))
+    if compression:
+        w = w.option("compression", compression).option("maxRecordsPerFile", ROWS_PER_FILE)
+    w.csv(path)
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

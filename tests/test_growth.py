@@ -62,3 +62,12 @@ def test_large_ledger_is_shuffled_into_tasks_of_bounded_rows(spark, monkeypatch)
     assert "REPARTITION_BY_NUM" in _executed(large) and "REPARTITION_BY_NUM" not in _executed(plain)
     assert "hashpartitioning(l_orderkey" in _executed(large) and f", {-(-rows // 150)}), REPARTITION_BY_NUM" in _executed(large)
     assert _rows(large) == _rows(plain)
+
+
+def test_compressed_csv_has_bounded_files_and_reads_back(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "ROWS_PER_FILE", 100)
+    df = spark.range(450).select(F.col("id").alias("cc_num"), F.concat(F.lit('a "b", '), "id").alias("merchant")).coalesce(1)
+    files.write_csv(df, str(tmp_path / "raw"), compression="gzip")
+    written = sorted((tmp_path / "raw").glob("part-*"))
+    assert len(written) == 5 and all(f.name.endswith(".csv.gz") for f in written)
+    assert _rows(files.read_raw_csv(spark, str(tmp_path / "raw")).select("cc_num", "merchant")) == _rows(df)
