@@ -170,7 +170,9 @@ def behaviour_features(df: DataFrame, *, user: str = "cc_num", merchant: str = "
     rows = base.withColumn("_c", F.explode(copies)).select(
         user, *keep, F.col("_c.shift").alias("_s"), F.col("_c.t").alias("_t"),
         F.floor(F.col("_c.t") / HOUR_US).alias("_d"), F.when(F.col("_c.shift") == 30, F.col(amount)).alias("_hv"))
-    return features_of(rows, hours, df.columns, user, merchant, amount, label, tie)
+    # by (user, hour) even where a join has laid the rows out by user: a hot user stays spread over its hours,
+    # and a task gets its size in copied rows
+    return features_of(rows.repartition(user, "_d"), hours, df.columns, user, merchant, amount, label, tie)
 
 
 def features_of(rows: DataFrame, hours: DataFrame, columns: list[str], user: str, merchant: str, amount: str,

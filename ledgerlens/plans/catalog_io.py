@@ -27,6 +27,6 @@ def baseline_model_eval(spark, sf):
     # training iterates over the data: materialise the features once in the
     # shared checkpoint folder instead of recomputing windows per iteration
     checkpoint_dir(spark)
-    feats = ml.feature_table(event_ledger(spark, sf)).checkpoint(eager=True)
+    feats = ml.feature_table(event_ledger(spark, sf, ml.INPUT)).checkpoint(eager=True)
     train, test = ml.time_split(feats)
     return ml.evaluate(ml.train_baselines(train), test)

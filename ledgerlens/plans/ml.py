@@ -22,6 +22,9 @@ from ledgerlens.operators import behaviour, curves
 TS = "trans_date_trans_time"
 NUMERIC = ["age", "trans_hour", "amt", "distance_miles", "city_pop", "avg_amt_30d", "txn_count_7d",
            "minutes_since_last", "is_first_txn", "user_fraud_history", "merchant_rate_history"]
+# the columns that the features, the split and the models read
+INPUT = [TS, "trans_num", "cc_num", "merchant", "category", "amt", "dob", "lat", "long", "merch_lat", "merch_long",
+         "city_pop", "is_fraud"]
 
 
 def feature_table(raw: DataFrame) -> DataFrame:

@@ -71,3 +71,16 @@ def test_compressed_csv_has_bounded_files_and_reads_back(spark, tmp_path, monkey
     written = sorted((tmp_path / "raw").glob("part-*"))
     assert len(written) == 5 and all(f.name.endswith(".csv.gz") for f in written)
     assert _rows(files.read_raw_csv(spark, str(tmp_path / "raw")).select("cc_num", "merchant")) == _rows(df)
+
+
+def test_history_is_spread_by_user_and_hour_after_a_join_by_user(spark):
+    raw = bindings.event_ledger(spark, SF, ml.INPUT)
+    laid = raw.repartition(4, "cc_num")
+    assert "hashpartitioning(cc_num" in _executed(laid)
+    plan = _executed(behaviour.behaviour_features(laid))
+    assert any("hashpartitioning(cc_num" in x and ", _d" in x for x in plan.splitlines())
+    feats = ml.feature_table(raw)
+    assert {*ml.NUMERIC, "category", "is_fraud", ml.TS} <= {*feats.columns} and "street" not in feats.columns
+    whole = ml.feature_table(bindings.event_ledger(spark, SF)).select(*feats.columns)
+    digits = lambda d: _rows(d.select(*[F.round(c, 6) if t in ("double", "float") else F.col(c) for c, t in d.dtypes]))
+    assert digits(feats) == digits(whole)
