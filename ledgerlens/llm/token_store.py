@@ -10,9 +10,9 @@ nothing. A small Parquet table tells where each document's tokens lie. Files
 carry a random name and count only once the task's row set is committed, so a
 repeated task leaves an orphan at worst.
 
-Tokens come from the tokenizers library. Its pieces never cross white space,
-so words between ASCII white space are encoded once and kept in a bounded
-cache.
+Tokens come from the tokenizers library. Its pieces never cross white space, so
+each distinct word between ASCII white space is encoded once for a chunk of many
+texts; the ids of words and of their parts are kept in bounded caches.
 
 Defined cases: null text counts as empty and has the end id only; rows with
 equal ids are ordered by text, a null id comes first; an empty table gives no
@@ -32,14 +32,17 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import as_bytes, chunks, id_text, id_type, scratch, stored
+from ledgerlens.llm.common import chunks, id_text, id_type, scratch, stored
 
 SEQUENCE = 512           # tokens of a sequence
 BATCH_SEQUENCES = 256    # sequences of a record batch
-CACHE_WORDS = 500_000    # words, and as many word parts, kept per worker (and those of one more chunk)
+CACHE_WORDS = 200_000    # words kept per worker (and those of one more chunk)
+CACHE_PIECES = 800_000   # the same of word parts
+CHUNK_BYTES = 8 << 20    # of text encoded at once
 END_ID = 1
 RANGE_CHARS = 100         # of a text that take part in its range
 
@@ -62,7 +65,7 @@ class _Words(dict):
 
 
 class WordEncoder:
-    """Ids of texts as bytes of little-endian unsigned integers, word by word.
+    """Ids of texts as little-endian unsigned integers, word by word.
 
     A word of LETTERS with marks after it is two pieces for the library: the
     letters, which its normaliser only lower-cases one by one (none of them
@@ -79,9 +82,9 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.words = _Words(self._word)
-        self.cores: dict[str, bytes] = {}
-        self.simple = re.compile(f"([{self.LETTERS}]+)([.,!?;:]*)")
+        self.words = _Words(self._word)    # those that go to the library whole
+        self.pieces = _Words(self._piece)  # letters and marks
+        self.simple = f"^(?P<letters>[{self.LETTERS}]+)(?P<marks>[.,!?;:]*)$"
         # how the library writes each small letter for its model
         letters = [chr(c) for c in range(ord("a"), 0x100) if re.match(f"[{self.LETTERS}]", chr(c))]
         self.written = str.maketrans({c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters})
@@ -92,28 +95,51 @@ class WordEncoder:
             packed.byteswap()
         return packed.tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        got = self.cores.get(piece)
-        if got is None:
-            got = self.cores[piece] = self._pack([t.id for t in self.tokenizer.model.tokenize(piece)])
-        return got
+    def _piece(self, piece: bytes) -> bytes:
+        return self._pack([t.id for t in self.tokenizer.model.tokenize(piece.decode().translate(self.written))])
 
     def _word(self, word: bytes) -> bytes:
-        text = word.decode()
-        m = self.simple.fullmatch(text)
-        if not m:
-            return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        ids = self._piece(m[1].lower().translate(self.written))
-        return ids + self._piece(m[2]) if m[2] else ids
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        for cache in (self.words, self.cores):
-            if len(cache) > CACHE_WORDS:  # the older half goes
+        return self._pack(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
+
+    @staticmethod
+    def _look_up(cache: _Words, words: pa.Array) -> pa.Array:
+        """Ids of every word (without white space); null for a null one. Each distinct word is looked up once."""
+        found = words.dictionary_encode()
+        if not len(found.dictionary):
+            return pa.nulls(len(words), pa.large_binary())
+        kind = pa.large_binary() if pa.types.is_large_string(words.type) else pa.binary()
+        whole = pa.ListArray.from_arrays(pa.array([0, len(found.dictionary)], pa.int32()), found.dictionary.cast(kind))
+        distinct = pc.binary_join(whole, pa.scalar(b" ", kind))[0].as_py().split(b" ")
+        return pa.array(list(map(cache.__getitem__, distinct)), pa.large_binary()).take(found.indices)
+
+    def _distinct(self, words: pa.Array) -> pa.Array:
+        parts = pc.extract_regex(words, self.simple)
+        letters, marks = parts.flatten()  # null for words of another form
+        ids = pc.binary_join_element_wise(self._look_up(self.pieces, pc.utf8_lower(letters)),
+                                          self._look_up(self.pieces, marks), pa.scalar(b"", pa.large_binary()))
+        other = parts.is_null()
+        return pc.replace_with_mask(ids, other, self._look_up(self.words, words.filter(other)))
+
+    def encode_rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many of them each text has."""
+        for cache, most in ((self.words, CACHE_WORDS), (self.pieces, CACHE_PIECES)):
+            if len(cache) > most:  # the older half goes
                 left = list(islice(cache.items(), len(cache) // 2, None))
                 cache.clear()
                 cache.update(left)
-        get = self.words.__getitem__
-        return [b"".join(map(get, t.split())) for t in texts]  # split() parts at ASCII white space only
+        split = pc.ascii_split_whitespace(texts)  # an empty word, as before leading white space, has no ids
+        found = split.flatten().dictionary_encode()
+        taken = self._distinct(found.dictionary).take(found.indices)
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[:len(taken) + 1]
+        ids = np.frombuffer(taken.buffers()[2] or b"", np.uint8)[:ends[-1]].view(self.dtype)
+        offsets = split.offsets.to_numpy()
+        return ids, np.diff(ends[offsets - offsets[0]]) // self.dtype.itemsize
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        if not texts:
+            return []
+        ids, counts = self.encode_rows(pa.array(texts, pa.binary()).cast(pa.string()))
+        return [part.tobytes() for part in np.split(ids, np.cumsum(counts)[:-1])]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -224,17 +250,15 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, sequence: in
         from pyspark import TaskContext
         part, out = TaskContext.get().partitionId(), None
         enc = encoder(model)
-        end = np.array([] if end_id is None else [end_id], enc.dtype)
         name = f"{path.rstrip('/')}/tokens-{part:06d}-{uuid.uuid4().hex[:8]}.arrow"
         try:
-            for doc, text in chunks(batches):
+            for doc, text in chunks(batches, CHUNK_BYTES):
                 out = out or SequenceWriter(name, enc.dtype, sequence)
-                pos, count = [], []
-                for ids in enc.encode(as_bytes(text)):
-                    pos.append(out.total)
-                    out.write(np.frombuffer(ids, enc.dtype))
-                    out.write(end)
-                    count.append(out.total - pos[-1])
+                ids, count = enc.encode_rows(text)
+                if end_id is not None:
+                    ids, count = np.insert(ids, np.cumsum(count), end_id), count + 1
+                pos = out.total + np.cumsum(count) - count
+                out.write(ids)
                 n = len(doc)
                 yield pa.RecordBatch.from_arrays(
                     [doc, pa.array([part] * n, pa.int32()), pa.array([name] * n), pa.array(pos, pa.int64()),

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -145,6 +146,38 @@ def test_words_equal_the_library_on_marks_capitals_and_special_strings():
         assert np.frombuffer(got, enc.dtype).tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_a_word_part_is_learnt_once_for_all_texts(monkeypatch):
+    """Words are not looked up one by one: capitals, marks and repeats of a word share one look-up a chunk."""
+    enc = token_store.WordEncoder(token_store.default_tokenizer())
+    asked = []
+
+    class Asked(dict):
+        def __getitem__(self, piece):
+            asked.append(piece)
+            return enc._piece(piece)
+
+    enc.pieces = Asked()
+    texts = pa.array(["Émile émile, ÉMILE! odd1 ", "", "  ", "émile;\x0bodd1 odd1, zebra. " * 500])
+    ids, counts = enc.encode_rows(texts.slice(1))
+    assert sorted(asked) == sorted(["émile".encode(), b"zebra", b";", b"."])
+    asked.clear()
+    ids, counts = enc.encode_rows(texts)
+    assert sorted(asked) == sorted(["émile".encode(), b"zebra", b"", b",", b"!", b";", b"."])
+    want = [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts.to_pylist()]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert enc.encode([]) == []
+
+
+def test_caches_of_word_parts_that_overflow_change_nothing(monkeypatch):
+    monkeypatch.setattr(token_store, "CACHE_PIECES", 20)
+    enc = token_store.WordEncoder(token_store.default_tokenizer())
+    for i in range(60):
+        t = f"Word{'xyz'[i % 3] * (i % 30)} émile{chr(97 + i % 26)}, Zebra{chr(97 + i % 25)}."
+        assert np.frombuffer(enc.encode([t.encode()])[0], enc.dtype).tolist() == \
+            enc.tokenizer.encode(t, add_special_tokens=False).ids
+        assert len(enc.pieces) <= 20 + 5
+
+
 def test_null_and_repeated_ids_are_spread(spark):
     rows = [(None, f"text {i} " * 3) for i in range(3000)] + [(5, f"other {i}") for i in range(1000)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
