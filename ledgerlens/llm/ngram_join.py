@@ -36,8 +36,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import (add_tables, as_bytes, chunks, components, discard, id_text, id_type, join_groups,
-                                   release_shuffles, row_key, stored)
+from ledgerlens.llm.common import (add_tables, as_bytes, chunks, components, discard, id_text, id_type, in_few_tasks,
+                                   join_groups, release_shuffles, row_key, stored)
 
 N = 5
 PERCENT = 80
@@ -45,6 +45,7 @@ SLOTS = 1 << 21       # slots of the count table
 SEGMENT = 1 << 15     # slots of a row when tables of tasks are added up
 KNOWN = 200_000       # classes that a task remembers to skip exact copies
 ID_SLOTS = 1 << 20    # bits of the filter of wanted ids
+SETS_A_TASK = 2000    # sets that a task handles where few are at hand
 PIVOT_ROUNDS = 1
 HEADS = 3             # n-grams that a pair must share in the heads of both sets
 
@@ -130,7 +131,7 @@ def count_levels(profiled: DataFrame) -> np.ndarray:
                                              names=["segment", "levels"])
 
     rows = (profiled.filter("segment is not null").select("segment", "counts")
-            .repartition("segment").mapInArrow(run, "segment int, levels binary").collect())
+            .repartition("segment").coalesce(SLOTS // SEGMENT).mapInArrow(run, "segment int, levels binary").collect())
     out = np.zeros(SLOTS, np.uint8)
     for r in rows:
         out[r.segment * SEGMENT:(r.segment + 1) * SEGMENT] = np.frombuffer(r.levels, np.uint8)
@@ -177,11 +178,12 @@ def prefixes(docs: DataFrame, levels, n: int = N, percent: int = PERCENT) -> Dat
     return stored(id_text(docs).mapInArrow(run, "gram bigint, cls bigint, size int, pos int"), "prefixes", "zstd")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, levels=None, n: int = N) -> DataFrame:
+def sets_of(docs: DataFrame, wanted: DataFrame, levels=None, n: int = N, most: int | None = None) -> DataFrame:
     """Stored (cls, keys): the whole set of every class of ``wanted`` (cls, rep:
     the id of a document of it), one row per class; in rare-first order if the
     levels are given, else by hash. A bit per hash slot of the ids, of fixed size,
-    spares most other texts where they are read; the class decides what stays."""
+    spares most other texts where they are read; the class decides what stays.
+    ``most``: no more rows are expected, and few of them go to few tasks."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(ID_SLOTS, np.int32)
@@ -196,7 +198,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, levels=None, n: int = N) -> Data
     def slot(col: str):
         return F.pmod(F.xxhash64(col), F.lit(ID_SLOTS)).cast("int").alias("slot")
 
-    marks = wanted.select(slot("rep")).distinct().mapInArrow(count, "segment int, counts binary")
+    marks = in_few_tasks(wanted.select(slot("rep")).distinct(), ID_SLOTS).mapInArrow(count, "segment int, counts binary")
     bits = docs.sparkSession.sparkContext.broadcast(add_tables(marks, SEGMENT, ID_SLOTS) > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +220,8 @@ def sets_of(docs: DataFrame, wanted: DataFrame, levels=None, n: int = N) -> Data
 
     rows = id_text(docs).select("doc_id", "text", slot("doc_id"))
     found = rows.mapInArrow(run, "cls bigint, keys binary").join(wanted.select("cls"), "cls", "left_semi")
-    return stored(found.dropDuplicates(["cls"]), "sets")
+    found = found.dropDuplicates(["cls"])
+    return stored(found if most is None else in_few_tasks(found, most, SETS_A_TASK), "sets")
 
 
 # --------------------------------------------------------- verification

@@ -35,8 +35,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import as_bytes, chunks, components, id_text, id_type, join_groups, release_shuffles, stored
-from ledgerlens.llm.ngram_join import SEGMENT, SLOTS, class_of, count_levels, ordered_keys, prefix_length, sets_of, shingles
+from ledgerlens.llm.common import (as_bytes, chunks, components, id_text, id_type, in_few_tasks, join_groups,
+                                   release_shuffles, stored)
+from ledgerlens.llm.ngram_join import SEGMENT, SETS_A_TASK, SLOTS, class_of, count_levels, ordered_keys, prefix_length, sets_of, shingles
 
 N = 5
 PERCENT = 85
@@ -144,7 +145,7 @@ def profile(docs: DataFrame, n: int = N) -> DataFrame:
 
 # ---------------------------------------------------------- confirmation
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Stored pairs (a, b) whose full sets reach the threshold."""
+    """Stored pairs (a, b) of the stored ``pairs`` whose full sets reach the threshold. ``sets`` are stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,6 +159,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
 
     joined = (pairs.select("a", "b").join(sets.select(F.col("cls").alias("a"), F.col("keys").alias("x")), "a")
               .join(sets.select(F.col("cls").alias("b"), F.col("keys").alias("y")), "b").select("a", "b", "x", "y"))
+    # all sets are read, also for few pairs
+    joined = in_few_tasks(joined, pairs.count() + sets.count(), SETS_A_TASK)
     return stored(joined.mapInArrow(run, "a bigint, b bigint"), "links")
 
 
@@ -226,29 +229,49 @@ def _heads(found: DataFrame, percent: int) -> DataFrame:
 
 
 def link_classes(lists: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) with the components of all links. ``lists``: stored (list,
-    cls, size, rank) of lists with two classes at least."""
+    """The components (node, root) of all links. ``lists``: stored (list, cls,
+    size, rank) of lists with two classes at least."""
     spark = lists.sparkSession
+    rows = lists.count()
     pivots = (lists.groupBy("list").agg(F.min(F.struct("rank", "cls", "size")).alias("p"))
               .select("list", F.col("p.cls").alias("pivot"), F.col("p.size").alias("n2")))
-    pairs = stored(lists.join(pivots, "list").filter((F.col("cls") != F.col("pivot")) & _fits("size", "n2", percent))
-                   .select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")).distinct(), "pivot-pairs")
+    pairs = (lists.join(pivots, "list").filter((F.col("cls") != F.col("pivot")) & _fits("size", "n2", percent))
+             .select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")).distinct())
+    pairs = stored(in_few_tasks(pairs, rows), "pivot-pairs")
     links = confirmed(pairs, sets, percent)
-    labels = components(links)
+    labels = components(links, most=links.count())
     here = _labelled(lists, labels)
-    open_lists = stored(_open(here), "open-lists")
+    open_lists = stored(in_few_tasks(_open(here), rows), "open-lists")
     if open_lists.isEmpty():
-        return links
+        return labels
     few = open_lists.filter(F.col("members") * F.col("outside") <= DIRECT)
     more = _beyond(here, few, percent)
     many = open_lists.filter(F.col("members") * F.col("outside") > DIRECT)
+    most = rows * DIRECT
     if not many.isEmpty():
         classes = here.join(many.select("list"), "list", "left_semi").select("cls").distinct()
-        heads = _labelled(_heads(sets.join(classes, "cls", "left_semi").select("cls", "keys"), percent), labels)
-        more = more.unionByName(_beyond(heads, _open(heads), percent)).distinct()
-    more = stored(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
+        asked = in_few_tasks(sets.join(classes, "cls", "left_semi").select("cls", "keys"), sets.count(), SETS_A_TASK)
+        heads = _heads(asked, percent)
+        beyond = _labelled(heads, labels)
+        more = more.unionByName(_beyond(beyond, _open(beyond), percent)).distinct()
+        most += heads.count() * DIRECT
+    more = more.join(pairs, ["a", "b"], "left_anti")
+    more = stored(in_few_tasks(more, most), "more-pairs")
     release_shuffles(spark)
-    return stored(links.unionByName(confirmed(more, sets, percent)), "all-links")
+    further = confirmed(more, sets, percent)
+    found = further.count()
+    if not found:
+        return labels
+    # the new links, between the components that are known
+    for side in ("a", "b"):
+        of = labels.select(F.col("node").alias(side), "root")
+        further = further.join(of, side, "left").withColumn(side, F.coalesce("root", side)).drop("root")
+    tops = components(further, most=found)
+    moved = (labels.join(tops.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+             .select("node", F.coalesce("top", "root").alias("root")))
+    # and classes that had no link before
+    moved = moved.unionByName(tops.join(labels.select("node"), "node", "left_anti"))
+    return stored(in_few_tasks(moved, rows), "all-components")
 
 
 def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -257,23 +280,30 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     spark = docs.sparkSession
     profiled = profile(docs, n)
     rows = profiled.filter("list is null").select("doc_id", "cls", "size")
-    classes = stored(rows.filter("cls is not null").groupBy("cls").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
+    total = rows.count()
+    classes = rows.filter("cls is not null").groupBy("cls").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    classes = stored(in_few_tasks(classes, total), "classes")
     banded = profiled.filter("list is not null").select("list", "cls", "size")
     shared = banded.groupBy("list").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.count(F.lit(1)).alias("n"))
-    lists = stored(banded.join(shared.filter("lo < hi").select("list", "n"), "list").dropDuplicates(["list", "cls"]), "lists")
+    lists = banded.join(shared.filter("lo < hi").select("list", "n"), "list").dropDuplicates(["list", "cls"])
+    lists = stored(in_few_tasks(lists, total * BANDS), "lists")
     # classes that meet most others come first, as a text which many copies derive from
     weight = lists.groupBy("cls").agg((-F.sum("n")).alias("rank"))
-    lists = stored(lists.drop("n").join(weight, "cls").select("list", "cls", "size", "rank"), "ranked")
-    sets = sets_of(docs, classes.join(weight.select("cls"), "cls", "left_semi").select("cls", "rep"), n=n)
+    met = lists.count()
+    ranked = lists.drop("n").join(weight, "cls").select("list", "cls", "size", "rank")
+    lists = stored(in_few_tasks(ranked, met), "ranked")
+    wanted = classes.join(weight.select("cls"), "cls", "left_semi").select("cls", "rep")
+    sets = sets_of(docs, wanted, n=n, most=min(total, met))
     release_shuffles(spark)
 
-    roots = components(link_classes(lists, sets, percent))
+    roots = link_classes(lists, sets, percent)
     of = (classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
           .withColumn("root", F.coalesce("root", "cls")))
     least = of.groupBy("root").agg(F.min("rep").alias("component_id"))
-    groups = stored(of.join(least, "root").select("cls", "component_id", "copies"), "groups")
-    with_words = join_groups(rows.filter("cls is not null"), groups, "cls", "copies", rows.count())
+    groups = of.join(least, "root").select("cls", "component_id", "copies")
+    groups = stored(in_few_tasks(groups, total), "groups")
+    with_words = join_groups(rows.filter("cls is not null"), groups, "cls", "copies", total)
     none = rows.filter("cls is null").withColumn("component_id", F.col("doc_id"))
     out = with_words.select("doc_id", "size", "component_id", "cls").unionByName(none.select("doc_id", "size", "component_id", "cls"))
     return out.select("doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id",

@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from ledgerlens.llm import common, ngram_join
 from ledgerlens.llm import superminhash as sm
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -104,3 +105,36 @@ def test_similar_sets_share_a_list():
         sets = [np.unique(x), np.unique(y)]
         a, b = sm.bands(sm.signatures(sets, sm.BANDS * sm.ROWS), sm.ROWS)
         assert (a == b).any()
+
+
+def test_few_rows_are_not_dealt_over_many_tasks(spark, monkeypatch):
+    """With many shuffle partitions that Spark does not join, steps over few rows
+    take few tasks and files; the groups are those of brute force."""
+    rng = random.Random(5)
+    rows, stem = [], [f"w{rng.randrange(10 ** 6)}" for _ in range(120)]
+    for i in range(400):
+        w = [f"v{i}x{j}" for j in range(20)] if i % 2 else list(stem)
+        w[rng.randrange(len(w))] = f"e{i}"
+        rows.append((i, " ".join(w)))
+    files, plain = defaultdict(int), common.stored
+
+    def counted(df, name, *more):
+        out = plain(df, name, *more)
+        files[name] = max(files[name], len(out.inputFiles()))
+        return out
+
+    for module in (common, sm, ngram_join):
+        monkeypatch.setattr(module, "stored", counted)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "96")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = got(sm.near_duplicates(df))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert out == brute(rows)
+    few = max(2, spark.sparkContext.defaultParallelism)
+    assert {k: n for k, n in files.items() if k != "signatures" and n > few} == {}
+    assert files["components"]
